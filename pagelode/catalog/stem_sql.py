@@ -37,7 +37,7 @@ v4 AS (SELECT token, p1, p2, CASE
     WHEN w LIKE '%sses' THEN left(w, length(w) - 2)
     WHEN w LIKE '%ied' OR w LIKE '%ies' THEN left(w, length(w) - CASE WHEN length(w) > 4 THEN 2 ELSE 1 END)
     WHEN w LIKE '%us' OR w LIKE '%ss' THEN w
-    WHEN regexp_matches(w, '[aeiouy].+s$') THEN left(w, length(w) - 1) ELSE w END AS w FROM v3),
+    WHEN regexp_matches(w, '(?s)[aeiouy].+s$') THEN left(w, length(w) - 1) ELSE w END AS w FROM v3),
 v5 AS (SELECT token, p1, p2, w, w IN ({quoted(FINISHED)}) AS fin,
     CASE WHEN w IN ({quoted(FINISHED)}) THEN '' ELSE regexp_extract(w, '(eedly|ingly|edly|eed|ing|ed)$', 1) END AS s FROM v4),
 v6 AS (SELECT *, {cut} AS t FROM v5),
@@ -49,7 +49,7 @@ v7 AS (SELECT token, p1, p2, fin, CASE
     WHEN right(t, 2) IN ({quoted(DOUBLES)}) THEN left(t, length(t) - 1)
     WHEN length(t) = p1 AND regexp_matches(t, '{short}') THEN t || 'e'
     ELSE t END AS w FROM v6),
-v8 AS (SELECT token, p1, p2, fin, CASE WHEN fin THEN w ELSE regexp_replace(w, '^(.+[^aeiouy])[yY]$', '\\1i') END AS w FROM v7),
+v8 AS (SELECT token, p1, p2, fin, CASE WHEN fin THEN w ELSE regexp_replace(w, '(?s)^(.+[^aeiouy])[yY]$', '\\1i') END AS w FROM v7),
 v9 AS (SELECT *, CASE WHEN fin THEN '' ELSE regexp_extract(w, '{suffix_pattern(STEP2)}', 1) END AS s FROM v8),
 v10 AS (SELECT *, {cut} AS t FROM v9),
 v11 AS (SELECT token, p1, p2, fin, CASE

@@ -62,7 +62,7 @@ def fulltext_snippet(text: Column, words: Column) -> Column:
     in bold; fragments without any query word are left out."""
     fragments = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{FRAGMENT_CHARS}}}(?=\\s|\\z)|\\S+"), F.lit(0))
     whole_word = lambda w: F.concat(F.lit(r"(?iU)(?<!\w)"), quoted(w), F.lit(r"(?!\w)"))
-    found = lambda s: F.size(F.filter(F.array_distinct(words), lambda w: s.rlike(whole_word(w))))
+    found = lambda s: F.size(F.filter(F.array_distinct(words), lambda w: F.rlike(s, whole_word(w))))
     ranked = F.filter(
         F.transform(fragments, lambda s, i: F.struct((-found(s)).alias("k"), i.alias("i"), s.alias("s"))),
         lambda e: e["k"] < 0,

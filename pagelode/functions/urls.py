@@ -6,22 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Scheme, host (without user and port), path, query.
+URL_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*)://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)(\?[^#]*)?"
+_GROUPS = {"PROTOCOL": 1, "HOST": 2, "PATH": 3, "QUERY": 4}
+
+
 def url_part(url: Column, part: str) -> Column:
-    return F.parse_url(url, F.lit(part))
+    """One part of an absolute URL, '' if it is not there. Split by pattern: links in real pages
+    hold characters that a strict URL parser rejects."""
+    if part == "FILE":
+        return F.concat(url_part(url, "PATH"), url_part(url, "QUERY"))
+    return F.regexp_extract(url, URL_PATTERN, _GROUPS[part])
 
 
 def canonical_url(url: Column) -> Column:
     """Protocol, host, path and query; the anchor is dropped."""
-    return F.concat(
-        url_part(url, "PROTOCOL"), F.lit("://"), url_part(url, "HOST"), F.coalesce(url_part(url, "FILE"), F.lit(""))
-    )
+    return F.concat(url_part(url, "PROTOCOL"), F.lit("://"), url_part(url, "HOST"), url_part(url, "FILE"))
 
 
 def in_scope(url: Column, host_regex: str, path_regex: str) -> Column:
     """Host and path both match their pattern as a whole."""
-    return url_part(url, "HOST").rlike(rf"\A(?:{host_regex})\z") & F.coalesce(
-        url_part(url, "PATH"), F.lit("")
-    ).rlike(rf"\A(?:{path_regex})\z")
+    return url_part(url, "HOST").rlike(rf"\A(?:{host_regex})\z") & url_part(url, "PATH").rlike(
+        rf"\A(?:{path_regex})\z"
+    )
 
 
 def resolve_href(base: Column, href: Column) -> Column:
@@ -29,7 +36,7 @@ def resolve_href(base: Column, href: Column) -> Column:
     root-relative, anchor or query only, and relative to the folder of ``base``; NULL for other
     schemes."""
     origin = F.concat(url_part(base, "PROTOCOL"), F.lit("://"), url_part(base, "HOST"))
-    path = F.coalesce(url_part(base, "PATH"), F.lit(""))
+    path = url_part(base, "PATH")
     folder = F.regexp_replace(path, "[^/]*$", "")
     return (
         F.when(href.rlike("^(?i)https?://"), href)

@@ -132,7 +132,7 @@ def wide_postings(postings: DataFrame) -> DataFrame:
     )
 
     def tf_of(i: int) -> Column:
-        return F.coalesce(F.filter("parts", lambda p: p["field"] == i)[0]["tf"], F.lit(0))
+        return F.coalesce(F.get(F.filter("parts", lambda p: p["field"] == i), F.lit(0))["tf"], F.lit(0))
 
     return per_field.select(
         "term",

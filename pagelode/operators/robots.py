@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagelode.functions.urls import url_part
 from pagelode.operators.joins import spread_join
 
 # The line patterns, a mandatory space after the colon, value up to '#'.
@@ -28,7 +29,7 @@ def robots_rules(lines: DataFrame, agent: str) -> DataFrame:
     kind = F.lower(F.regexp_extract(line, DIRECTIVE, 1))
     parsed = lines.select("host", "line_no", kind.alias("kind"), F.regexp_extract(line, DIRECTIVE, 2).alias("value"))
     parsed = parsed.filter(F.col("kind") != "")
-    names_agent = F.lit(agent).rlike(wildcard_regex(F.trim("value")))
+    names_agent = F.rlike(F.lit(agent), wildcard_regex(F.trim("value")))
     state = F.when(F.col("kind") == "user-agent: ", names_agent)
     so_far = Window.partitionBy("host").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     active = parsed.withColumn("active", F.last(state, ignorenulls=True).over(so_far))
@@ -50,8 +51,8 @@ def robots_filter(urls: DataFrame, rules: DataFrame) -> DataFrame:
     per_host = rules.groupBy("host").agg(
         F.sort_array(F.collect_list(F.struct("ord", "path", "allow"))).alias("__rules")
     )
-    parts = urls.withColumn("host", F.parse_url(F.col("url"), F.lit("HOST"))).withColumn(
-        "__file", F.coalesce(F.parse_url(F.col("url"), F.lit("FILE")), F.lit(""))
+    parts = urls.withColumn("host", url_part(F.col("url"), "HOST")).withColumn(
+        "__file", url_part(F.col("url"), "FILE")
     )
     joined = spread_join(parts, per_host, ["host"], [F.col("url")], "left")
     hit = F.filter("__rules", lambda r: F.startswith(F.col("__file"), r["path"]))

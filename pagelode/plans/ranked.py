@@ -183,7 +183,7 @@ def blend_ranks(hits: DataFrame, index: SearchIndex) -> DataFrame:
     if index.ranks is None:
         raise ValueError("the index holds no link ranks")
     ranked = rank_or_default(normalised(hits), index.ranks, index.stats)
-    rank_norm = scoring.rescale(F.col("rank"), F.lit(0.0), F.col("max_rank"), scoring.RANK_SCALE)
+    rank_norm = scoring.rescale(F.col("rank"), F.lit(0.0), F.coalesce("max_rank", F.lit(0.0)), scoring.RANK_SCALE)
     return (
         ranked.join(F.broadcast(max_rank(index.ranks)))  # one row
         .withColumn("rank_norm", rank_norm)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pagelode.operators.ids import first_per_key
 
@@ -22,7 +23,7 @@ def insert_or_ignore(
     """Write the new rows as ``batch=<n>`` of the table at ``path`` and return their count.
     Writing a batch again replaces it and nothing else, so a retried batch is harmless."""
     spark = arrivals.sparkSession
-    existing = read_table(spark, path, arrivals.schema.simpleString(), before=batch)
+    existing = read_table(spark, path, arrivals.schema, before=batch)
     written = Observation()
     rows = new_pages(arrivals, existing, key, arrival).observe(written, F.count(F.lit(1)).alias("n"))
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
@@ -40,9 +41,8 @@ def batches(spark, path: str) -> list[int]:
     return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
 
 
-def read_table(spark, path: str, schema: str, before: int | None = None) -> DataFrame | None:
+def read_table(spark, path: str, schema: str | StructType, before: int | None = None) -> DataFrame | None:
     found = [b for b in batches(spark, path) if before is None or b < before]
     if not found:
         return None
-    fields = schema.removeprefix("struct<").removesuffix(">") if schema.startswith("struct<") else schema
-    return spark.read.schema(fields).parquet(*[f"{path}/batch={b}" for b in found])
+    return spark.read.schema(schema).parquet(*[f"{path}/batch={b}" for b in found])

@@ -50,11 +50,13 @@ def corpus_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_edges(spark: SparkSession, folder: str) -> DataFrame:
-    """Link graph of ``pages``: a navigation link leads to the smallest page whose heading is
-    the linked word; ``src, dst``, distinct."""
+    """Link graph of ``pages``: a navigation link leads to the smallest page whose heading
+    holds the linked word; ``src, dst``, distinct."""
     pages = table(spark, folder, "pages")
     dictionary = (
-        pages.select("page_id", F.lower(markup.element_text(F.col("html"), "h1")).alias("word"))
+        pages.select(
+            F.col("page_id"), F.explode(tx.tokens(F.lower(markup.element_text(F.col("html"), "h1")))).alias("word")
+        )
         .groupBy("word")
         .agg(F.min("page_id").alias("dst"))
     )
