@@ -72,7 +72,8 @@ def ranked_index(spark: SparkSession, folder: str) -> index_store.SearchIndex:
 
 
 def query_list(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(QUERY_LIST, "query_id bigint, query string").coalesce(1)
+    rows = ", ".join(f"({query_id}L, '{text}')" for query_id, text in QUERY_LIST)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS q(query_id, query)")
 
 
 def heading_queries(spark: SparkSession, folder: str) -> DataFrame:

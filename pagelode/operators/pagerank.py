@@ -35,7 +35,11 @@ def contributions(ranks: DataFrame, edges: DataFrame) -> DataFrame:
 
 class RankGraph:
     """Edges laid out for iteration: written once, partitioned by source block and kept in
-    memory, so that an iteration moves ranks and contributions, never edges."""
+    memory, so that an iteration moves ranks and contributions, never edges.
+
+    Every page also has one row leading to itself in block -1. It carries the page's own state
+    through the same join and aggregation as the contributions, so a step reads the old ranks once
+    and a chain of steps stays a straight line."""
 
     def __init__(self, edges: DataFrame, damping: float = DAMPING):
         self.damping = damping
@@ -45,17 +49,15 @@ class RankGraph:
             F.col("src").alias("id"), "n", F.ceil(F.col("n") / BLOCK_LINKS).cast("int").alias("blocks")
         )
         targets = edges.select(F.col("dst").alias("id")).distinct()
-        nodes = targets.join(sources, "id", "full")
-        self.nodes = materialise(nodes, "nodes")
+        self.nodes = materialise(targets.join(sources, "id", "full"), "nodes")
         self.n_sources = self.nodes.filter("n IS NOT NULL").count()
-        # Pages over the block size are few by definition (each holds that many edges).
+        # Pages over the block size are few by definition: each holds that many edges.
         split = self.nodes.filter(F.col("blocks") > 1).select(F.col("id").alias("src"), "blocks")
         block = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("blocks")), F.lit(0)).cast("int")
+        links_out = edges.join(split, "src", "left").select("src", block.alias("block"), "dst")
+        self_links = self.nodes.select(F.col("id").alias("src"), F.lit(-1).alias("block"), F.col("id").alias("dst"))
         self.edges = (
-            edges.join(split, "src", "left")
-            .select("src", block.alias("block"), "dst")
-            .repartition("src", "block")
-            .persist(StorageLevel.MEMORY_AND_DISK)
+            links_out.unionByName(self_links).repartition("src", "block").persist(StorageLevel.MEMORY_AND_DISK)
         )
 
     def close(self) -> None:
@@ -66,21 +68,34 @@ class RankGraph:
         return self.nodes.select("id", "n", "blocks", first.alias("rank"))
 
     def step(self, ranks: DataFrame) -> DataFrame:
-        """One Jacobi step over ``id, n, blocks, rank``; the old rank is kept as ``previous``."""
-        shares = ranks.filter("n IS NOT NULL").select(
+        """One Jacobi step over ``id, n, blocks, rank``; the old rank is kept as ``previous``.
+        Contributions are summed map-side, so a page linked from most others is no hot spot."""
+        sent = ranks.select(
             F.col("id").alias("src"),
-            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-            (F.col("rank") / F.col("n")).alias("share"),
-        )
-        received = (
-            self.edges.join(shares, ["src", "block"])
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum("share").alias("received"))
+            F.explode(F.sequence(F.lit(-1), F.coalesce("blocks", F.lit(0)) - 1)).alias("block"),
+            "n",
+            "blocks",
+            "rank",
         )
+        own = lambda c: F.max(F.when(F.col("block") == -1, F.col(c)))
+        share = F.when(F.col("block") >= 0, F.col("rank") / F.col("n"))
         base = (1 - self.damping) / max(self.n_sources, 1)
-        new = F.lit(base) + self.damping * F.coalesce("received", F.lit(0.0))
-        return ranks.join(received, "id", "left").select(
-            "id", "n", "blocks", new.alias("rank"), F.col("rank").alias("previous")
+        return (
+            self.edges.join(sent, ["src", "block"])
+            .groupBy(F.col("dst").alias("id"))
+            .agg(
+                own("n").alias("n"),
+                own("blocks").alias("blocks"),
+                F.sum(share).alias("received"),
+                own("rank").alias("previous"),
+            )
+            .select(
+                "id",
+                "n",
+                "blocks",
+                (F.lit(base) + self.damping * F.coalesce("received", F.lit(0.0))).alias("rank"),
+                "previous",
+            )
         )
 
 
@@ -100,17 +115,33 @@ def pagerank_steps(edges: DataFrame, steps: int, damping: float = DAMPING) -> Da
 def pagerank(
     edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, max_steps: int = 1000
 ) -> DataFrame:
-    """Iterate until no page moves by ``tolerance`` or more: ``id, rank``. The largest move is
-    observed while the new ranks are written, so each iteration is one job."""
+    """Iterate until no page moves by ``tolerance`` or more: ``id, rank``.
+
+    Several iterations form one job that ends in a written table; the largest move of each is
+    observed on the way. If an iteration inside the job was already still, the job is repeated
+    up to it, so the result is that of stopping at the first still iteration."""
     graph = RankGraph(edges, damping)
     ranks = graph.start()
-    for _ in range(max_steps):
-        moved = Observation()
-        stepped = graph.step(ranks).observe(
-            moved, F.max(F.abs(F.col("rank") - F.col("previous"))).alias("move")
-        )
-        ranks = materialise(stepped, "ranks")
-        if (moved.get["move"] or 0.0) < tolerance:
+    done = 0
+    while done < max_steps:
+        steps = min(MATERIALISE_EVERY, max_steps - done)
+        stepped, moves = ranks, []
+        for _ in range(steps):
+            moves.append(Observation())
+            stepped = graph.step(stepped).observe(
+                moves[-1], F.max(F.abs(F.col("rank") - F.col("previous"))).alias("move")
+            )
+        reached = materialise(stepped, "ranks")
+        still = [i for i, move in enumerate(moves, 1) if (move.get["move"] or 0.0) < tolerance]
+        if still:
+            if still[0] < steps:
+                reached = ranks
+                for _ in range(still[0]):
+                    reached = graph.step(reached)
+                reached = materialise(reached, "ranks")
+            ranks = reached
             break
+        ranks = reached
+        done += steps
     graph.close()
     return ranks.select("id", "rank")

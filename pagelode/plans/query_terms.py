@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pagelode.functions import scoring, text as tx
 from pagelode.functions.stemming import with_stem
-from pagelode.operators.joins import spread_join
+from pagelode.operators.joins import fits_broadcast, spread_join
 from pagelode.sources.index_store import SearchIndex, shard_of
 
 
@@ -27,6 +27,7 @@ def parse_queries(queries: DataFrame) -> DataFrame:
 def _parts(parsed: DataFrame) -> DataFrame:
     return parsed.select(
         "query_id",
+        (F.col("category") != "").alias("has_category"),
         F.inline(
             F.array(
                 F.struct(F.lit(0).alias("part"), F.col("keyword").alias("text")),
@@ -37,34 +38,33 @@ def _parts(parsed: DataFrame) -> DataFrame:
 
 
 def query_words(parsed: DataFrame, analyse: bool = True) -> DataFrame:
-    """Ordered query terms ``query_id, part, pos, term``. The ranked method drops stop words and
+    """Ordered query terms ``query_id, has_category, part, pos, term``. The ranked method drops stop words and
     stems; the full-text method takes the words as they are."""
-    words = _parts(parsed).select("query_id", "part", F.posexplode(tx.split_words(F.col("text"))).alias("pos", "word"))
+    words = _parts(parsed).select("query_id", "has_category", "part", F.posexplode(tx.split_words(F.col("text"))).alias("pos", "word"))
     if not analyse:
         return words.withColumnRenamed("word", "term")
     kept = words.filter(~tx.is_stop_word(F.col("word")))
-    return with_stem(kept, "word", "term").select("query_id", "part", "pos", "term")
+    return with_stem(kept, "word", "term").select("query_id", "has_category", "part", "pos", "term")
 
 
 def query_term_freq(words: DataFrame) -> DataFrame:
     return words.groupBy("query_id", "part", "term").agg(F.count(F.lit(1)).alias("qf"))
 
 
-def term_lists(parsed: DataFrame, words: DataFrame) -> DataFrame:
+def term_lists(words: DataFrame) -> DataFrame:
     """One row per query that has terms: ``keyword_terms`` and ``category_terms`` in order, and
     whether a category was given. Bounded by the length of the query text."""
     ordered = lambda part: F.transform(
         F.sort_array(F.collect_list(F.when(F.col("part") == part, F.struct("pos", "term")))),
         lambda e: e["term"],
     )
-    lists = words.groupBy("query_id").agg(ordered(0).alias("keyword_terms"), ordered(1).alias("category_terms"))
-    flags = parsed.select("query_id", (F.col("category") != "").alias("has_category"))
-    return flags.join(lists, "query_id")
+    return words.groupBy("query_id", "has_category").agg(
+        ordered(0).alias("keyword_terms"), ordered(1).alias("category_terms")
+    )
 
 
 def analyse_queries(queries: DataFrame, analyse: bool = True) -> DataFrame:
-    parsed = parse_queries(queries)
-    return term_lists(parsed, query_words(parsed, analyse))
+    return term_lists(query_words(parse_queries(queries), analyse))
 
 
 def listed_words(lists: DataFrame) -> DataFrame:
@@ -86,9 +86,13 @@ def field_terms(freq: DataFrame, index: SearchIndex, fulltext: bool = False) ->
     Terms that do not occur in a field are dropped."""
     fields = F.when(F.col("part") == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(2)))
     wanted = freq.select("query_id", "term", "qf", F.explode(fields).alias("field"))
-    # Statistics of the distinct terms only: one row per term however many queries ask for it.
-    known = index.term_stats.join(wanted.select("term", "field").distinct(), ["term", "field"], "left_semi")
-    counted = spread_join(wanted, known, ["term", "field"], [F.col("query_id")])
+    if fits_broadcast(wanted):
+        counted = index.term_stats.join(F.broadcast(wanted), ["term", "field"])
+    else:
+        # Statistics of the distinct terms only: one row per term however many queries ask for it.
+        asked = wanted.select("term", "field").distinct()
+        known = index.term_stats.join(asked, ["term", "field"], "left_semi")
+        counted = spread_join(wanted, known, ["term", "field"], [F.col("query_id")])
     both = counted.join(F.broadcast(index.stats), "field")  # three rows
     if fulltext:
         weight = F.col("qf") * scoring.fulltext_idf(F.col("n_docs"), F.col("df"))
