@@ -27,24 +27,45 @@ def _stemmer():
     limit = MEMO_LIMIT
     stem_word = porter2.stem
 
-    def stem_batch(words: pd.Series) -> pd.Series:
+    def stem_values(words):
         codes, distinct = pd.factorize(words)
         if len(memo) > limit:
             memo.clear()
+        # One slot more than there are words: NULL has code -1 and finds None there.
         stems = np.empty(len(distinct) + 1, dtype=object)
         for i, word in enumerate(distinct):
             stem = memo.get(word)
             if stem is None:
                 stem = memo[word] = stem_word(word)
             stems[i] = stem
-        return pd.Series(stems[codes])
+        return stems[codes]
 
-    return stem_batch
+    return stem_values
 
 
 def stem(word: Column) -> Column:
     """Stem of a lower-case word; NULL for NULL."""
-    return F.pandas_udf(_stemmer(), "string")(word)
+    stem_values = _stemmer()
+
+    def stem_batch(words: pd.Series) -> pd.Series:
+        return pd.Series(stem_values(words))
+
+    return F.pandas_udf(stem_batch, "string")(word)
+
+
+def stem_all(words: Column) -> Column:
+    """Stems of an array of lower-case words, in order."""
+    stem_values = _stemmer()
+
+    def stem_batch(lists: pd.Series) -> pd.Series:
+        arrays = list(lists)
+        if not arrays:
+            return pd.Series([], dtype=object)
+        stems = stem_values(np.concatenate(arrays)) if any(map(len, arrays)) else np.empty(0, dtype=object)
+        ends = np.cumsum([len(a) for a in arrays])
+        return pd.Series(np.split(stems, ends[:-1]))
+
+    return F.pandas_udf(stem_batch, "array<string>")(words)
 
 
 def with_stem(df: DataFrame, word: str, out: str) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelode.functions import text as tx
-from pagelode.functions.stemming import with_stem
+from pagelode.functions.stemming import stem_all
+from pagelode.operators.joins import estimated_bytes
 
 N_FIELDS = 3
 # Documents per block of a posting list; bounds the rows gathered under one term.
@@ -38,18 +39,6 @@ def field_tokens(corpus: DataFrame) -> DataFrame:
     return sized.select("doc_id", "field", "field_len", F.posexplode("toks").alias("pos", "raw"))
 
 
-def index_tokens(corpus: DataFrame, stem: bool = True) -> DataFrame:
-    """Tokens that enter the ranked index: ``doc_id, field, field_len, pos, term``. Dropped
-    tokens keep their position."""
-    kept = (
-        field_tokens(corpus)
-        .withColumn("token", tx.indexable_token(F.col("raw")))
-        .filter((F.col("token") != "") & ~tx.is_stop_word(F.col("token")))
-    )
-    kept = with_stem(kept, "token", "term") if stem else kept.withColumnRenamed("token", "term")
-    return kept.select("doc_id", "field", "field_len", "pos", "term")
-
-
 def fulltext_tokens(corpus: DataFrame) -> DataFrame:
     """Tokens of the full-text analyser: word-break tokens without stop words, gaps kept.
     ``field_len`` counts kept words only."""
@@ -62,24 +51,82 @@ def fulltext_tokens(corpus: DataFrame) -> DataFrame:
     )
 
 
-def group_postings(tokens: DataFrame) -> DataFrame:
-    """One row per (term, field, document): ``tf`` and sorted ``positions``, with the field
-    length alongside so that scoring needs no join with a length table."""
-    return tokens.groupBy("doc_id", "field", "field_len", "term").agg(
-        F.sort_array(F.collect_list("pos")).alias("positions")
-    ).select(
+def _kept_words(corpus: DataFrame, stem: bool) -> DataFrame:
+    """Per document and field: ``field_len`` and the words that enter the ranked index with
+    their positions, as the parallel arrays ``terms`` and ``pos``."""
+    fields = corpus.select("doc_id", _by_field(_lowered(), "text"))
+    split = fields.select("doc_id", "field", tx.tokens(F.col("text")).alias("toks"))
+    words = F.transform("toks", lambda t, i: F.struct(tx.indexable_token(t).alias("t"), i.alias("i")))
+    kept = split.select("doc_id", "field", F.size("toks").alias("field_len"), words.alias("words")).select(
+        "doc_id",
+        "field",
+        "field_len",
+        F.filter("words", lambda w: (w["t"] != "") & ~tx.is_stop_word(w["t"])).alias("words"),
+    )
+    terms = stem_all(F.col("words.t")) if stem else F.col("words.t")
+    return kept.select("doc_id", "field", "field_len", terms.alias("terms"), F.col("words.i").alias("pos"))
+
+
+def _kept_fulltext_words(corpus: DataFrame) -> DataFrame:
+    """As :func:`_kept_words` for the full-text analyser."""
+    fields = corpus.select("doc_id", _by_field(_lowered("|"), "text"))
+    split = fields.select("doc_id", "field", tx.fulltext_words(F.col("text")).alias("toks"))
+    words = F.filter(
+        F.transform("toks", lambda t, i: F.struct(t.alias("t"), i.alias("i"))),
+        lambda w: ~w["t"].isin(tx.FULLTEXT_STOP_WORDS),
+    )
+    kept = split.select("doc_id", "field", words.alias("words"))
+    return kept.select(
+        "doc_id", "field", F.size("words").alias("field_len"), F.col("words.t").alias("terms"), F.col("words.i").alias("pos")
+    )
+
+
+def _group_within_field(words: DataFrame) -> DataFrame:
+    """Group the words of each field by term with array expressions: sort (term, position)
+    pairs, find where the term changes, cut there. A document is one row, so its postings need no
+    exchange and no hash table; the cost is that of sorting the words of the field."""
+    n = F.size("e")
+    ordered = words.select(
+        "doc_id",
+        "field",
+        "field_len",
+        F.sort_array(F.zip_with("terms", "pos", lambda t, p: F.struct(t.alias("t"), p.alias("p")))).alias("e"),
+    )
+    changes = lambda i: F.coalesce(F.get("e", i)["t"] != F.get("e", i - 1)["t"], F.lit(True))
+    cut = ordered.select(
+        "doc_id", "field", "field_len", "e", F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), changes)).alias("starts")
+    )
+
+    def group(start: Column, k: Column) -> Column:
+        length = F.coalesce(F.get("starts", k + 1), n) - start
+        positions = F.transform(F.slice("e", start + 1, length), lambda x: x["p"])
+        return F.struct(F.get("e", start)["t"].alias("term"), positions.alias("positions"))
+
+    rows = cut.select("doc_id", "field", "field_len", F.transform("starts", group).alias("groups"))
+    # The outer form keeps the optimizer from deriving a filter on the whole array expression,
+    # which would compute it twice; fields without words give one row of NULLs, dropped here.
+    exploded = rows.select("doc_id", "field", "field_len", F.inline_outer("groups"))
+    return exploded.filter(F.col("term").isNotNull()).select(
         "term", "field", "doc_id", F.size("positions").alias("tf"), "positions", "field_len"
     )
 
 
-def build_postings(corpus: DataFrame, stem: bool = True, fulltext: bool = False) -> DataFrame:
-    """The positional inverted index in long form.
+def spread_small(corpus: DataFrame) -> DataFrame:
+    """Put an input that has fewer file splits than there are cores on all cores. Larger inputs
+    are left as they are read and not shuffled."""
+    spark = corpus.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if estimated_bytes(corpus) < cores * split:
+        return corpus.repartition(cores, "doc_id")
+    return corpus
 
-    Documents are spread by id first. The text is smaller than its exploded tokens, every group
-    lies within one document, and so that one shuffle of the text serves tokenising in parallel
-    and grouping, with no second exchange."""
-    spread = corpus.select("doc_id", "title", "content", "categories").repartition("doc_id")
-    return group_postings(fulltext_tokens(spread) if fulltext else index_tokens(spread, stem))
+
+def build_postings(corpus: DataFrame, stem: bool = True, fulltext: bool = False) -> DataFrame:
+    """The positional inverted index in long form: one row per (term, field, document) with
+    ``tf``, sorted ``positions`` and the field length, so that scoring needs no length table."""
+    rows = spread_small(corpus.select("doc_id", "title", "content", "categories"))
+    return _group_within_field(_kept_fulltext_words(rows) if fulltext else _kept_words(rows, stem))
 
 
 def field_lengths(corpus: DataFrame) -> DataFrame:
