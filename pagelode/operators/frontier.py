@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelode.operators.joins import spread_join
 from pagelode.session import fresh_path
 
 
 def frontier_step(level: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFrame:
     """Links of the current level ``(url, depth)``, distinct, minus visited, one level deeper."""
     targets = (
-        edges.join(level.withColumnRenamed("url", "src"), "src")
+        spread_join(edges, level.withColumnRenamed("url", "src"), ["src"], [F.col("dst")])
         .groupBy(F.col("dst").alias("url"))
         .agg(F.min(F.col("depth") + 1).alias("depth"))
     )

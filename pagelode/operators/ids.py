@@ -11,19 +11,25 @@ from pagelode.session import materialise
 def assign_doc_ids(df: DataFrame, order_by: str = "title", out: str = "id") -> DataFrame:
     """Number rows 0..n-1 in order of ``order_by`` (unique values) without a global window.
 
-    Rows are range-partitioned and numbered within their partition; only the row count of each
-    partition is cumulated. The numbered rows are written first, so the counts and the rows they
-    apply to come from the same partitioning."""
-    within = Window.partitionBy("__part").orderBy(order_by)
-    ranged = df.repartitionByRange(order_by).withColumn("__part", F.spark_partition_id())
-    numbered = materialise(ranged.withColumn("__row", F.row_number().over(within)), "ids")
+    Rows are range-partitioned, sorted, and numbered within their partition; only the row count
+    of each partition is cumulated. The numbered rows are written first, so the counts and the rows
+    they apply to come from the same partitioning."""
+    ranged = df.repartitionByRange(order_by).sortWithinPartitions(order_by)
+    # Partition number in the upper bits, row number within the partition in the lower 33.
+    place = ranged.withColumn("__place", F.monotonically_increasing_id())
+    numbered = materialise(
+        place.withColumn("__part", F.shiftright("__place", 33))
+        .withColumn("__row", F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)))
+        .drop("__place"),
+        "ids",
+    )
     counts = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     # One row per range partition: a table of partition counts, not of data.
     running = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("__part", F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__start"))
     return (
         numbered.join(F.broadcast(starts), "__part")
-        .withColumn(out, F.col("__start") + F.col("__row") - 1)
+        .withColumn(out, F.col("__start") + F.col("__row"))
         .drop("__part", "__row", "__start")
     )
 

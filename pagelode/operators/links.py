@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.operators.joins import LANES, fits_broadcast
+from pagelode.operators.joins import spread_join
 
 
 def link_rows(pages: DataFrame) -> DataFrame:
@@ -19,12 +19,7 @@ def resolve_links(pages: DataFrame, dictionary: DataFrame) -> DataFrame:
     links are put in lanes and the dictionary is repeated once per lane."""
     links = link_rows(pages)
     names = dictionary.select(F.col("title").alias("target"), F.col("id").alias("dst"))
-    if fits_broadcast(names):
-        joined = links.join(F.broadcast(names), "target")
-    else:
-        lanes = F.explode(F.sequence(F.lit(0), F.lit(LANES - 1)))
-        lane = F.pmod(F.xxhash64("id", "pos"), F.lit(LANES)).cast("int")
-        joined = links.withColumn("lane", lane).join(names.withColumn("lane", lanes), ["target", "lane"])
+    joined = spread_join(links, names, ["target"], [F.col("id"), F.col("pos")])
     return joined.select(F.col("id").alias("src"), "pos", "dst")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pagelode.operators import links
+from pagelode.operators.joins import spread_join
 from pagelode.session import materialise
 
 DAMPING = 0.85
@@ -30,7 +31,7 @@ def initial_ranks(edges: DataFrame) -> DataFrame:
 def contributions(ranks: DataFrame, edges: DataFrame) -> DataFrame:
     """``src, dst, contrib``: rank over out-degree along every link."""
     share = ranks.withColumnRenamed("id", "src").join(links.out_degree(edges), "src")
-    return edges.join(share, "src").select("src", "dst", (F.col("rank") / F.col("n")).alias("contrib"))
+    return spread_join(edges, share, ["src"], [F.col("dst")]).select("src", "dst", (F.col("rank") / F.col("n")).alias("contrib"))
 
 
 class RankGraph:

@@ -129,43 +129,42 @@ def build_postings(corpus: DataFrame, stem: bool = True, fulltext: bool = False)
     return _group_within_field(_kept_fulltext_words(rows) if fulltext else _kept_words(rows, stem))
 
 
-def field_lengths(corpus: DataFrame) -> DataFrame:
-    """Unfiltered token count per document and field: ``doc_id, field, len``."""
-    return corpus.select("doc_id", _by_field([F.size(tx.tokens(c)) for c in _lowered()], "len"))
+def with_lengths(corpus: DataFrame, fulltext: bool = False) -> DataFrame:
+    """Add ``lengths``: the length of each field, all tokens for the ranked method and kept
+    words for the full-text one."""
+    if fulltext:
+        kept = lambda c: F.size(F.filter(tx.fulltext_words(c), lambda w: ~w.isin(tx.FULLTEXT_STOP_WORDS)))
+        return corpus.withColumn("lengths", F.array(*[kept(c) for c in _lowered("|")]))
+    return corpus.withColumn("lengths", F.array(*[F.size(tx.tokens(c)) for c in _lowered()]))
 
 
-def corpus_stats(corpus: DataFrame) -> DataFrame:
-    """Three rows ``field, n_docs, avg_len`` from one pass with partial aggregation."""
-    sizes = corpus.select(*[F.size(tx.tokens(c)).alias(f"l{i}") for i, c in enumerate(_lowered())])
-    sums = sizes.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"l{i}").alias(f"l{i}") for i in range(N_FIELDS)])
-    return sums.select(F.col("n").alias("n_docs"), _by_field([F.col(f"l{i}") / F.col("n") for i in range(N_FIELDS)], "avg_len"))
+def field_lengths(corpus: DataFrame) -> DataFrame:
+    """Unfiltered token count per document and field: ``doc_id, field, len``."""
+    return with_lengths(corpus).select("doc_id", F.posexplode("lengths").alias("field", "len"))
 
 
-def fulltext_stats(corpus: DataFrame) -> DataFrame:
-    """As :func:`corpus_stats` for the full-text analyser: only documents that have a kept
-    word in the field count."""
-    sizes = corpus.select(
-        *[
-            F.size(F.filter(tx.fulltext_words(c), lambda w: ~w.isin(tx.FULLTEXT_STOP_WORDS))).alias(f"l{i}")
-            for i, c in enumerate(_lowered("|"))
-        ]
-    )
-    sums = sizes.agg(
-        *[F.struct(F.count_if(F.col(f"l{i}") > 0).alias("n"), F.sum(f"l{i}").alias("s")).alias(f"l{i}") for i in range(N_FIELDS)]
+def length_stats(docs: DataFrame, fulltext: bool = False) -> DataFrame:
+    """Three rows ``field, n_docs, avg_len`` from the ``lengths`` of documents, by one partial
+    aggregation. The ranked method counts all documents, the full-text one only those with a
+    word in the field."""
+    length = lambda i: F.get("lengths", F.lit(i))
+    counted = lambda i: F.count_if(length(i) > 0) if fulltext else F.count(F.lit(1))
+    sums = docs.agg(
+        *[F.struct(counted(i).alias("n"), F.sum(length(i)).alias("s")).alias(f"f{i}") for i in range(N_FIELDS)]
     )
-    rows = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("field"),
-                    F.col(f"l{i}.n").alias("n_docs"),
-                    F.try_divide(F.col(f"l{i}.s"), F.col(f"l{i}.n")).alias("avg_len"),
-                )
-                for i in range(N_FIELDS)
-            ]
+    rows = [
+        F.struct(
+            F.lit(i).alias("field"),
+            F.col(f"f{i}.n").alias("n_docs"),
+            F.try_divide(F.col(f"f{i}.s"), F.col(f"f{i}.n")).alias("avg_len"),
         )
-    )
-    return sums.select(rows)
+        for i in range(N_FIELDS)
+    ]
+    return sums.select(F.inline(F.array(*rows)))
+
+
+def corpus_stats(corpus: DataFrame, fulltext: bool = False) -> DataFrame:
+    return length_stats(with_lengths(corpus, fulltext), fulltext)
 
 
 def doc_frequency(postings: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.operators import postings as ps
+from pagelode.operators.joins import estimated_bytes
 
 POSTINGS_SCHEMA = "term string, doc_id bigint, tf int, positions array<int>, field_len int, field int, shard int"
 
@@ -36,12 +37,17 @@ def shard_of(term: Column, n_shards: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(n_shards)).cast("int")
 
 
+def default_shards(corpus: DataFrame) -> int:
+    """One shard per 128 MiB of corpus, between 4 and 4096."""
+    return max(4, min(4096, estimated_bytes(corpus) >> 27))
+
+
 def build_index(corpus: DataFrame, stem: bool = True, fulltext: bool = False) -> SearchIndex:
     """An unpublished index: every table is a lazy DataFrame over ``corpus``."""
     postings = ps.build_postings(corpus, stem, fulltext)
-    stats = ps.fulltext_stats(corpus) if fulltext else ps.corpus_stats(corpus)
+    docs = ps.with_lengths(corpus, fulltext)
     return SearchIndex(
-        postings.withColumn("shard", F.lit(0)), ps.doc_frequency(postings), stats, corpus
+        postings.withColumn("shard", F.lit(0)), ps.doc_frequency(postings), ps.length_stats(docs, fulltext), docs
     )
 
 
@@ -51,7 +57,7 @@ def publish_index(corpus: DataFrame, path: str, n_shards: int | None = None, ste
     The rebalance hint lets adaptive execution split the shard of a very frequent term over
     several files and merge small shards."""
     spark = corpus.sparkSession
-    shards = n_shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = n_shards or default_shards(corpus)
     built = build_index(corpus, stem, fulltext)
     (
         built.postings.withColumn("shard", shard_of(F.col("term"), shards))
@@ -62,8 +68,9 @@ def publish_index(corpus: DataFrame, path: str, n_shards: int | None = None, ste
     )
     written = spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings")
     ps.doc_frequency(written).sortWithinPartitions("term").write.parquet(f"{path}/term_stats")
-    built.stats.coalesce(1).write.parquet(f"{path}/stats")
-    corpus.write.parquet(f"{path}/docs")
+    # Lengths are stored with the documents; the averages are then read from that one column.
+    built.docs.write.parquet(f"{path}/docs")
+    ps.length_stats(spark.read.parquet(f"{path}/docs"), fulltext).coalesce(1).write.parquet(f"{path}/stats")
     return open_index(spark, path, shards)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.functions import markup, text as tx
+from pagelode.operators.joins import spread_join
 
 TITLE_TOKENS = 8
 
@@ -62,4 +63,4 @@ def page_edges(spark: SparkSession, folder: str) -> DataFrame:
     )
     words = F.transform(markup.hrefs(F.col("html"), "nav"), lambda h: F.lower(F.regexp_extract(h, "^/(.*)$", 1)))
     found = pages.select(F.col("page_id").alias("src"), F.explode(F.array_distinct(words)).alias("word"))
-    return found.join(dictionary, "word").select("src", "dst").distinct()
+    return spread_join(found, dictionary, ["word"], [F.col("src")]).select("src", "dst").distinct()
