@@ -212,8 +212,8 @@ def encode_long(texts: DataFrame, path: str, leaf: int, whole: bool) -> DataFram
     def encode(batches):
         encoder = Encoder.load(path)
         for batch in batches:
-            batch[["ids", "starts", "ends"]] = [list(encoder.spans(t)) for t in batch["text"]] or None
-            yield batch[["key", "node", "text", "ids", "starts", "ends"]]
+            rows = [(k, n, t, *encoder.spans(t)) for k, n, t in zip(batch["key"], batch["node"], batch["text"])]
+            yield pd.DataFrame(rows, columns=["key", "node", "text", "ids", "starts", "ends"])
 
     def join(pair: pd.DataFrame) -> pd.DataFrame:
         pair = pair.sort_values("node")

@@ -26,7 +26,7 @@ lines AS (
   WHERE regexp_matches(line, '{WORD}') GROUP BY r
 ),
 measured AS (
-  SELECT doc_id, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT doc_id, source, len(w) AS n_words, coalesce(list_sum([length(x) for x in w]), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words
   FROM d LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)
