@@ -7,25 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import bpe_tree, host_rules, mixing, pii
-from pagelode.llm.common import documents
+from pagelode.llm import bpe_tree, host_rules, mixing, ngram_join, pii
+from pagelode.llm.common import documents, tokenizer_path
 from pagelode.llm.oracle import oracle_sql
 
 __all__ = ["oracle_sql", "queries"]
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    """Place of a public tokenizer file; the package is installed on every machine."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op2_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     found = bpe_tree.encode_documents(documents(spark, folder).select("doc_id", "text"), tokenizer_path())
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_jaccard_join(documents(spark, folder))
+
+
 def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = host_rules.quality_by_host(documents(spark, folder).select("doc_id", "text", "source"))
     return found.select("doc_id", *host_rules.MEASURES, "base_failed", "kept")
@@ -50,4 +47,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_tree, op6_host_rules, op7_mixing, op9_pii)}
+    return {f.__name__: f for f in (op2_bpe_tree, op4_ngram_join, op6_host_rules, op7_mixing, op9_pii, pipeline)}
