@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import bpe_tree, host_rules, mixing, ngram_join, pii
+from pagelode.llm import bpe_tree, host_rules, mixing, ngram_join, pii, substring_repeats
 from pagelode.llm.common import documents, tokenizer_path
 from pagelode.llm.oracle import oracle_sql
 
@@ -19,6 +19,11 @@ def op2_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op3_substring_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_repeats.remove_repeats(documents(spark, folder).select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(documents(spark, folder))
 
@@ -47,4 +52,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_tree, op4_ngram_join, op6_host_rules, op7_mixing, op9_pii, pipeline)}
+    return {f.__name__: f for f in (op2_bpe_tree, op3_substring_repeats, op4_ngram_join, op6_host_rules, op7_mixing, op9_pii, pipeline)}
