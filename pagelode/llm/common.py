@@ -165,3 +165,44 @@ def links_in_buckets(members: DataFrame, verify, stars: int = 2) -> DataFrame:
         if labelled.isEmpty():
             return links
 
+
+def shared(rows: DataFrame) -> DataFrame:
+    """The rows of buckets with two nodes or more, with the bucket's number of rows, written."""
+    whole = Window.partitionBy("bucket")
+    spans = rows.withColumn("low", F.min("node").over(whole)).withColumn("high", F.max("node").over(whole))
+    spans = spans.withColumn("many", F.count(F.lit(1)).over(whole))
+    return materialise(spans.where("low <> high").drop("low", "high"), "shared")
+
+
+def verified(sets: DataFrame):
+    """A function from pairs of nodes to those whose sets are 80 % alike. The sets of one side are
+    found by the pairs, then those of the other join them."""
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        right = sets.select(F.col("node").alias("b"), F.col("n").alias("y"), F.col("tokens").alias("v"))
+        right = right.join(checked(pairs), "b")
+        left = sets.select(F.col("node").alias("a"), F.col("n").alias("x"), F.col("tokens").alias("u"))
+        left = left.join(checked(materialise(pairs.select("a").distinct(), "hubs")), "a", "left_semi")
+        both = F.size(F.array_intersect("u", "v"))
+        return right.join(left, "a").where(100 * both >= 80 * (F.col("x") + F.col("y") - both)).select("a", "b")
+
+    return verify
+
+
+# --- running sums ------------------------------------------------------------------------------
+
+
+def running_total(rows: DataFrame, group: str, order: list[str], size: str, out: str) -> DataFrame:
+    """``rows`` with ``out``: the sum of ``size`` over the rows of the same ``group`` before each in ``order``.
+
+    Rows are dealt to ranges of (group, order), the ranges are summed, and the prefix sums of the
+    ranges (a row for each) are added to those inside a range; no group is gathered in one task."""
+    parts = materialise(rows.repartitionByRange(group, *order).withColumn("__part", F.spark_partition_id()), "ranges")
+    sums = parts.groupBy(group, "__part").agg(F.sum(size).alias("__sum"))
+    before = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(F.col(group).alias("__g"), F.col("__part").alias("__p"), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__start"))
+    starts = checked(materialise(starts, "starts"))
+    inside = Window.partitionBy(group, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    joined = parts.join(starts, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__part") == F.col("__p")))
+    own = F.coalesce(F.sum(size).over(inside), F.lit(0))
+    return joined.withColumn(out, F.col("__start") + own).drop("__part", "__g", "__p", "__start")

@@ -19,10 +19,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import WordHash, checked, components, distinct_shingles, links_in_buckets, mix
+from pagelode.llm.common import WordHash, checked, components, distinct_shingles, links_in_buckets, mix, shared, verified
 from pagelode.session import materialise
 
 WIDTH, PERCENT = 5, 80
@@ -133,29 +133,6 @@ def extended(sets: DataFrame, frequent: DataFrame) -> DataFrame:
     return materialise(grouped.mapInArrow(index, "bucket bigint, node bigint, n int"), "extended")
 
 
-def shared(rows: DataFrame) -> DataFrame:
-    """The rows of buckets with two nodes or more, with the bucket's number of rows, written."""
-    whole = Window.partitionBy("bucket")
-    spans = rows.withColumn("low", F.min("node").over(whole)).withColumn("high", F.max("node").over(whole))
-    spans = spans.withColumn("many", F.count(F.lit(1)).over(whole))
-    return materialise(spans.where("low <> high").drop("low", "high"), "shared")
-
-
-def verified(sets: DataFrame):
-    """A function from pairs of nodes to those whose sets are 80 % alike. The sets of one side are
-    found by the pairs, then those of the other join them."""
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        right = sets.select(F.col("node").alias("b"), F.col("n").alias("y"), F.col("tokens").alias("v"))
-        right = right.join(checked(pairs), "b")
-        left = sets.select(F.col("node").alias("a"), F.col("n").alias("x"), F.col("tokens").alias("u"))
-        left = left.join(checked(materialise(pairs.select("a").distinct(), "hubs")), "a", "left_semi")
-        both = F.size(F.array_intersect("u", "v"))
-        return right.join(left, "a").where(100 * both >= PERCENT * (F.col("x") + F.col("y") - both)).select("a", "b")
-
-    return verify
-
-
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """Two written tables: ``doc_id, mark, n, label`` for every document (label null for an empty set),
     and ``label, component_id, first_mark``: the smallest id of each label's documents and its text's mark."""

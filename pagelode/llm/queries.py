@@ -7,13 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import bpe_tree, host_rules, mixing, ngram_join, pii, substring_repeats
+from pagelode.llm import bpe_tree, collisions, host_rules, merkle, mixing, ngram_join, paragraphs, pii, separators, substring_repeats
 from pagelode.llm.common import documents, tokenizer_path
 from pagelode.llm.oracle import oracle_sql
+from pagelode.session import materialise
 
 __all__ = ["oracle_sql", "queries"]
 
 
+def op1_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Fixity audit of a replica of ``pages``. The replica is made from the table: in pages 7, 57, 107 and so on
+    the last byte is changed, and pages 5, 102, 199 and so on are gone; files are the hosts' first
+    letters. Every page is hashed, in both."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    pages = pages.withColumn("file", F.substring(F.md5("url"), 1, 1))
+    records = merkle.laid_out(pages, "file", ["page_id", "url"], "html", header=merkle.HEADER)
+    spoiled = F.when(F.col("page_id") % 50 == 7, F.concat(F.expr("left(html, length(html) - 1)"), F.lit("~"))).otherwise(F.col("html"))
+    hashed = pages.where("page_id % 97 <> 5").select(
+        "file", "page_id", "url", F.sha2(spoiled.cast("binary"), 256).alias("digest"), (F.octet_length(spoiled) + merkle.HEADER).alias("length")
+    )
+    # The replica's records lie where the primary's lay; damage does not move the others.
+    where = records.select("file", "page_id", "url", "offset")
+    replica = hashed.join(where, ["file", "page_id", "url"]).select("file", "offset", F.col("length").cast("bigint").alias("length"), "digest")
+    found = merkle.audit(records, materialise(replica, "replica"))
+    return found.select("file", F.col("offset").alias("record_offset"), F.col("length").alias("n_bytes"), "digest", "status")
+
+
 def op2_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     found = bpe_tree.encode_documents(documents(spark, folder).select("doc_id", "text"), tokenizer_path())
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -28,6 +47,11 @@ def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(documents(spark, folder))
 
 
+def op5_separators(spark: SparkSession, folder: str) -> DataFrame:
+    blocks = separators.write_token_files(documents(spark, folder), tokenizer_path())
+    return separators.document_lengths(blocks)
+
+
 def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = host_rules.quality_by_host(documents(spark, folder).select("doc_id", "text", "source"))
     return found.select("doc_id", *host_rules.MEASURES, "base_failed", "kept")
@@ -37,6 +61,10 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.remove_near_paragraphs(documents(spark, folder).select("doc_id", "text"))
+
+
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_personal_data(documents(spark, folder).select("doc_id", "text"))
     number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
@@ -45,6 +73,11 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_collisions(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return collisions.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -52,4 +85,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_tree, op3_substring_repeats, op4_ngram_join, op6_host_rules, op7_mixing, op9_pii, pipeline)}
+    named = [op1_merkle, op2_bpe_tree, op3_substring_repeats, op4_ngram_join, op5_separators, op6_host_rules, op7_mixing]
+    return {f.__name__: f for f in [*named, op8_paragraphs, op9_pii, op10_collisions, pipeline]}
