@@ -30,7 +30,7 @@ LEAF = 1 << 15
 #: Tokens at each side of a join in the first window.
 WINDOW = 16
 #: Words and letter runs that a worker remembers.
-MEMORY = 1 << 18
+MEMORY = 1 << 17
 
 #: Fixed values of the vocabulary's format: how it splits words, and its special tokens.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -62,8 +62,9 @@ class Encoder:
         # Letters that are their own normal form and whose lower case is one letter.
         self.plain = regex.compile("[\\x21-\\x7eÀ-įı-ſ]*")
         self.characters = _byte_characters()
-        self.words: dict[str, tuple[int, bytes, str]] = {}
-        self.runs: dict[str, tuple[tuple[int, ...], tuple[str, ...]]] = {}
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.words: dict[str, tuple[bytes, str]] = {}
+        self.runs: dict[str, tuple[bytes, str]] = {}
 
     @classmethod
     def load(cls, path: str) -> "Encoder":
@@ -71,36 +72,40 @@ class Encoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def _run(self, run: str):
-        if run in self.runs:
-            return self.runs[run]
-        shown = run if run.isascii() else "".join(self.characters[b] for b in run.encode())
-        tokens = self.tokenizer.model.tokenize(shown)
-        if len(self.runs) >= MEMORY:
-            self.runs.clear()
-        found = self.runs[run] = tuple(t.id for t in tokens), tuple(t.value for t in tokens)
-        return found
-
-    def word(self, word: str) -> tuple[int, bytes, str]:
-        """Number of ids, ids as little-endian 32-bit integers, and tokens joined by blanks."""
+    def _known(self, tokens) -> tuple[bytes, str]:
+        """Ids as little-endian 32-bit integers, and tokens joined by blanks."""
+        return b"".join([self.packed[t] for t, _ in tokens]), " ".join([value for _, value in tokens])
+
+    def run(self, run: str) -> tuple[bytes, str]:
+        """Encoding of a letter run, a digit or a run of signs, in lower case."""
+        if run not in self.runs:
+            shown = run if run.isascii() else "".join([self.characters[b] for b in run.encode()])
+            if len(self.runs) >= MEMORY:
+                self.runs.clear()
+            self.runs[run] = self._known([(t.id, t.value) for t in self.tokenizer.model.tokenize(shown)])
+        return self.runs[run]
+
+    def word(self, word: str) -> tuple[bytes, str]:
+        """Encoding of what stands between two blanks."""
         if word in self.words:
             return self.words[word]
-        if self.plain.fullmatch(word) and "<|" not in word:
-            runs = [self._run(run) for run in self.pretokens.findall(word.lower())]
-            ids, tokens = [i for run in runs for i in run[0]], [t for run in runs for t in run[1]]
+        if word.isascii() and word.isalpha():
+            found = self.run(word.lower())
+        elif "<|" not in word and self.plain.fullmatch(word):
+            runs = [self.run(run) for run in self.pretokens.findall(word.lower())]
+            found = b"".join([r[0] for r in runs]), " ".join([r[1] for r in runs])
         else:
             encoding = self.tokenizer.encode(word, add_special_tokens=False)
-            ids, tokens = encoding.ids, encoding.tokens
+            found = self._known(list(zip(encoding.ids, encoding.tokens)))
         if len(self.words) >= MEMORY:
             self.words.clear()
-        found = self.words[word] = len(ids), np.array(ids, "<u4").tobytes(), " ".join(tokens)
+        self.words[word] = found
         return found
 
-    def leaf(self, text: str) -> tuple[int, bytes, str]:
+    def leaf(self, text: str) -> tuple[bytes, str]:
         """Ids and decoded text of a whole short text; blanks and line ends separate words."""
-        words = [self.word(w) for line in text.split("\n") for w in line.split(" ") if w]
-        found = [w for w in words if w[0]]
-        return sum(w[0] for w in found), b"".join(w[1] for w in found), " ".join(w[2] for w in found)
+        found = [self.word(w) for w in text.replace("\n", " ").split(" ") if w]
+        return b"".join([w[0] for w in found]), " ".join([w[1] for w in found if w[1]])
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids with the first and the last character position of each."""
@@ -182,8 +187,8 @@ _DIGEST = T.StructType(
 _WHOLE = T.StructType([*_DIGEST.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
 
 
-def _row(n: int, ids: bytes, decoded: str, whole: bool) -> tuple:
-    digest = (n, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+def _row(ids: bytes, decoded: str, whole: bool) -> tuple:
+    digest = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
     return (*digest, np.frombuffer(ids, "<u4").astype("int32"), decoded) if whole else digest
 
 
@@ -224,7 +229,7 @@ def encode_long(texts: DataFrame, path: str, leaf: int, whole: bool) -> DataFram
     def finish(batches):
         for batch in batches:
             encoder = Encoder.load(path)
-            rows = [(k, *_row(len(i), np.asarray(i).astype("<u4").tobytes(), encoder.decode(i), whole)) for k, i in zip(batch["key"], batch["ids"])]
+            rows = [(k, *_row(np.asarray(i).astype("<u4").tobytes(), encoder.decode(i), whole)) for k, i in zip(batch["key"], batch["ids"])]
             yield pd.DataFrame(rows, columns=["key", *RESULT[: 5 if whole else 3]])
 
     parts = texts.mapInPandas(cut, "key string, node bigint, text string").repartition("key", "node")

@@ -174,11 +174,52 @@ def shared(rows: DataFrame) -> DataFrame:
     return materialise(spans.where("low <> high").drop("low", "high"), "shared")
 
 
-def verified(sets: DataFrame):
-    """A function from pairs of nodes to those whose sets are 80 % alike. The sets of one side are
-    found by the pairs, then those of the other join them."""
+def checked_size(df: DataFrame, size) -> DataFrame:
+    """``df``, a written table, with a broadcast hint if ``size`` (bytes of a row, a column) adds up to at
+    most ``BROADCAST_BYTES``."""
+    total = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+
+
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """A bit set of a token set in 64-bit words, at least a bit for each token: a bit is on if an odd number of
+    tokens falls on it. Two sets differ in at least as many tokens as their bit sets in bits."""
+    words = 1 << max(0, (max(1, len(tokens)) - 1).bit_length() - 6)
+    odd = np.bincount((tokens & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _differing_bits(u, v):
+    """Differing bits of two bit sets; the longer is folded, which keeps the bound. Sets of sizes within
+    80 % differ by one folding at most."""
+
+    def folded(x, other):
+        half = F.floor(F.size(x) / 2).cast("int")
+        twice = F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(x) > F.size(other), twice).otherwise(x)
+
+    words = F.zip_with(folded(u, v), folded(v, u), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(words, F.lit(0), lambda total, n: total + n)
+
+
+def promising(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs that may be 80 % alike by ``sketches`` (node, n, bits): alike sets differ in at most a ninth
+    of their tokens together, and their bit sets in no more bits. Written."""
+    bits = checked_size(sketches, F.size("bits") * 8 + 48)
+    side = lambda key, n, b: bits.select(F.col("node").alias(key), F.col("n").alias(n), F.col("bits").alias(b))
+    both = pairs.join(side("a", "x", "u"), "a").join(side("b", "y", "v"), "b")
+    return materialise(both.where(9 * _differing_bits(F.col("u"), F.col("v")) <= F.col("x") + F.col("y")).select("a", "b"), "promising")
+
+
+def verified(sets_of, sketches: DataFrame | None = None):
+    """A function from pairs of nodes to those whose sets are 80 % alike. ``sets_of`` makes node, n, tokens for
+    a table of nodes. The sets of one side are found by the pairs, then those of the other join them."""
 
     def verify(pairs: DataFrame) -> DataFrame:
+        if sketches is not None:
+            pairs = promising(pairs, sketches)
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = sets_of(materialise(ends, "ends"))
         right = sets.select(F.col("node").alias("b"), F.col("n").alias("y"), F.col("tokens").alias("v"))
         right = right.join(checked(pairs), "b")
         left = sets.select(F.col("node").alias("a"), F.col("n").alias("x"), F.col("tokens").alias("u"))

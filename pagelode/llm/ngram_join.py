@@ -7,7 +7,8 @@ Tokens are ordered by hash. Tokens that too many nodes index ("frequent") form a
 behind all others: a node whose first tokens hold frequent ones takes rarer tokens instead, and if
 it has too few of them, extends its prefix by one more frequent token and indexes the pairs of its frequent
 ones, for with c tokens of that class in the prefix, c - 1 misses still leave a common pair.
-Candidates are compared inside the index buckets without forming all pairs, and verified exactly.
+Candidates are compared inside the index buckets without forming all pairs; bit sets rule out most of
+those that are not alike, and the rest are verified by their whole sets.
 
 Defined results: a null or empty text, or one without words, has an empty set and links with nothing;
 fewer than five words are one token; rows with the same text are linked with each other; a null id
@@ -22,13 +23,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import WordHash, checked, components, distinct_shingles, links_in_buckets, mix, shared, verified
+from pagelode.llm.common import BROADCAST_BYTES, WordHash, checked, components, distinct_shingles, links_in_buckets, mix, parity_bits, shared, verified
 from pagelode.session import materialise
 
 WIDTH, PERCENT = 5, 80
 #: A token is frequent if more nodes than this have it.
 FREQUENT = 1000
 
+#: Tokens of the nodes that a task counts together, and from how many of them on a token is noted.
+RECENT, OFTEN = 1 << 21, 4
+
+NODE_COLUMNS = ["doc_id", "mark", "n", "node", "prefix", "bits", "often", "often_n"]
+
 _signed = lambda values: np.ascontiguousarray(values).view(np.int64)
 
 
@@ -50,49 +56,76 @@ def _lists(values: list[np.ndarray | None]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int64()))
 
 
-def _table(batch: pa.RecordBatch, names: list[str], arrays: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(arrays, names=names)
-
-
 def nodes_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, mark`` (hash of the text)``, n, node, prefix``: one row for each document, written. The first
-    tokens come with the first document of a node in each task only."""
+    """One row for each document, written: ``doc_id, mark`` (hash of the text)``, n, node``; with the first document
+    of a node in each task also ``prefix`` (its first tokens) and ``bits`` (see ``parity_bits``); and from time to time
+    ``often``: tokens that ``OFTEN`` or more of the last nodes have, with their number."""
 
     def prepare(batches):
-        known, seen = WordHash(), set()
+        known, seen, recent, held = WordHash(), set(), [], 0
         for batch in batches:
             sets = [distinct_shingles(t, WIDTH, known) for t in batch.column(2).cast(pa.binary()).to_pylist()]
             names = [set_name(s) if len(s) else None for s in sets]
-            prefixes = []
+            prefixes, bits, often = [], [], [None] * len(sets)
             for s, name in zip(sets, names):
                 new = name is not None and name not in seen
                 prefixes.append(_signed(s[: misses(len(s)) + 1]) if new else None)
-                seen.add(name)
-            yield _table(
-                batch,
-                ["doc_id", "mark", "n", "node", "prefix"],
-                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int32()), pa.array(names, pa.int64()), _lists(prefixes)],
-            )
+                bits.append(parity_bits(s) if new else None)
+                if new:
+                    seen.add(name)
+                    recent.append(s)
+                    held += len(s)
+            if held >= RECENT and sets:
+                often[-1], recent, held = heavy(recent), [], 0
+            columns = [
+                batch.column(0),
+                batch.column(1),
+                pa.array([len(s) for s in sets], pa.int32()),
+                pa.array(names, pa.int64()),
+                _lists(prefixes),
+                _lists(bits),
+                _lists([None if o is None else o[0] for o in often]),
+                _lists([None if o is None else o[1] for o in often]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=NODE_COLUMNS)
+        if recent:
+            last = heavy(recent)
+            none = [pa.array([None], kind) for kind in (pa.int64(), pa.int64(), pa.int32(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*none, _lists([None]), _lists([None]), _lists([last[0]]), _lists([last[1]])], names=NODE_COLUMNS)
 
     given = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-    return materialise(given.mapInArrow(prepare, "doc_id bigint, mark bigint, n int, node bigint, prefix array<bigint>"), "nodes")
+    kinds = ["bigint", "bigint", "int", "bigint", *["array<bigint>"] * 4]
+    return materialise(given.mapInArrow(prepare, ", ".join(f"{c} {k}" for c, k in zip(NODE_COLUMNS, kinds))), "nodes")
+
 
+def heavy(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that ``OFTEN`` or more of the sets have, and how many."""
+    tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
+    return _signed(tokens[counts >= OFTEN]), counts[counts >= OFTEN]
 
-def token_sets(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, n, tokens`` of the ``wanted`` nodes, from the text of one document of each."""
+
+def wanted_texts(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``text`` of one document of each of the ``wanted`` nodes; rows alike in id and text come together."""
     given = nodes.where("prefix IS NOT NULL").join(checked(wanted), "node", "left_semi")
     given = materialise(given.groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("d")).select("d.*").distinct(), "wanted")
+    texts = docs.select(F.col(doc_id).cast("bigint").alias("d"), F.xxhash64(text).alias("m"), F.col(text).alias("text"))
+    return texts.join(checked(given), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark")), "left_semi").select("text")
+
+
+def token_sets(texts: DataFrame) -> DataFrame:
+    """``node, n, tokens`` of texts, written; a set that a task meets again is passed over."""
 
     def sets(batches):
-        known = WordHash()
+        known, seen = WordHash(), set()
         for batch in batches:
             found = [distinct_shingles(t, WIDTH, known) for t in batch.column(0).cast(pa.binary()).to_pylist()]
-            names = pa.array([set_name(s) for s in found], pa.int64())
-            yield _table(batch, ["node", "n", "tokens"], [names, pa.array([len(s) for s in found], pa.int32()), _lists([_signed(s) for s in found])])
+            named = [(set_name(s), s) for s in found]
+            named = [(name, s) for name, s in named if not (name in seen or seen.add(name))]
+            names = pa.array([name for name, _ in named], pa.int64())
+            sizes = pa.array([len(s) for _, s in named], pa.int32())
+            yield pa.RecordBatch.from_arrays([names, sizes, _lists([_signed(s) for _, s in named])], names=["node", "n", "tokens"])
 
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("d"), F.xxhash64(text).alias("m"), F.col(text).alias("text"))
-    texts = texts.join(checked(given), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark")), "left_semi")
-    return materialise(texts.select("text").mapInArrow(sets, "node bigint, n int, tokens array<bigint>"), "sets")
+    return materialise(texts.mapInArrow(sets, "node bigint, n int, tokens array<bigint>"), "sets")
 
 
 def signatures(rare: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -107,54 +140,91 @@ def signatures(rare: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         return np.concatenate([rare, mix(chosen[left] * np.uint64(3) + mix(chosen[right]))])
 
 
-def extended(sets: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``bucket, node, n`` of ``sets`` under the token classes that the table ``frequent`` (token) makes."""
-
-    def index(batches):
+def extended(texts: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``bucket, node, n`` of texts under the token classes that the written table ``frequent`` (token) makes. The
+    class goes to the tasks as a sorted array while it fits a broadcast; beyond, tokens are joined with it."""
+    if frequent.count() * 8 <= BROADCAST_BYTES:
+        # Bounded by the check above: the frequent tokens, not the corpus.
+        values = np.sort(np.array([r[0] for r in frequent.select("token").collect()], np.int64).view(np.uint64))
+        shared_values = texts.sparkSession.sparkContext.broadcast(values)
+
+        def index(batches):
+            known, seen, often = WordHash(), set(), shared_values.value
+            for batch in batches:
+                nodes, sizes, found = [], [], [np.empty(0, np.uint64)]
+                for t in batch.column(0).cast(pa.binary()).to_pylist():
+                    tokens = distinct_shingles(t, WIDTH, known)
+                    name = set_name(tokens)
+                    if name not in seen:
+                        seen.add(name)
+                        flags = np.isin(tokens, often)
+                        found.append(signatures(tokens[~flags], tokens[flags]))
+                        nodes.append(name)
+                        sizes.append(len(tokens))
+                yield _index_rows(nodes, sizes, found[1:])
+
+        return materialise(texts.mapInArrow(index, _INDEX), "extended")
+
+    def joined(batches):
         for batch in batches:
             found = []
             for tokens, often in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                own = np.array(tokens, np.int64).view(np.uint64)
-                flags = np.array(often, bool)
+                own, flags = np.array(tokens, np.int64).view(np.uint64), np.array(often, bool)
                 order = np.argsort(own)
-                own, flags = own[order], flags[order]
-                found.append(_signed(signatures(own[~flags], own[flags])))
-            counts = [len(f) for f in found]
-            flat = np.concatenate(found) if found else np.empty(0, np.int64)
-            spread = lambda i: pa.array(np.repeat(batch.column(i).to_numpy(), counts))
-            yield _table(batch, ["bucket", "node", "n"], [pa.array(flat, pa.int64()), spread(0), spread(1)])
-
-    flags = sets.select("node", "n", F.explode("tokens").alias("token")).join(
-        checked(frequent.select("token", F.lit(True).alias("often"))), "token", "left"
-    )
+                found.append(signatures(own[order][~flags[order]], own[order][flags[order]]))
+            yield _index_rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), found)
+
+    flags = token_sets(texts).select("node", "n", F.explode("tokens").alias("token"))
+    flags = flags.join(frequent.select("token", F.lit(True).alias("often")), "token", "left")
     pairs = F.collect_list(F.struct("token", F.coalesce("often", F.lit(False)).alias("often")))
     # The tokens of one text: as many as it has words at most.
     grouped = flags.groupBy("node", "n").agg(pairs.alias("p")).select("node", "n", "p.token", "p.often")
-    return materialise(grouped.mapInArrow(index, "bucket bigint, node bigint, n int"), "extended")
+    return materialise(grouped.mapInArrow(joined, _INDEX), "extended")
+
+
+_INDEX = "bucket bigint, node bigint, n int"
+
+
+def _index_rows(nodes: list, sizes: list, found: list[np.ndarray]) -> pa.RecordBatch:
+    counts = [len(f) for f in found]
+    flat = np.concatenate([*found, np.empty(0, np.uint64)])
+    columns = [pa.array(_signed(flat)), pa.array(np.repeat(np.array(nodes, np.int64), counts)), pa.array(np.repeat(np.array(sizes, np.int32), counts))]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "node", "n"])
+
+
+def index_members(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, frequent: int) -> DataFrame:
+    """``bucket, node, n`` of the index buckets with two nodes or more, written. Tokens that tasks have noted often
+    are frequent from the start; should a single token's bucket still be too large, it becomes
+    frequent too and the index is made again, until none is."""
+    index = nodes.where("prefix IS NOT NULL").select(F.explode("prefix").alias("bucket"), "node", "n")
+    noted = nodes.where("often IS NOT NULL").select(F.inline(F.arrays_zip("often", "often_n"))).groupBy(F.col("often").alias("token"))
+    classes = materialise(noted.agg(F.sum("often_n").alias("k")).where(F.col("k") > frequent).select("token"), "frequent")
+    while True:
+        touched = materialise(index.join(checked(classes), F.col("bucket") == F.col("token"), "left_semi").select("node").distinct(), "touched")
+        rows = index
+        if not touched.isEmpty():
+            new = extended(wanted_texts(docs, doc_id, text, nodes, touched), classes)
+            rows = index.join(checked(touched), "node", "left_anti").select("bucket", "node", "n").union(new)
+        members = shared(rows)
+        large = members.where(F.col("many") > 4 * frequent).select(F.col("bucket").alias("token")).distinct()
+        # Of the large buckets, those of single tokens: values that stand in some prefix.
+        single = large.join(index.select(F.col("bucket").alias("token")), "token", "left_semi").join(checked(classes), "token", "left_anti")
+        single = materialise(single, "large")
+        if single.isEmpty():
+            return members.drop("many")
+        classes = materialise(classes.union(single), "frequent")
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """Two written tables: ``doc_id, mark, n, label`` for every document (label null for an empty set),
     and ``label, component_id, first_mark``: the smallest id of each label's documents and its text's mark."""
     nodes = nodes_of(docs, doc_id, text)
-    index = nodes.where("prefix IS NOT NULL").select(F.explode("prefix").alias("bucket"), "node", "n")
-    members = shared(index)
-    often = members.where(F.col("many") > frequent)
-    touched = materialise(often.select("node").distinct(), "touched")
-    members = members.drop("many")
-    if not touched.isEmpty():
-        sets = token_sets(docs, doc_id, text, nodes, touched)
-        counts = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > frequent)
-        classes = materialise(counts.select("token").union(often.select("bucket")).distinct(), "frequent")
-        new = extended(sets, classes)
-        others = lambda rows: rows.join(checked(touched), "node", "left_anti").select("bucket", "node", "n")
-        met = materialise(new.select("bucket").distinct(), "buckets")
-        again = others(index.join(checked(met), "bucket", "left_semi"))
-        members = shared(others(members).union(again).union(new)).drop("many")
-    candidates = materialise(members.select("node").distinct(), "candidates")
-    links = links_in_buckets(members, verified(token_sets(docs, doc_id, text, nodes, candidates)))
+    members = index_members(docs, doc_id, text, nodes, frequent)
+    sketches = materialise(nodes.where("prefix IS NOT NULL").select("node", "n", "bits").dropDuplicates(["node"]), "sketches")
+    sets_of = lambda wanted: token_sets(wanted_texts(docs, doc_id, text, nodes, wanted)).dropDuplicates(["node"])
+    links = links_in_buckets(members, verified(sets_of, sketches))
     groups = components(links).withColumnRenamed("root", "label")
-    documents = nodes.drop("prefix").join(checked(groups), "node", "left")
+    documents = nodes.where("n IS NOT NULL").select("doc_id", "mark", "n", "node").join(checked(groups), "node", "left")
     documents = materialise(documents.select("doc_id", "mark", "n", F.coalesce("label", "node").alias("label")), "labelled")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("best")
     firsts = documents.where("label IS NOT NULL").groupBy("label").agg(best)

@@ -141,8 +141,7 @@ def paragraph_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """``mark, doc_id, line, label, words, removed``: every paragraph that has a near copy elsewhere, written."""
     places = listed(docs, text).distinct()
     members = shared(banded(docs, text)).drop("many")
-    candidates = materialise(members.select("node").distinct(), "candidates")
-    links = links_in_buckets(members, verified(paragraph_sets(docs, text, places, candidates)))
+    links = links_in_buckets(members, verified(lambda wanted: paragraph_sets(docs, text, places, wanted)))
     groups = components(links).withColumnRenamed("root", "label")
     whole = F.coalesce(F.col(text), F.lit(""))
     owners = docs.select(F.xxhash64(whole).alias("mark"), F.col(doc_id).cast("bigint").alias("doc_id")).distinct()

@@ -33,7 +33,7 @@ def write_token_files(docs: DataFrame, path: str, text: str = "text", end: int =
         for batch in batches:
             out = []
             for t in batch.column(0).to_pylist():
-                rest += np.frombuffer(encoder.leaf(t or "")[1], "<u4").astype("<u2").tobytes() + stop
+                rest += np.frombuffer(encoder.leaf(t or "")[0], "<u4").astype("<u2").tobytes() + stop
                 while len(rest) >= block:
                     out.append(bytes(rest[:block]))
                     del rest[:block]
