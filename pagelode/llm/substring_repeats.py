@@ -258,7 +258,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", whole: bool = False) ->
     names = RESULT[: 5 if whole else 4]
     columns = [c for c in docs.columns if c not in names]
     ranges = repeated_ranges(docs, text).withColumnsRenamed({"key": "__key", "low": "__low", "high": "__high"})
-    size = ranges.agg(F.count(F.lit(1)) * 64 + F.coalesce(F.sum(F.size("__low")), F.lit(0)) * 16).first()[0]
-    ranges = F.broadcast(ranges) if size <= BROADCAST_BYTES else ranges
+    # Ranges grow with the corpus: texts and ranges meet by a sort-merge join at every size.
     keyed = docs.select("*", F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__key")).join(ranges, "__key", "left")
     return keyed.select(*columns, _cut(whole)(F.col(text), F.col("__low"), F.col("__high")).alias("__r")).select(*columns, "__r.*")
