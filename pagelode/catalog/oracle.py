@@ -52,6 +52,12 @@ def _ranks(steps: int) -> dict[str, str]:
             f"(SELECT e.dst, sum(r.rank / d.n) AS s FROM edges e JOIN rank{i - 1} r ON r.id = e.src JOIN deg d ON d.src = e.src GROUP BY e.dst) c "
             f"ON c.dst = nodes.id"
         )
+    # The first round in which no rank moves by 1e-6 or more; 0.85 ** k is below that before 90 rounds.
+    out["moves"] = " UNION ALL ".join(
+        f"SELECT {i} AS round_no, max(abs(a.rank - b.rank)) AS move FROM rank{i} a JOIN rank{i - 1} b ON b.id = a.id" for i in range(1, steps + 1)
+    )
+    out["still"] = "SELECT min(round_no) AS round_no FROM moves WHERE move < 1e-6 OR move IS NULL"
+    out["rankconv"] = " UNION ALL ".join(f"SELECT id, rank FROM rank{i}, still WHERE round_no = {i}" for i in range(1, steps + 1))
     return out
 
 
@@ -133,9 +139,9 @@ CTES: dict[str, str] = {
     "WHERE t.field = 0 AND (q.category = '' OR c.value IS NOT NULL)",
     "normed": "SELECT h.*, CASE WHEN low = high THEN 100 ELSE (text_score - low) / (high - low) * 100 END AS text_norm FROM hits h "
     "JOIN (SELECT query_id, min(text_score) AS low, max(text_score) AS high FROM hits GROUP BY query_id) x ON x.query_id = h.query_id",
-    "docranks": "SELECT c.doc_id, coalesce(r.rank, 1.0::DOUBLE / (SELECT count(*) FROM corpus)) AS rank FROM corpus c LEFT JOIN rank10 r ON r.id = c.doc_id",
+    "docranks": "SELECT c.doc_id, coalesce(r.rank, 1.0::DOUBLE / (SELECT count(*) FROM corpus)) AS rank FROM corpus c LEFT JOIN rankconv r ON r.id = c.doc_id",
     "blended": "SELECT n.query_id, n.doc_id, n.text_norm, d.rank / m.m * 1000 AS rank_norm, n.text_norm * 0.9::DOUBLE + d.rank / m.m * 1000 * 0.1::DOUBLE AS total "
-    "FROM normed n JOIN docranks d ON d.doc_id = n.doc_id CROSS JOIN (SELECT max(rank) AS m FROM rank10) m",
+    "FROM normed n JOIN docranks d ON d.doc_id = n.doc_id CROSS JOIN (SELECT max(rank) AS m FROM rankconv) m",
     "ranked": "SELECT query_id, doc_id, text_score AS total, row_number() OVER (PARTITION BY query_id ORDER BY round(text_score, 8) DESC, doc_id) AS rank FROM hits",
     "rankedpr": "SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(total, 8) DESC, doc_id) AS rank FROM blended",
     "results": "SELECT * FROM ranked WHERE rank <= 1000",
@@ -189,7 +195,7 @@ CTES: dict[str, str] = {
     # generated query texts
     "turns": "SELECT conv_id * 1000 + turn AS query_id, CASE WHEN turn > 0 THEN text || ' category: ' || upper(left(role, 1)) || substr(role, 2) || ' ' ELSE text END AS query FROM conversations",
     "headings": "SELECT min(page_id) AS query_id, title AS query FROM pg GROUP BY title",
-    **_ranks(10),
+    **_ranks(90),
 }
 
 
@@ -338,7 +344,8 @@ def oracle_sql() -> dict[str, str]:
         "pagerank_contrib": sql("SELECT e.src, e.dst, round(1.0::DOUBLE / (SELECT n FROM nsrc) / d.n, 9) AS contrib FROM edges e JOIN deg d ON d.src = e.src"),
         "pagerank_step": sql("SELECT id, round(rank, 9) AS rank FROM rank1"),
         "pagerank_k10": sql("SELECT id, round(rank, 9) AS rank FROM rank10"),
-        "max_rank": sql("SELECT round(max(rank), 9) AS max_rank FROM rank10"),
+        "pagerank_converged": sql("SELECT id, round(rank, 9) AS rank FROM rankconv"),
+        "max_rank": sql("SELECT round(max(rank), 9) AS max_rank FROM rankconv"),
         "rank_lookup_default": sql("SELECT doc_id, round(rank, 9) AS rank FROM docranks"),
         "fetch_postings": sql("SELECT query_id, term, field::BIGINT AS field, doc_id, tf FROM matched"),
         "bm25_log_score": sql("SELECT query_id, field::BIGINT AS field, doc_id, term, round(score, 6) AS value FROM scored"),
@@ -352,7 +359,7 @@ def oracle_sql() -> dict[str, str]:
         "hit_count": sql("SELECT q.query_id, count(h.doc_id) AS hits FROM qtext q LEFT JOIN hits h ON h.query_id = q.query_id GROUP BY q.query_id"),
         "minmax_normalize": sql("SELECT query_id, doc_id, round(text_norm, 6) AS score FROM normed"),
         "blend_rank": sql("SELECT query_id, doc_id, round(text_norm, 6) AS text_norm, round(rank_norm, 6) AS rank_norm, round(total, 6) AS total FROM blended"),
-        "topk_results": sql(f"SELECT {result_cols} FROM ranked WHERE rank <= 100"),
+        "topk_results": sql(f"SELECT {result_cols} FROM ranked WHERE rank <= 1000"),
         "search_text": sql(f"SELECT {result_cols} FROM results"),
         "search_text_rank": sql(f"SELECT {result_cols} FROM rankedpr WHERE rank <= 1000"),
         "search_batch": sql(f"SELECT {result_cols} FROM results", qtext="SELECT query_id, query FROM headings"),
@@ -379,7 +386,7 @@ def oracle_sql() -> dict[str, str]:
         "ft_must_not": sql("SELECT query_id, field::BIGINT AS field, doc_id, round(any_term, 6) AS score FROM ftclauses WHERE freq = 0"),
         "ft_field_query": sql("SELECT query_id, field::BIGINT AS field, doc_id, round(value, 6) AS score FROM ftvalued"),
         "ft_cross_field_must": sql("SELECT query_id, doc_id, round(text_score, 6) AS score FROM fthits"),
-        "ft_topk": sql(f"SELECT {result_cols} FROM ftranked WHERE rank <= 100"),
+        "ft_topk": sql(f"SELECT {result_cols} FROM ftranked WHERE rank <= 1000"),
         "search_fulltext": sql(f"SELECT {result_cols} FROM ftranked WHERE rank <= 1000"),
     }
     return q

@@ -64,7 +64,7 @@ def fulltext_index(spark: SparkSession, folder: str) -> index_store.SearchIndex:
 
 
 def page_ranks(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(spark, folder, "ranks", lambda: pr.pagerank_steps(tables.page_edges(spark, folder), 10))
+    return _once(spark, folder, "ranks", lambda: materialise(pr.pagerank(tables.page_edges(spark, folder)), "page-ranks"))
 
 
 def ranked_index(spark: SparkSession, folder: str) -> index_store.SearchIndex:
@@ -719,7 +719,7 @@ def _result_rows(results: DataFrame) -> DataFrame:
 @query
 def topk_results(spark, folder):
     hits = _hits(spark, folder).withColumn("total", F.col("text_score"))
-    return _result_rows(ranked.top_results(hits, 100))
+    return _result_rows(ranked.top_results(hits))
 
 
 @query
@@ -877,7 +877,7 @@ def ft_cross_field_must(spark, folder):
 
 @query
 def ft_topk(spark, folder):
-    return _result_rows(ranked.search_fulltext(fulltext_index(spark, folder), query_list(spark), 100))
+    return _result_rows(ranked.search_fulltext(fulltext_index(spark, folder), query_list(spark)))
 
 
 @query

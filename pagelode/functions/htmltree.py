@@ -1,11 +1,13 @@
 """The per-page markup helper: a small element tree over the standard library parser.
 
-Selectors are chains of ``tag``, ``#id``, ``.class`` or ``tag.class``, joined by spaces
-(descendant) or ``>`` (child).
+Selectors are chains of ``tag``, ``#id``, ``.class``, ``tag.class`` or ``tag[class=whole value]``, joined by
+spaces (descendant) or ``>`` (child). Nothing here recurses, and every pass takes time in proportion to the page,
+however deep its elements are nested.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -25,7 +27,8 @@ class Selectors:
     categories: str = "nav ul > li"
     footer: str = "footer"
     links: str = "nav"
-    remove: tuple[str, ...] = ("sup.reference", "span.mw-editsection", "table", "div")
+    # The elements dropped from article text.
+    remove: tuple[str, ...] = ("sup[class=reference]", "span[class=mw-editsection]", "table", "div")
 
 
 @dataclass(eq=False)
@@ -39,14 +42,22 @@ class Node:
         return [c for c in self.children if isinstance(c, Node)]
 
     def walk(self):
-        for child in self.elements():
-            yield child
-            yield from child.walk()
+        """The elements below, in document order."""
+        stack = self.elements()[::-1]
+        while stack:
+            node = stack.pop()
+            yield node
+            stack.extend(node.elements()[::-1])
 
     def text(self) -> str:
-        if self.tag in ("script", "style"):
-            return ""
-        return "".join(c if isinstance(c, str) else c.text() for c in self.children)
+        parts, stack = [], [self]
+        while stack:
+            item = stack.pop()
+            if isinstance(item, str):
+                parts.append(item)
+            elif item.tag not in ("script", "style"):
+                stack.extend(item.children[::-1])
+        return "".join(parts)
 
     def drop(self) -> None:
         if self.parent is not None:
@@ -56,6 +67,9 @@ class Node:
     def matches(self, part: str) -> bool:
         if part.startswith("#"):
             return self.attrs.get("id") == part[1:]
+        if part.endswith("]"):
+            tag, _, value = part[:-1].partition("[class=")
+            return (not tag or self.tag == tag) and self.attrs.get("class") == value
         tag, _, name = part.partition(".")
         return (not tag or self.tag == tag) and (not name or name in (self.attrs.get("class") or "").split())
 
@@ -64,12 +78,17 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.open = Node("", {})
+        self.depth: Counter = Counter()  # open elements by tag
 
     def _close(self, tag: str, stop: frozenset = frozenset()) -> None:
+        if not self.depth[tag]:
+            return
         node = self.open
         while node.parent is not None and node.tag not in stop:
             if node.tag == tag:
-                self.open = node.parent
+                while self.open is not node.parent:
+                    self.depth[self.open.tag] -= 1
+                    self.open = self.open.parent
                 return
             node = node.parent
 
@@ -82,6 +101,7 @@ class _Builder(HTMLParser):
         self.open.children.append(node)
         if tag not in VOID:
             self.open = node
+            self.depth[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -94,26 +114,29 @@ class _Builder(HTMLParser):
 
 
 def select(root: Node, selector: str) -> list[Node]:
-    """Nodes below ``root`` matching the selector, in document order."""
-    steps = selector.replace(">", " > ").split()
-
-    def fits(node: Node, i: int) -> bool:
-        if not node.matches(steps[i]):
-            return False
-        if i == 0:
-            return True
-        child_only = steps[i - 1] == ">"
-        j = i - 2 if child_only else i - 1
-        up = node.parent
-        while up is not None:
-            if fits(up, j):
-                return True
-            if child_only:
-                return False
-            up = up.parent
-        return False
-
-    return [n for n in root.walk() if fits(n, len(steps) - 1)]
+    """Nodes below ``root`` matching the selector, in document order. Each node carries down which steps of the
+    selector it matches itself and which some element above it does."""
+    words = selector.replace(">", " > ").split()
+    steps = [(w, i > 0 and words[i - 1] == ">") for i, w in enumerate(words) if w != ">"]
+    chain, top = [], root
+    while top is not None:
+        chain.append(top)
+        top = top.parent
+    own, above = frozenset(), frozenset()
+
+    def matched(node: Node, parent: frozenset, over: frozenset) -> frozenset:
+        return frozenset(i for i, (part, child) in enumerate(steps) if (i == 0 or i - 1 in (parent if child else over)) and node.matches(part))
+
+    for node in reversed(chain):
+        own, above = matched(node, own, above), above | own
+    found, stack = [], [(c, own, above | own) for c in root.elements()[::-1]]
+    while stack:
+        node, parent, over = stack.pop()
+        mine = matched(node, parent, over)
+        if len(steps) - 1 in mine:
+            found.append(node)
+        stack.extend((c, mine, over | mine) for c in node.elements()[::-1])
+    return found
 
 
 def _trim(text: str) -> str:

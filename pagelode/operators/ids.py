@@ -35,11 +35,14 @@ def assign_doc_ids(df: DataFrame, order_by: str = "title", out: str = "id") -> D
 
 
 def first_per_key(df: DataFrame, key: str, arrival: str) -> DataFrame:
-    """First row of each key by the unique column ``arrival``. The winners are found by a
-    partial aggregation on two columns and matched back by arrival, so a key with very many
-    copies never gathers its rows in one task."""
-    winners = df.groupBy(key).agg(F.min(arrival).alias(arrival)).select(arrival)
-    return df.join(winners, arrival, "left_semi")
+    """One row for each key: that of the smallest ``arrival``; of rows that tie in it, the one with the smallest
+    hash of all columns, and of rows alike in all columns one. Winners are found by a partial
+    aggregation and matched back by key, arrival and hash, so a key with very many copies never gathers its
+    rows in one task; the copies that are still there are dropped by a partial aggregation too."""
+    tagged = df.withColumn("__tag", F.xxhash64(*df.columns))
+    best = tagged.groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(F.col(arrival).alias("a"), "__tag")).alias("__best"))
+    same = F.col(key).eqNullSafe(F.col("__key")) & F.col(arrival).eqNullSafe(F.col("__best.a")) & (F.col("__tag") == F.col("__best.__tag"))
+    return tagged.join(best, same, "left_semi").dropDuplicates([key]).drop("__tag")
 
 
 def title_dictionary(pages: DataFrame) -> DataFrame:

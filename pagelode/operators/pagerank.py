@@ -104,12 +104,14 @@ def pagerank_steps(edges: DataFrame, steps: int, damping: float = DAMPING) -> Da
     """A fixed number of iterations: ``id, rank``. Ranks are written every few steps to keep
     the lineage short."""
     graph = RankGraph(edges, damping)
-    ranks = graph.start()
-    for i in range(1, steps + 1):
-        ranks = graph.step(ranks)
-        if i % MATERIALISE_EVERY == 0 or i == steps:
-            ranks = materialise(ranks, "ranks")
-    graph.close()
+    try:
+        ranks = graph.start()
+        for i in range(1, steps + 1):
+            ranks = graph.step(ranks)
+            if i % MATERIALISE_EVERY == 0 or i == steps:
+                ranks = materialise(ranks, "ranks")
+    finally:
+        graph.close()
     return ranks.select("id", "rank")
 
 
@@ -120,10 +122,17 @@ def pagerank(
 
     Several iterations form one job that ends in a written table; the largest move of each is
     observed on the way. If an iteration inside the job was already still, the job is repeated
-    up to it, so the result is that of stopping at the first still iteration."""
+    up to it, so the result is that of stopping at the first still iteration. Ranks that are not still
+    after ``max_steps`` raise an error."""
     graph = RankGraph(edges, damping)
-    ranks = graph.start()
-    done = 0
+    try:
+        return _until_still(graph, tolerance, max_steps).select("id", "rank")
+    finally:
+        graph.close()
+
+
+def _until_still(graph: RankGraph, tolerance: float, max_steps: int) -> DataFrame:
+    ranks, done = graph.start(), 0
     while done < max_steps:
         steps = min(MATERIALISE_EVERY, max_steps - done)
         stepped, moves = ranks, []
@@ -134,15 +143,11 @@ def pagerank(
             )
         reached = materialise(stepped, "ranks")
         still = [i for i, move in enumerate(moves, 1) if (move.get["move"] or 0.0) < tolerance]
+        if still and still[0] == steps:
+            return reached
         if still:
-            if still[0] < steps:
-                reached = ranks
-                for _ in range(still[0]):
-                    reached = graph.step(reached)
-                reached = materialise(reached, "ranks")
-            ranks = reached
-            break
-        ranks = reached
-        done += steps
-    graph.close()
-    return ranks.select("id", "rank")
+            for _ in range(still[0]):
+                ranks = graph.step(ranks)
+            return materialise(ranks, "ranks")
+        ranks, done = reached, done + steps
+    raise RuntimeError(f"ranks still move by {tolerance} or more after {max_steps} steps")

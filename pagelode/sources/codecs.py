@@ -31,19 +31,31 @@ def encode_postings(lists: DataFrame) -> DataFrame:
     return lists.select(F.concat_ws("\t", "term", body).alias("value"))
 
 
+_ENTRY = r"[0-9]+:[0-9]+(?:,[0-9]+)*\|(?:[0-9]+(?:,[0-9]+)*)?"
+#: A whole posting line: a term, a tab, entries.
+POSTING_LINE = rf"^[^\t]+\t{_ENTRY}(?:;{_ENTRY})*$"
+
+
+def bad_postings(lines: DataFrame) -> DataFrame:
+    """The lines that ``decode_postings`` skips: not of the form of a posting line."""
+    return lines.where(F.col("value").isNull() | ~F.col("value").rlike(POSTING_LINE))
+
+
 def decode_postings(lines: DataFrame) -> DataFrame:
     """Lines back to ``term, doc_id, freq, fields``: ``fields`` slices the flat position list
-    by the per-field frequencies."""
-    entries = lines.select(
+    by the per-field frequencies. Malformed lines are skipped; ``bad_postings`` returns them. Numbers
+    too large for their type are NULL."""
+    entries = lines.where(F.col("value").rlike(POSTING_LINE)).select(
         F.split_part("value", F.lit("\t"), F.lit(1)).alias("term"),
         F.explode(F.split(F.split_part("value", F.lit("\t"), F.lit(2)), ";")).alias("entry"),
     )
     head, flat = F.split_part("entry", F.lit("|"), F.lit(1)), F.split_part("entry", F.lit("|"), F.lit(2))
+    numbers = lambda text: F.when(text == "", F.array().cast("array<int>")).otherwise(F.split(text, ",").try_cast("array<int>"))
     parts = entries.select(
         "term",
-        F.split_part(head, F.lit(":"), F.lit(1)).cast("long").alias("doc_id"),
-        F.split(F.split_part(head, F.lit(":"), F.lit(2)), ",").cast("array<int>").alias("freq"),
-        F.split(flat, ",").cast("array<int>").alias("flat"),
+        F.split_part(head, F.lit(":"), F.lit(1)).try_cast("long").alias("doc_id"),
+        numbers(F.split_part(head, F.lit(":"), F.lit(2))).alias("freq"),
+        numbers(flat).alias("flat"),
     )
 
     def field_slice(f: Column, i: Column) -> Column:

@@ -4,10 +4,10 @@ import pytest
 from check_queries import compare, connect
 
 import __spark_entry__ as contract
+from pagelode.catalog import queries as catalog
 
-# Link iteration to convergence is compared with a plain-Python loop in test_links; here it would
-# only repeat a minute of small jobs.
-SKIP = {"pagerank_converged"}
+# The training-data queries are compared in tests/llm.
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -17,14 +17,14 @@ def con(small):
 
 def test_sql_keys_are_queries():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"pagerank_converged", "ft_snippet"}
+    assert set(NAMES) - set(contract.oracle_sql()) == {"ft_snippet"}
 
 
 def test_entry(spark):
     assert contract.entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - SKIP))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, con, small, name):
     outcome = compare(spark, con, small, name, contract.oracle_sql().get(name))
     assert outcome.startswith(("ok", "rows=")), outcome
