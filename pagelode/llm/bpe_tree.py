@@ -110,8 +110,8 @@ class Encoder:
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids with the first and the last character position of each."""
         encoding = self.tokenizer.encode(text, add_special_tokens=False)
-        places = np.array(encoding.offsets, np.int64).reshape(-1, 2)
-        return np.array(encoding.ids, np.int64), places[:, 0], places[:, 1]
+        places = np.array(encoding.offsets, np.int32).reshape(-1, 2)
+        return np.array(encoding.ids, np.int32), places[:, 0].copy(), places[:, 1].copy()
 
     def decode(self, ids) -> str:
         return self.tokenizer.decode(list(map(int, ids)), skip_special_tokens=False)
@@ -202,35 +202,37 @@ def _short(path: str, whole: bool):
     return encode
 
 
-_NODE = "key string, node bigint, text string, ids array<bigint>, starts array<bigint>, ends array<bigint>"
+_NODE = "key string, node bigint, text string, ids array<int>, starts array<int>, ends array<int>"
 
 
 def encode_long(texts: DataFrame, path: str, leaf: int, whole: bool) -> DataFrame:
     """Results for distinct long ``texts`` (key, text): a row for each leaf, joined level by level; a
-    group is never more than two neighbours."""
+    group is never more than two neighbours. Tasks hand on each row as soon as it is made, so that a worker
+    holds one encoded text and not a batch of them."""
 
     def cut(batches):
         for batch in batches:
-            rows = [(k, n, part) for k, t in zip(batch["key"], batch["text"]) for n, part in enumerate(leaves(t, leaf))]
-            yield pd.DataFrame(rows, columns=["key", "node", "text"])
+            for key, text in zip(batch["key"], batch["text"]):
+                yield pd.DataFrame([(key, n, part) for n, part in enumerate(leaves(text, leaf))], columns=["key", "node", "text"])
 
     def encode(batches):
         encoder = Encoder.load(path)
         for batch in batches:
-            rows = [(k, n, t, *encoder.spans(t)) for k, n, t in zip(batch["key"], batch["node"], batch["text"])]
-            yield pd.DataFrame(rows, columns=["key", "node", "text", "ids", "starts", "ends"])
+            for key, node, text in zip(batch["key"], batch["node"], batch["text"]):
+                yield pd.DataFrame([(key, node, text, *encoder.spans(text))], columns=["key", "node", "text", "ids", "starts", "ends"])
 
     def join(pair: pd.DataFrame) -> pd.DataFrame:
         pair = pair.sort_values("node")
-        parts = [(r.text, *(np.asarray(x, np.int64) for x in (r.ids, r.starts, r.ends))) for r in pair.itertuples()]
+        parts = [(r.text, *(np.asarray(x, np.int32) for x in (r.ids, r.starts, r.ends))) for r in pair.itertuples()]
         found = parts[0] if len(parts) == 1 else join_encodings(Encoder.load(path), *parts)
         return pd.DataFrame([(pair["key"].iloc[0], pair["node"].iloc[0] // 2, *found)], columns=list(pair.columns))
 
     def finish(batches):
         for batch in batches:
             encoder = Encoder.load(path)
-            rows = [(k, *_row(np.asarray(i).astype("<u4").tobytes(), encoder.decode(i), whole)) for k, i in zip(batch["key"], batch["ids"])]
-            yield pd.DataFrame(rows, columns=["key", *RESULT[: 5 if whole else 3]])
+            for key, ids in zip(batch["key"], batch["ids"]):
+                found = _row(np.asarray(ids).astype("<u4").tobytes(), encoder.decode(ids), whole)
+                yield pd.DataFrame([(key, *found)], columns=["key", *RESULT[: 5 if whole else 3]])
 
     parts = texts.mapInPandas(cut, "key string, node bigint, text string").repartition("key", "node")
     nodes = materialise(parts.mapInPandas(encode, _NODE), "leaves")
