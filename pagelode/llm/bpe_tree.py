@@ -19,6 +19,7 @@ import unicodedata
 import numpy as np
 import pandas as pd
 import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -202,46 +203,72 @@ def _short(path: str, whole: bool):
     return encode
 
 
-_NODE = "key string, node bigint, text string, ids array<int>, starts array<int>, ends array<int>"
+_NODE = "key string, node bigint, parts bigint, packed binary"
+
+
+def packed(text: str, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """An encoded text in one compressed value: its numbers as differences, so that they take little room."""
+    body = text.encode()
+    gaps = np.diff(starts, prepend=0)
+    numbers = np.concatenate([[len(body), len(ids)], ids, gaps, ends - starts]).astype("<i4")
+    # Lowest bytes together, then the next: most of them are zero.
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T)
+    return len(numbers).to_bytes(8, "little") + zstandard.compress(planes.tobytes() + body, 1)
+
+
+def unpacked(value: bytes) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+    """``text, ids, starts, ends`` of a packed value."""
+    count, data = int.from_bytes(value[:8], "little"), zstandard.decompress(value[8:])
+    planes = np.frombuffer(data, np.uint8, 4 * count).reshape(4, -1)
+    numbers = np.ascontiguousarray(planes.T).view("<i4").ravel()
+    n = int(numbers[1])
+    ids, gaps, widths = numbers[2 : 2 + n], numbers[2 + n : 2 + 2 * n], numbers[2 + 2 * n :]
+    starts = np.cumsum(gaps, dtype=np.int32)
+    return data[4 * count :].decode(), ids, starts, starts + widths
 
 
 def encode_long(texts: DataFrame, path: str, leaf: int, whole: bool) -> DataFrame:
     """Results for distinct long ``texts`` (key, text): a row for each leaf, joined level by level; a
-    group is never more than two neighbours. Tasks hand on each row as soon as it is made, so that a worker
-    holds one encoded text and not a batch of them."""
+    group is two neighbours. A text whose parts are all joined takes no part in further levels. Tasks hand on
+    each row as soon as it is made, so that a worker holds one encoded text and not a batch of them."""
 
     def cut(batches):
         for batch in batches:
             for key, text in zip(batch["key"], batch["text"]):
-                yield pd.DataFrame([(key, n, part) for n, part in enumerate(leaves(text, leaf))], columns=["key", "node", "text"])
+                found = leaves(text, leaf)
+                yield pd.DataFrame([(key, n, len(found), part) for n, part in enumerate(found)], columns=["key", "node", "parts", "text"])
 
     def encode(batches):
         encoder = Encoder.load(path)
         for batch in batches:
-            for key, node, text in zip(batch["key"], batch["node"], batch["text"]):
-                yield pd.DataFrame([(key, node, text, *encoder.spans(text))], columns=["key", "node", "text", "ids", "starts", "ends"])
+            for key, node, parts, text in zip(batch["key"], batch["node"], batch["parts"], batch["text"]):
+                yield pd.DataFrame([(key, node, parts, packed(text, *encoder.spans(text)))], columns=["key", "node", "parts", "packed"])
 
     def join(pair: pd.DataFrame) -> pd.DataFrame:
         pair = pair.sort_values("node")
-        parts = [(r.text, *(np.asarray(x, np.int32) for x in (r.ids, r.starts, r.ends))) for r in pair.itertuples()]
-        found = parts[0] if len(parts) == 1 else join_encodings(Encoder.load(path), *parts)
-        return pd.DataFrame([(pair["key"].iloc[0], pair["node"].iloc[0] // 2, *found)], columns=list(pair.columns))
+        found = join_encodings(Encoder.load(path), *(unpacked(value) for value in pair["packed"]))
+        first = pair.iloc[0]
+        return pd.DataFrame([(first["key"], first["node"] // 2, first["parts"] // 2, packed(*found))], columns=list(pair.columns))
 
     def finish(batches):
         for batch in batches:
             encoder = Encoder.load(path)
-            for key, ids in zip(batch["key"], batch["ids"]):
-                found = _row(np.asarray(ids).astype("<u4").tobytes(), encoder.decode(ids), whole)
+            for key, value in zip(batch["key"], batch["packed"]):
+                ids = unpacked(value)[1]
+                found = _row(ids.astype("<u4").tobytes(), encoder.decode(ids), whole)
                 yield pd.DataFrame([(key, *found)], columns=["key", *RESULT[: 5 if whole else 3]])
 
-    parts = texts.mapInPandas(cut, "key string, node bigint, text string").repartition("key", "node")
+    parts = texts.mapInPandas(cut, "key string, node bigint, parts bigint, text string").repartition("key", "node")
     nodes = materialise(parts.mapInPandas(encode, _NODE), "leaves")
-    top = nodes.agg(F.max("node")).first()[0] or 0
-    while top:
-        nodes = nodes.groupBy("key", F.shiftright("node", 1).alias("pair")).applyInPandas(lambda pair: join(pair), _NODE)
-        nodes, top = materialise(nodes, "joined"), top // 2
+    done = nodes.where("parts = 1")
+    most = nodes.agg(F.max("parts")).first()[0] or 1
+    while most > 1:
+        open_ = nodes.where("parts > 1")
+        nodes = open_.groupBy("key", F.shiftright("node", 1).alias("pair")).applyInPandas(lambda pair: join(pair), _NODE)
+        nodes, most = materialise(nodes, "joined"), most // 2
+        done = done.union(nodes.where("parts = 1"))
     out = T.StructType([T.StructField("key", T.StringType()), *(_WHOLE if whole else _DIGEST).fields])
-    return materialise(nodes.select("key", "ids").mapInPandas(finish, out), "encoded")
+    return materialise(done.select("key", "packed").mapInPandas(finish, out), "encoded")
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", whole: bool = False, leaf: int = LEAF) -> DataFrame:
