@@ -122,26 +122,30 @@ def components(edges: DataFrame) -> DataFrame:
 # --- links inside buckets ----------------------------------------------------------------------
 
 
-def links_in_buckets(members: DataFrame, verify, stars: int = 2) -> DataFrame:
+def links_in_buckets(members: DataFrame, verify, stars: int = 3) -> DataFrame:
     """Links ``a, b`` that connect the same nodes as all verified links between members of the
     same bucket, without comparing all pairs of a bucket.
 
     ``members`` is a written table (bucket, node bigint, n int) in which a bucket may repeat a node;
     ``verify`` takes pairs (a, b, distinct) and returns those that are links. In each star round every member of
-    a bucket is compared with one member of it, drawn by hash; members joined already share a
-    label, and a bucket of one label is finished. What is left after ``stars`` rounds is compared
-    exactly: every member outside the bucket's most frequent label with all members of other
-    labels. Pairs of one label are never compared, as they are connected."""
+    a bucket is compared with one member of it, the hub, which then leaves the bucket: all its pairs there are
+    known. Hubs are drawn by hash of the node in the first round, so that like buckets make like pairs, and
+    of node and bucket in the later ones, so that a node in many like buckets meets many hubs. Members joined
+    already share a label, and a bucket of one label is finished. What is left after ``stars`` rounds is
+    compared exactly: every member outside the bucket's most frequent label with all members of
+    other labels. Pairs of one label are never compared, as they are connected."""
     spark = members.sparkSession
     links = spark.createDataFrame([], "a bigint, b bigint")
+    whole = Window.partitionBy("bucket")
     labelled = members.select("bucket", "node", "n", F.col("node").alias("label"))
     for turn in range(stars + 1):
         if turn < stars:
-            drawn = F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", F.lit(turn)))
-            pairs = labelled.withColumn("hub", drawn.over(Window.partitionBy("bucket")))
-            pairs = pairs.where("label <> hub.label").select(
+            key = F.xxhash64("node") if not turn else F.xxhash64("node", "bucket", F.lit(turn))
+            labelled = labelled.withColumn("hub", F.min_by(F.struct("node", "n", "label"), key).over(whole))
+            pairs = labelled.where("label <> hub.label").select(
                 F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), F.col("n").alias("x"), F.col("hub.n").alias("y")
             )
+            labelled = labelled.where("node <> hub.node").drop("hub")
         else:
             rest = labelled.distinct()
             sizes = rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
@@ -157,10 +161,9 @@ def links_in_buckets(members: DataFrame, verify, stars: int = 2) -> DataFrame:
         if turn == stars:
             return links
         groups = components(links)
-        renamed = labelled.select("bucket", "node", "n").join(checked(groups), "node", "left")
+        renamed = labelled.join(checked(groups), "node", "left")
         renamed = renamed.select("bucket", "node", "n", F.coalesce("root", "node").alias("label"))
-        ends = Window.partitionBy("bucket")
-        open_ = renamed.withColumn("low", F.min("label").over(ends)).withColumn("high", F.max("label").over(ends))
+        open_ = renamed.withColumn("low", F.min("label").over(whole)).withColumn("high", F.max("label").over(whole))
         labelled = materialise(open_.where("low <> high").drop("low", "high"), "open")
         if labelled.isEmpty():
             return links
