@@ -92,6 +92,80 @@ ordered AS (
 SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, extra - before)))::BIGINT AS taken FROM ordered
 """
 
+# Floors of quotients, written for DuckDB's truncating division.
+def _floor(up: str, down: str) -> str:
+    return f"(({up}) // ({down}) - CASE WHEN ({up}) % ({down}) < 0 THEN 1 ELSE 0 END)"
+
+
+def _op11_round(book: str, step: int) -> str:
+    return f"""
+near{step} AS (
+  SELECT r, part, min(ROW(apart, entry)) AS best
+  FROM (SELECT r, part, entry, list_sum(list_transform(list_zip(v.p, b.p), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS apart
+        FROM parts v JOIN {book} b USING (part)) GROUP BY r, part
+),"""
+
+
+def _op11_update(book: str, step: int) -> str:
+    return f"""
+means{step} AS (
+  SELECT part, entry, list({_floor("s", "c")} ORDER BY place) AS p
+  FROM (SELECT part, best[2] AS entry, place, sum(x)::BIGINT AS s, count(*) AS c
+        FROM (SELECT part, best, unnest(p) AS x, unnest(range(len(p))) AS place FROM near{step} JOIN parts USING (r, part)) GROUP BY ALL)
+  GROUP BY part, entry
+),
+book{step} AS (SELECT part, entry, coalesce(m.p, b.p) AS p FROM {book} b LEFT JOIN means{step} m USING (part, entry)),"""
+
+
+_OP11 = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS (
+  SELECT r, part, v[part * len(v) // 16 + 1 : (part + 1) * len(v) // 16] AS p FROM (SELECT r, v, unnest(range(16)) AS part FROM kept)
+),
+book0 AS (SELECT part, r - 1 AS entry, p FROM parts WHERE r <= 64),
+{_op11_round("book0", 1)}{_op11_update("book0", 1)}{_op11_round("book1", 2)}{_op11_update("book1", 2)}{_op11_round("book2", 3)}
+codes AS (
+  SELECT r, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error FROM near3 GROUP BY r
+),
+coded AS (SELECT vec_id, label, code, error FROM kept JOIN codes USING (r)),
+sha AS (SELECT sha256(string_agg(array_to_string(p, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, sha
+"""
+
+_OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+),
+words AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS of_lang FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+had AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+pairs AS (SELECT DISTINCT lang, source FROM d),
+sized AS (
+  SELECT pairs.*, coalesce((SELECT sum(n) FROM had WHERE had.lang = pairs.lang AND had.source = pairs.source), 0) AS n_group,
+         coalesce((SELECT sum(of_lang) FROM kept WHERE kept.lang = pairs.lang), 0) AS n_lang,
+         (SELECT count(*) FROM kept WHERE kept.lang = pairs.lang) AS v FROM pairs
+),
+cells AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(n, 0) + 2) // (n_group + 2 * v) AS p,
+         1 + 1000000000::HUGEINT * (of_lang + 2) // (n_lang + 2 * v) AS q
+  FROM sized JOIN kept USING (lang) LEFT JOIN had USING (lang, source, term)
+),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) FROM cells x JOIN cells y USING (lang, term)
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM pairs a JOIN pairs b ON a.lang = b.lang AND a.source <> b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM cells WHERE n > 0 AND p > q
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_host_rules": _OP6, "op7_mixing": _OP7}
+    return {"op6_host_rules": _OP6, "op7_mixing": _OP7, "op11_dual_tree": _OP11, "op12_divergence": _OP12}

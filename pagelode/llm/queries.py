@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.llm import bpe_tree, collisions, host_rules, merkle, mixing, ngram_join, paragraphs, pii, separators, substring_repeats
+from pagelode.llm import (
+    bpe_tree,
+    collisions,
+    divergence,
+    dual_tree,
+    host_rules,
+    merkle,
+    mixing,
+    ngram_join,
+    paragraphs,
+    pii,
+    separators,
+    substring_repeats,
+    url_filter,
+)
 from pagelode.llm.common import documents, tokenizer_path
 from pagelode.llm.oracle import oracle_sql
 from pagelode.session import materialise
@@ -78,6 +92,20 @@ def op10_collisions(spark: SparkSession, folder: str) -> DataFrame:
     return collisions.nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op11_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
+    codes, books = dual_tree.compress(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    found = dual_tree.with_label_error(codes).withColumn("codebooks_sha256", F.lit(dual_tree.codebooks_sha256(books)))
+    return found.select(F.col("key").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(documents(spark, folder))
+
+
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{folder}/pages.parquet"), ["page_id"])
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,4 +114,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [op1_merkle, op2_bpe_tree, op3_substring_repeats, op4_ngram_join, op5_separators, op6_host_rules, op7_mixing]
-    return {f.__name__: f for f in [*named, op8_paragraphs, op9_pii, op10_collisions, pipeline]}
+    return {f.__name__: f for f in [*named, op8_paragraphs, op9_pii, op10_collisions, op11_dual_tree, op12_divergence, op13_url_filter, pipeline]}
