@@ -18,7 +18,12 @@ FT_STOPS = _strings(FULLTEXT_STOP_WORDS)
 QUERY_VALUES = ", ".join(f"({i}::BIGINT, '{q}')" for i, q in QUERY_LIST)
 WS = r"[ \t\n\r\f]+"
 CTRL = r"^[\x00-\x20]+|[\x00-\x20]+$"
-FT_WORD = r"[\p{L}\p{N}_]+(?:[''.’][\p{L}\p{N}_]+)*"
+# Word breaks for the alphabets the tables hold (no Han, Kana or Thai, whose words need other rules). Quotes are doubled for SQL.
+_FT_LETTERS = r"[\p{L}\p{Nl}][\p{L}\p{Nl}\p{M}]*"
+_FT_LETTERS += rf"(?:[:·''.‘’․]{_FT_LETTERS})*"
+_FT_NUMBERS = r"\p{Nd}[\p{Nd}\p{M}]*"
+_FT_NUMBERS += rf"(?:[,;⁄''.‘’․]{_FT_NUMBERS})*"
+FT_WORD = rf"_*(?:{_FT_LETTERS}|{_FT_NUMBERS})+(?:_+(?:{_FT_LETTERS}|{_FT_NUMBERS})+)*_*"
 URL = r"^([A-Za-z][A-Za-z0-9+.-]*)://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)(\?[^#]*)?"
 TAG = "<[^>]*>"
 

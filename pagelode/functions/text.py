@@ -18,13 +18,45 @@ STOP_WORDS = (
     "few more most other some such no nor not only own same so than too very"
 ).split()
 
-# Stop words of the full-text analyser, and its word pattern (letters and digits,
-# joined across one inner apostrophe or full stop).
+# Stop words of the full-text analyser.
 FULLTEXT_STOP_WORDS = (
     "a an and are as at be but by for if in into is it no not of on or such that the their then "
     "there these they this to was will with"
 ).split()
-FULLTEXT_WORD = r"[\p{L}\p{N}_]+(?:['.’][\p{L}\p{N}_]+)*"
+#: Longer words of the full-text analyser are cut into pieces of this length.
+FULLTEXT_LONGEST = 255
+
+# Classes of the published rules for Unicode word breaks (UAX 29). Marks and format characters belong to the
+# character before them; the second to fourth join letters, numbers, or both, where one stands on each side.
+_MARK = r"\p{M}\u00AD\u200C-\u200F\u202A-\u202E\u2060-\u2064\uFEFF"
+_MID_LETTER = r":\u00B7\u0387\u05F4\u2027\uFE13\uFE55\uFF1A"
+_MID_NUMBER = r",;\u037E\u0589\u060C\u060D\u066C\u07F8\u2044\uFE10\uFE14\uFE50\uFE54\uFF0C\uFF1B"
+_MID_BOTH = r"'.\u2018\u2019\u2024\uFE52\uFF07\uFF0E"
+_JOINER = r"_\u203F\u2040\u2054\uFE33\uFE34\uFE4D-\uFE4F\uFF3F"
+_KATAKANA = r"\p{IsKatakana}\u3031-\u3035\u309B\u309C\u30A0\u30FC\uFF70"
+_UNSPACED = r"\p{IsThai}\p{IsLao}\p{IsMyanmar}\p{IsKhmer}"
+_HEBREW = r"\u05D0-\u05EA\u05EF-\u05F2"
+
+
+def _word_pattern() -> str:
+    """A word as those rules find it: letters and numbers that touch, with what joins them; a run of Katakana; a run of a
+    script that is written without spaces; one Han or Hiragana character. Every repeat of a group is possessive:
+    Java matches a plain one by recursion, and a text may be one word of a megabyte."""
+    others = rf"[^\p{{IsHan}}\p{{IsHiragana}}{_KATAKANA}{_UNSPACED}]"
+    run = lambda first, more: rf"[{first}][{more}{_MARK}]*+"
+    letters = rf"[\p{{L}}\p{{Nl}}&&{others}][\p{{L}}\p{{Nl}}{_MARK}&&{others}]*+"
+    letters += rf"(?:[{_MID_LETTER}{_MID_BOTH}][{_MARK}]*+{letters})*+"
+    # After a Hebrew letter an apostrophe belongs to the word, and a quotation mark if another one follows.
+    letters += rf"(?:(?<=[{_HEBREW}])(?:'|\"(?=[{_HEBREW}])))?+"
+    numbers = run(r"\p{Nd}", r"\p{Nd}")
+    numbers += rf"(?:[{_MID_NUMBER}{_MID_BOTH}][{_MARK}]*+{numbers})*+"
+    joiner = run(_JOINER, _JOINER)
+    group = rf"(?:{run(_KATAKANA, _KATAKANA)}|(?:{letters}|{numbers})++)"
+    word = rf"(?:{joiner})?+{group}(?:{joiner}{group})*+(?:{joiner})?+"
+    return rf"{word}|{run(_UNSPACED, _UNSPACED)}|[\p{{IsHan}}\p{{IsHiragana}}][{_MARK}]*+"
+
+
+FULLTEXT_WORD = _word_pattern()
 
 CATEGORY_MARKER = "category:"
 
@@ -63,8 +95,16 @@ def indexable_token(lowered: Column) -> Column:
 
 
 def fulltext_words(text: Column) -> Column:
-    """Word-break tokens, lower-cased; index in the array is the position."""
-    return F.regexp_extract_all(F.lower(text), F.lit(FULLTEXT_WORD), F.lit(0))
+    """Word-break tokens, lower-cased; index in the array is the position. A word over ``FULLTEXT_LONGEST`` is cut there, and what follows
+    a cut starts at its next letter or digit."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(FULLTEXT_WORD), F.lit(0))
+    cut = lambda w: F.regexp_extract_all(w, F.lit(rf"(?s)[{_MID_LETTER}{_MID_NUMBER}{_MID_BOTH}]*+(.{{1,{FULLTEXT_LONGEST}}})"), F.lit(1))
+    again = lambda piece: F.regexp_extract(piece, FULLTEXT_WORD, 0)
+    pieces = lambda w: F.array_remove(F.transform(cut(w), again), "")
+    long = lambda w: F.length(w) > FULLTEXT_LONGEST
+    return F.when(
+        F.exists(words, long), F.flatten(F.transform(words, lambda w: F.when(long(w), pieces(w)).otherwise(F.array(w))))
+    ).otherwise(words)
 
 
 def category_text(categories: Column) -> Column:

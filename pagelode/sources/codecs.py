@@ -31,9 +31,12 @@ def encode_postings(lists: DataFrame) -> DataFrame:
     return lists.select(F.concat_ws("\t", "term", body).alias("value"))
 
 
-_ENTRY = r"[0-9]+:[0-9]+(?:,[0-9]+)*\|(?:[0-9]+(?:,[0-9]+)*)?"
+# Repeats of groups are possessive: Java matches a plain repeat of a group by recursion, one call for each item, and a
+# term can have a posting in most documents, a document a position for most of its words.
+_NUMBERS = r"[0-9]++(?:,[0-9]++)*+"
+_ENTRY = rf"[0-9]++:{_NUMBERS}\|(?:{_NUMBERS})?+"
 #: A whole posting line: a term, a tab, entries.
-POSTING_LINE = rf"^[^\t]+\t{_ENTRY}(?:;{_ENTRY})*$"
+POSTING_LINE = rf"\A[^\t]++\t{_ENTRY}(?:;{_ENTRY})*+\z"
 
 
 def bad_postings(lines: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from corpus import CORPUS  # noqa: E402
+
 from pagelode.session import build_session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -31,14 +33,6 @@ def small():
     return SMALL
 
 
-CORPUS = [
-    (0, "Red River", "The red river, a river in the north.", ["Rivers", "North"]),
-    (1, "River Red Gum", "A red-barked tree near the river; don't cut.", ["Trees"]),
-    (2, "The Red", "Red. red? RED!", ["Colors of art", "North"]),
-    (3, "Café", "-- café …", ["Places"]),
-]
-
-
 @pytest.fixture(scope="session")
 def corpus(spark):
     return spark.createDataFrame(

@@ -1,8 +1,8 @@
+import brute
 import pytest
-from conftest import CORPUS
+from corpus import CORPUS
 from pyspark.sql import functions as F
 
-import brute
 from pagelode.plans import pages as pg, ranked
 from pagelode.session import fresh_path
 from pagelode.sources import index_store, tables

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagelode.functions import htmltree, markup, urls
 from pagelode.session import fresh_path
-from pagelode.sources import export, index_store, ingest, jsonl, tables
+from pagelode.sources import codecs, export, index_store, ingest, jsonl, tables
 from pagelode.streaming import ingest as si
 
 HTML = """<html><script>var t="</p><h1>no</h1>";</script><h1 id="firstHeading"> Red <i>River</i> </h1>
@@ -148,3 +148,18 @@ def test_visited_urls_with_watermark_plan(spark, tmp_path):
         spark, str(tmp_path), schema="url string, ts timestamp"
     )
     assert si.visited_urls(stream, "1 hour").isStreaming
+
+
+def test_a_million_postings_on_one_line(spark):
+    """Many entries on a line, and many positions in an entry, are read without recursion."""
+    n = 1_000_000
+    numbers = F.sequence(F.lit(1), F.lit(n))
+    many = F.array_join(F.transform(numbers, lambda i: F.concat(i.cast("string"), F.lit(":1,0,2|5,7,9"))), ";")
+    lines = spark.range(1).select(F.concat(F.lit("frequent\t"), many).alias("value"))
+    found = codecs.decode_postings(lines)
+    assert found.count() == n and codecs.bad_postings(lines).count() == 0
+    assert found.where("doc_id = 777").first()["fields"] == [[5], [], [7, 9]]
+    long = spark.range(1).select(F.concat(F.lit(f"long\t7:0,{n},0|"), F.array_join(numbers.cast("array<string>"), ",")).alias("value"))
+    assert codecs.decode_postings(long).select(F.size(F.col("fields")[1])).first()[0] == n
+    broken = lines.unionByName(long).select(F.concat("value", F.lit(";9:")).alias("value"))
+    assert codecs.decode_postings(broken).count() == 0 and codecs.bad_postings(broken).count() == 2

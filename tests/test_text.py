@@ -116,3 +116,49 @@ def test_query_parsing(spark):
     ]
     words = frame.select(tx.split_words(F.col("q"))).collect()
     assert words[4][0] == ["a\tb", "c"]
+
+
+#: Texts and their words by the published rules for Unicode word breaks, worked out by hand.
+WORD_BREAKS = [
+    ("3.14 1,000.5 10.0.0.1", ["3.14", "1,000.5", "10.0.0.1"]),
+    ("Don't can’t o'clock 'quoted'", ["don't", "can’t", "o'clock", "quoted"]),
+    ("me.x@site.example.org", ["me.x", "site.example.org"]),
+    ("a:b a,b a;b 1:2", ["a:b", "a", "b", "a", "b", "1", "2"]),
+    ("foo_bar __init__ _ __", ["foo_bar", "__init__"]),
+    ("日本語テスト ひらが カタカナー", ["日", "本", "語", "テスト", "ひ", "ら", "が", "カタカナー"]),
+    ("abc日本12", ["abc", "日", "本", "12"]),
+    ("nai\u0308ve naïve", ["nai\u0308ve", "naïve"]),
+    ("x1y2 1st 2nd", ["x1y2", "1st", "2nd"]),
+    ("a.b.c. U.S.A.", ["a.b.c", "u.s.a"]),
+    ("สวัสดี ครับ", ["สวัสดี", "ครับ"]),
+    ("한국어 단어", ["한국어", "단어"]),
+    ("\u05e9\u05f4\u05e1 \u05e6' \u05d0\"\u05d1", ["\u05e9\u05f4\u05e1", "\u05e6'", "\u05d0\"\u05d1"]),
+    ("soft\u00adhyphen", ["soft\u00adhyphen"]),
+    ("a..b 1..2 a.1 1.a", ["a", "b", "1", "2", "a", "1", "1", "a"]),
+    ("C++ C# R&D", ["c", "c", "r", "d"]),
+    ("²³ Ⅷ ½", ["ⅷ"]),
+    ("ア_a アa", ["ア_a", "ア", "a"]),
+    ("I.B.M.'s", ["i.b.m", "s"]),
+    ("emoji 😀 ok — «oui» ", ["emoji", "ok", "oui"]),
+    ("", []),
+]
+
+
+def test_word_breaks_by_hand(spark):
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(WORD_BREAKS)], "i int, t string")
+    found = dict(rows.select("i", tx.fulltext_words(F.col("t"))).collect())
+    for i, (text, words) in enumerate(WORD_BREAKS):
+        assert found[i] == words, text
+
+
+def test_words_of_a_megabyte(spark):
+    """Neither stack nor time runs out on one word of a megabyte; it is cut into pieces of 255."""
+    n = 500_000
+    texts = {"a.": ("a", "."), "a": ("a", ""), "1,": ("1", ","), "a_": ("a", "_"), "a1": ("a", "1"), "a'": ("a", "'"), ". ": (None, None), "日": (None, None)}
+    rows = spark.createDataFrame([(k, k * n) for k in texts], "k string, t string")
+    found = dict(rows.select("k", tx.fulltext_words(F.col("t")).alias("w")).collect())
+    for piece, (first, _) in texts.items():
+        if first:
+            assert all(0 < len(w) <= 255 for w in found[piece]) and "".join(found[piece]).count(first) == n, piece
+            assert len(found[piece]) <= len(piece) * n // 254 + 1
+    assert found[". "] == [] and found["日"] == ["日"] * n
