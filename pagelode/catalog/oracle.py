@@ -295,7 +295,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "publish_index_tables": sql(
             "SELECT 'postings' AS table_name, count(*) AS n FROM post UNION ALL SELECT 'term_stats', count(*) FROM df UNION ALL SELECT 'stats', count(*) FROM stats "
-            "UNION ALL SELECT 'docs', count(*) FROM corpus UNION ALL SELECT 'ranks', count(*) FROM nodes"
+            "UNION ALL SELECT 'docs', count(*) FROM corpus UNION ALL SELECT 'content', count(*) FROM corpus UNION ALL SELECT 'ranks', count(*) FROM nodes "
+            "UNION ALL SELECT 'meta', 1"
         ),
         "page_title": sql("SELECT page_id, title FROM pg"),
         "page_content": sql("SELECT page_id, content FROM pg"),
@@ -378,10 +379,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "paginate": sql("SELECT query_id, page_no, total_pages, rank, doc_id FROM paged"),
         "result_json": sql(
-            "SELECT q.query_id, coalesce(h.n, 0) AS hits, w.page_no, w.total_pages, f.title AS first_title, f.score AS first_score FROM qtext q "
+            "SELECT q.query_id, coalesce(h.n, 0) AS hits, w.page_no, w.total_pages, f.titles, f.urls, f.snippets, f.scores FROM qtext q "
             "LEFT JOIN (SELECT query_id, count(*) AS n FROM hits GROUP BY query_id) h ON h.query_id = q.query_id LEFT JOIN wanted w ON w.query_id = q.query_id "
-            f"LEFT JOIN (SELECT p.query_id, {_highlight('c.title', 'x.ws', 'span')} AS title, printf('%.8f', p.total) AS score FROM paged p JOIN corpus c ON c.doc_id = p.doc_id "
-            "JOIN qwords x ON x.query_id = p.query_id WHERE p.rank = (p.page_no - 1) * 10 + 1) f ON f.query_id = q.query_id"
+            f"LEFT JOIN (SELECT p.query_id, string_agg({_highlight('c.title', 'x.ws', 'span')}, '~' ORDER BY p.rank) AS titles, "
+            "string_agg('https://en.wikipedia.org/wiki/' || replace(c.title, ' ', '_'), '~' ORDER BY p.rank) AS urls, "
+            "string_agg(s.text, '~' ORDER BY p.rank) AS snippets, string_agg(printf('%.8f', p.total), '~' ORDER BY p.rank) AS scores FROM paged p "
+            "JOIN corpus c ON c.doc_id = p.doc_id JOIN qwords x ON x.query_id = p.query_id "
+            "JOIN snips s ON s.query_id = p.query_id AND s.rank = p.rank GROUP BY p.query_id) f ON f.query_id = q.query_id",
+            snips=_snippet(),
         ),
         "ft_index": sql(f"SELECT {post_cols} FROM ftpost"),
         "ft_term_query": sql("SELECT query_id, field::BIGINT AS field, doc_id, term, round(score, 6) AS score FROM ftscored"),

@@ -47,9 +47,14 @@ def _once(spark: SparkSession, folder: str, name: str, make: Callable):
 
 
 def documents_index(spark: SparkSession, folder: str) -> index_store.SearchIndex:
-    corpus = lambda: tables.corpus_documents(spark, folder)
+    """The published index of the documents, with the link ranks of the pages by id."""
     return _once(
-        spark, folder, "ranked", lambda: index_store.publish_index(corpus(), fresh_path(spark, "ranked-index"))
+        spark,
+        folder,
+        "ranked",
+        lambda: index_store.publish_index(
+            tables.corpus_documents(spark, folder), fresh_path(spark, "ranked-index"), ranks=page_ranks(spark, folder)
+        ),
     )
 
 
@@ -67,10 +72,6 @@ def page_ranks(spark: SparkSession, folder: str) -> DataFrame:
     return _once(spark, folder, "ranks", lambda: materialise(pr.pagerank(tables.page_edges(spark, folder)), "page-ranks"))
 
 
-def ranked_index(spark: SparkSession, folder: str) -> index_store.SearchIndex:
-    return documents_index(spark, folder).with_ranks(page_ranks(spark, folder))
-
-
 def query_list(spark: SparkSession) -> DataFrame:
     rows = ", ".join(f"({query_id}L, '{text}')" for query_id, text in QUERY_LIST)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS q(query_id, query)")
@@ -153,7 +154,7 @@ def _postings(spark, folder, stem=True):
 
 @query
 def posting_text_roundtrip(spark, folder):
-    lists = ps.posting_lists(_postings(spark, folder))
+    lists = ps.posting_lists(tables.corpus_documents(spark, folder))
     lines = codecs.encode_postings(lists)
     back = codecs.decode_postings(lines)
     return back.select(
@@ -238,13 +239,15 @@ def export_three_way(spark, folder):
 
 @query
 def publish_index_tables(spark, folder):
-    index = ranked_index(spark, folder)
+    index = documents_index(spark, folder)
     sizes = [
         ("postings", index.postings),
         ("term_stats", index.term_stats),
         ("stats", index.stats),
         ("docs", index.docs),
+        ("content", index.content),
         ("ranks", index.ranks),
+        ("meta", index.meta),
     ]
     out = None
     for name, df in sizes:
@@ -514,14 +517,14 @@ def build_postings_unstemmed(spark, folder):
 
 @query
 def posting_lists(spark, folder):
-    lists = ps.posting_lists(_postings(spark, folder))
+    lists = ps.posting_lists(tables.corpus_documents(spark, folder))
     entry = lambda e: F.concat_ws(":", e["doc_id"].cast("string"), F.array_join(e["freq"].cast("array<string>"), ","))
     return lists.select("term", _long("block"), F.array_join(F.transform("entries", entry), ";").alias("line"))
 
 
 @query
 def wide_postings(spark, folder):
-    wide = ps.wide_postings(_postings(spark, folder))
+    wide = ps.wide_postings(tables.corpus_documents(spark, folder))
     return wide.select(
         "term", "doc_id", *[F.col("freq")[i].cast("bigint").alias(f"f{i}") for i in range(3)],
         _text("positions").alias("positions_text"),
@@ -545,7 +548,7 @@ def doc_count(spark, folder):
 
 @query
 def index_summary(spark, folder):
-    return index_store.index_summary(ranked_index(spark, folder))
+    return index_store.index_summary(documents_index(spark, folder))
 
 
 # --- link analysis -----------------------------------------------------------------------------
@@ -579,12 +582,12 @@ def pagerank_converged(spark, folder):
 
 @query
 def max_rank(spark, folder):
-    return ranked.max_rank(page_ranks(spark, folder)).select(_r("max_rank", digits=9))
+    return documents_index(spark, folder).meta.select(_r("max_rank", digits=9))
 
 
 @query
 def rank_lookup_default(spark, folder):
-    index = ranked_index(spark, folder)
+    index = documents_index(spark, folder)
     out = ranked.rank_or_default(index.docs.select("doc_id"), index.ranks, index.stats)
     return out.select("doc_id", _r("rank", digits=9))
 
@@ -595,7 +598,7 @@ def rank_lookup_default(spark, folder):
 def _matches(spark, folder, fulltext=False):
     index = fulltext_index(spark, folder) if fulltext else documents_index(spark, folder)
     analysed = ranked.AnalysedQueries(index, query_list(spark), fulltext)
-    matches = ranked.match_terms(index, analysed.terms)
+    matches = ranked.match_terms(analysed.index, analysed.terms)
     return analysed, ranked.term_scores(matches, fulltext)
 
 
@@ -703,13 +706,12 @@ def minmax_normalize(spark, folder):
 
 @query
 def blend_rank(spark, folder):
-    out = ranked.blend_ranks(_hits(spark, folder), ranked_index(spark, folder))
+    out = ranked.blend_ranks(_hits(spark, folder), documents_index(spark, folder))
     return out.select("query_id", "doc_id", _r("text_norm"), _r("rank_norm"), _r("total"))
 
 
 def _results(spark, folder, with_rank=False):
-    index = ranked_index(spark, folder) if with_rank else documents_index(spark, folder)
-    return ranked.search(index, query_list(spark), with_rank)
+    return ranked.search(documents_index(spark, folder), query_list(spark), with_rank)
 
 
 def _result_rows(results: DataFrame) -> DataFrame:
@@ -764,7 +766,7 @@ def _shown(spark, folder, fulltext=False):
     index = fulltext_index(spark, folder) if fulltext else documents_index(spark, folder)
     search = ranked.search_fulltext if fulltext else ranked.search
     page = pg.paginate(search(index, query_list(spark)), _requests(spark))
-    return pg.present_results(pg.fetch_pages(page, index.docs), query_list(spark), fulltext)
+    return pg.present_results(pg.fetch_pages(page, index.docs, index.content), query_list(spark), fulltext)
 
 
 @query
@@ -791,17 +793,15 @@ def paginate(spark, folder):
 
 @query
 def result_json(spark, folder):
-    """The response of each query; kept to parts whose text is the same in both JSON writers."""
-    hits = pg.all_hit_counts(_hits(spark, folder), query_list(spark))
-    out = pg.result_json(_shown(spark, folder), hits)
-    get = lambda path: F.get_json_object("json", path)
-    return out.select(
+    """The response of each query, read back: every shown row, in the parts whose text is the same in both JSON writers."""
+    out = pg.respond(documents_index(spark, folder), query_list(spark), _requests(spark))
+    read = F.from_json("json", "hits bigint, pageNo bigint, totalPages bigint, pages array<struct<title:string,url:string,snippet:string,score:string>>")
+    return out.select("query_id", read.alias("r")).select(
         "query_id",
-        get("$.hits").cast("bigint").alias("hits"),
-        get("$.pageNo").cast("bigint").alias("page_no"),
-        get("$.totalPages").cast("bigint").alias("total_pages"),
-        get("$.pages[0].title").alias("first_title"),
-        get("$.pages[0].score").alias("first_score"),
+        F.col("r.hits").alias("hits"),
+        F.col("r.pageNo").alias("page_no"),
+        F.col("r.totalPages").alias("total_pages"),
+        *[F.array_join(F.col(f"r.pages.{name}"), "~").alias(f"{name}s") for name in ("title", "url", "snippet", "score")],
     )
 
 

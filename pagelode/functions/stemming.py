@@ -54,10 +54,16 @@ def stem(word: Column) -> Column:
 
 
 def stem_all(words: Column) -> Column:
-    """Stems of an array of lower-case words, in order."""
+    """Stems of an array of lower-case words, in order; NULL for NULL."""
     stem_values = _stemmer()
 
     def stem_batch(lists: pd.Series) -> pd.Series:
+        missing = lists.isna()
+        if missing.any():
+            present = stem_batch(lists[~missing].reset_index(drop=True))
+            out = np.full(len(lists), None, dtype=object)
+            out[np.flatnonzero(~missing)] = present.to_numpy()
+            return pd.Series(out)
         arrays = list(lists)
         if not arrays:
             return pd.Series([], dtype=object)

@@ -14,6 +14,7 @@ from pagelode.functions.stemming import stem_all
 from pagelode.operators.joins import estimated_bytes
 
 N_FIELDS = 3
+FIELDS = list(range(N_FIELDS))
 # Documents per block of a posting list; bounds the rows gathered under one term.
 BLOCK_DOCS = 4096
 
@@ -26,8 +27,8 @@ def _lowered(category_separator: str = " ") -> list[Column]:
     ]
 
 
-def _by_field(columns: list[Column], name: str) -> Column:
-    return F.inline(F.array(*[F.struct(F.lit(i).alias("field"), c.alias(name)) for i, c in enumerate(columns)]))
+def _by_field(columns: list[Column], name: str, fields: list[int] = FIELDS) -> Column:
+    return F.inline(F.array(*[F.struct(F.lit(i).alias("field"), columns[i].alias(name)) for i in fields]))
 
 
 def field_tokens(corpus: DataFrame) -> DataFrame:
@@ -51,31 +52,32 @@ def fulltext_tokens(corpus: DataFrame) -> DataFrame:
     )
 
 
-def _kept_words(corpus: DataFrame, stem: bool) -> DataFrame:
+def _indexed_words(tokens: Column) -> Column:
+    """The tokens that enter the ranked index, normalised but not stemmed, with their positions."""
+    words = F.transform(tokens, lambda t, i: F.struct(tx.indexable_token(t).alias("t"), i.alias("i")))
+    return F.filter(words, lambda w: (w["t"] != "") & ~tx.is_stop_word(w["t"]))
+
+
+def _fulltext_words(tokens: Column) -> Column:
+    """The tokens that enter the full-text index, with their positions."""
+    words = F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
+    return F.filter(words, lambda w: ~w["t"].isin(tx.FULLTEXT_STOP_WORDS))
+
+
+def _kept_words(corpus: DataFrame, stem: bool, fields: list[int]) -> DataFrame:
     """Per document and field: ``field_len`` and the words that enter the ranked index with
     their positions, as the parallel arrays ``terms`` and ``pos``."""
-    fields = corpus.select("doc_id", _by_field(_lowered(), "text"))
-    split = fields.select("doc_id", "field", tx.tokens(F.col("text")).alias("toks"))
-    words = F.transform("toks", lambda t, i: F.struct(tx.indexable_token(t).alias("t"), i.alias("i")))
-    kept = split.select("doc_id", "field", F.size("toks").alias("field_len"), words.alias("words")).select(
-        "doc_id",
-        "field",
-        "field_len",
-        F.filter("words", lambda w: (w["t"] != "") & ~tx.is_stop_word(w["t"])).alias("words"),
-    )
+    texts = corpus.select("doc_id", _by_field(_lowered(), "text", fields))
+    split = texts.select("doc_id", "field", tx.tokens(F.col("text")).alias("toks"))
+    kept = split.select("doc_id", "field", F.size("toks").alias("field_len"), _indexed_words(F.col("toks")).alias("words"))
     terms = stem_all(F.col("words.t")) if stem else F.col("words.t")
     return kept.select("doc_id", "field", "field_len", terms.alias("terms"), F.col("words.i").alias("pos"))
 
 
-def _kept_fulltext_words(corpus: DataFrame) -> DataFrame:
+def _kept_fulltext_words(corpus: DataFrame, fields: list[int]) -> DataFrame:
     """As :func:`_kept_words` for the full-text analyser."""
-    fields = corpus.select("doc_id", _by_field(_lowered("|"), "text"))
-    split = fields.select("doc_id", "field", tx.fulltext_words(F.col("text")).alias("toks"))
-    words = F.filter(
-        F.transform("toks", lambda t, i: F.struct(t.alias("t"), i.alias("i"))),
-        lambda w: ~w["t"].isin(tx.FULLTEXT_STOP_WORDS),
-    )
-    kept = split.select("doc_id", "field", words.alias("words"))
+    texts = corpus.select("doc_id", _by_field(_lowered("|"), "text", fields))
+    kept = texts.select("doc_id", "field", _fulltext_words(tx.fulltext_words(F.col("text"))).alias("words"))
     return kept.select(
         "doc_id", "field", F.size("words").alias("field_len"), F.col("words.t").alias("terms"), F.col("words.i").alias("pos")
     )
@@ -122,11 +124,14 @@ def spread_small(corpus: DataFrame) -> DataFrame:
     return corpus
 
 
-def build_postings(corpus: DataFrame, stem: bool = True, fulltext: bool = False) -> DataFrame:
+def build_postings(corpus: DataFrame, stem: bool = True, fulltext: bool = False, fields: list[int] = FIELDS) -> DataFrame:
     """The positional inverted index in long form: one row per (term, field, document) with
     ``tf``, sorted ``positions`` and the field length, so that scoring needs no length table."""
-    rows = spread_small(corpus.select("doc_id", "title", "content", "categories"))
-    return _group_within_field(_kept_fulltext_words(rows) if fulltext else _kept_words(rows, stem))
+    names = ["title", "content", "categories"]
+    rows = spread_small(corpus.select("doc_id", *[names[i] for i in fields]))
+    # Fields that are left out are never read.
+    rows = rows.select("doc_id", *[F.col(n) if n in rows.columns else F.lit(None).cast(corpus.schema[n].dataType).alias(n) for n in names])
+    return _group_within_field(_kept_fulltext_words(rows, fields) if fulltext else _kept_words(rows, stem, fields))
 
 
 def with_lengths(corpus: DataFrame, fulltext: bool = False) -> DataFrame:
@@ -167,33 +172,50 @@ def corpus_stats(corpus: DataFrame, fulltext: bool = False) -> DataFrame:
     return length_stats(with_lengths(corpus, fulltext), fulltext)
 
 
-def doc_frequency(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df"))
+def doc_frequency(postings: DataFrame, *more: str) -> DataFrame:
+    return postings.groupBy("term", "field", *more).agg(F.count(F.lit(1)).alias("df"))
 
 
-def wide_postings(postings: DataFrame) -> DataFrame:
-    """Per (term, document): ``freq`` by field and ``positions`` flattened in field order."""
-    per_field = postings.groupBy("term", "doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("field", "tf", "positions"))).alias("parts")
-    )
+def wide_postings(corpus: DataFrame, stem: bool = True, fulltext: bool = False) -> DataFrame:
+    """Per (term, document): ``freq`` by field and ``positions`` flattened in field order.
+
+    The words of all fields of a document are one array, sorted by (term, field, position) and cut where the
+    term changes, so that the fields of a posting meet in their document's row and nothing is exchanged."""
+    rows = spread_small(corpus.select("doc_id", "title", "content", "categories"))
+    texts = _lowered("|" if fulltext else " ")
+    words = lambda text: _fulltext_words(tx.fulltext_words(text)) if fulltext else _indexed_words(tx.tokens(text))
+    marked = lambda i: F.transform(words(texts[i]), lambda w: F.struct(w["t"].alias("t"), F.lit(i).alias("f"), w["i"].alias("p")))
+    # A missing field has no words; it must not blank the others.
+    rows = rows.select("doc_id", F.concat(*[F.coalesce(marked(i), F.array().cast("array<struct<t:string,f:int,p:int>>")) for i in FIELDS]).alias("w"))
+    terms = stem_all(F.col("w.t")) if stem and not fulltext else F.col("w.t")
+    entry = lambda t, w: F.struct(t.alias("t"), w["f"].alias("f"), w["p"].alias("p"))
+    rows = rows.select("doc_id", "w", terms.alias("terms")).select("doc_id", F.sort_array(F.zip_with("terms", "w", entry)).alias("e"))
+    n = F.size("e")
+    changes = lambda i: F.coalesce(F.get("e", i)["t"] != F.get("e", i - 1)["t"], F.lit(True))
+    cut = rows.select("doc_id", "e", F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), changes)).alias("starts"))
+
+    def group(start: Column, k: Column) -> Column:
+        part = F.slice("e", start + 1, F.coalesce(F.get("starts", k + 1), n) - start)
+        return F.struct(F.get("e", start)["t"].alias("term"), part.alias("part"))
 
-    def tf_of(i: int) -> Column:
-        return F.coalesce(F.get(F.filter("parts", lambda p: p["field"] == i), F.lit(0))["tf"], F.lit(0))
+    def frequency(field: int) -> Column:
+        return F.size(F.filter("part", lambda x: x["f"] == field))
 
-    return per_field.select(
+    exploded = cut.select("doc_id", F.inline_outer(F.transform("starts", group))).filter(F.col("term").isNotNull())
+    return exploded.select(
         "term",
         "doc_id",
-        F.array(*[tf_of(i) for i in range(N_FIELDS)]).alias("freq"),
-        F.flatten(F.transform("parts", lambda p: p["positions"])).alias("positions"),
+        F.array(*[frequency(i) for i in FIELDS]).alias("freq"),
+        F.col("part.p").alias("positions"),
     )
 
 
-def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def posting_lists(corpus: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """Postings gathered under their term in blocks of document ids: ``term, block, entries``.
 
     A frequent term can occur in most documents, so a list is cut at fixed id ranges: a row never
     holds more than ``block_docs`` entries, and the blocks of one term in order are the whole list."""
-    wide = wide_postings(postings)
+    wide = wide_postings(corpus)
     return (
         wide.withColumn("block", F.floor(F.col("doc_id") / block_docs))
         .groupBy("term", "block")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pagelode.functions import scoring, text as tx
 from pagelode.functions.stemming import with_stem
-from pagelode.operators.joins import fits_broadcast, spread_join
+from pagelode.operators.joins import fits_broadcast, key_counts, spread_join
 from pagelode.sources.index_store import SearchIndex, shard_of
 
 
@@ -82,17 +82,19 @@ def listed_words(lists: DataFrame) -> DataFrame:
 
 
 def field_terms(freq: DataFrame, index: SearchIndex, fulltext: bool = False) -> DataFrame:
-    """Terms per field with their weight: ``query_id, field, shard, term, qf, weight, avg_len``.
+    """Terms per field with their weight: ``query_id, field, shard, term, qf, df, weight, avg_len``.
     Terms that do not occur in a field are dropped."""
     fields = F.when(F.col("part") == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(2)))
     wanted = freq.select("query_id", "term", "qf", F.explode(fields).alias("field"))
+    wanted = wanted.withColumn("shard", shard_of(F.col("term"), index.n_shards))
+    key = ["term", "field", "shard"]
     if fits_broadcast(wanted):
-        counted = index.term_stats.join(F.broadcast(wanted), ["term", "field"])
+        counted = index.term_stats.join(F.broadcast(wanted), key)
     else:
         # Statistics of the distinct terms only: one row per term however many queries ask for it.
-        asked = wanted.select("term", "field").distinct()
-        known = index.term_stats.join(asked, ["term", "field"], "left_semi")
-        counted = spread_join(wanted, known, ["term", "field"], [F.col("query_id")])
+        asked = key_counts(wanted, key)
+        known = index.term_stats.join(asked.drop("n"), key, "left_semi")
+        counted = spread_join(wanted, known, key, [F.col("query_id")], counts=asked)
     both = counted.join(F.broadcast(index.stats), "field")  # three rows
     if fulltext:
         weight = F.col("qf") * scoring.fulltext_idf(F.col("n_docs"), F.col("df"))
@@ -101,9 +103,10 @@ def field_terms(freq: DataFrame, index: SearchIndex, fulltext: bool = False) ->
     return both.select(
         "query_id",
         "field",
-        shard_of(F.col("term"), index.n_shards).alias("shard"),
+        "shard",
         "term",
         "qf",
+        "df",
         weight.alias("weight"),
         "avg_len",
     )

@@ -22,16 +22,22 @@ KEY = ["query_id", "doc_id"]
 
 class AnalysedQueries:
     """Query tables shared by the steps of one search: ``lists`` (a row per query) and ``terms``
-    (a row per query, field and distinct term, with weights).
+    (a row per query, field and distinct term, with weights), and the ``index`` narrowed to their terms.
 
-    Both are written once. They are used several times, and only a written table has a true size
+    Both tables are written once. They are used several times, and only a written table has a true size
     by which to choose between broadcasting it and shuffling it."""
 
     def __init__(self, index: SearchIndex, queries: DataFrame, fulltext: bool = False):
         self.fulltext = fulltext
         self.lists = materialise(qt.analyse_queries(queries, not fulltext), "query-lists")
-        self.freq = qt.query_term_freq(qt.listed_words(self.lists))
-        self.terms = materialise(qt.field_terms(self.freq, index, fulltext), "query-terms")
+        words = qt.listed_words(self.lists)
+        self.index = index.restricted(words)
+        self.freq = qt.query_term_freq(words)
+        self.terms = materialise(qt.field_terms(self.freq, self.index, fulltext), "query-terms")
+
+    def pairs_bound(self) -> DataFrame:
+        """``query_id, n``: at least the (query, document) pairs matched in titles, from the terms' frequencies alone."""
+        return self.terms.where("field = 0").groupBy("query_id").agg(F.sum("df").alias("n"))
 
 
 def term_scores(matches: DataFrame, fulltext: bool = False) -> DataFrame:
@@ -51,7 +57,10 @@ def match_terms(index: SearchIndex, terms: DataFrame, fields: list[int] | None =
     if fields is not None:
         postings = postings.filter(F.col("field").isin(fields))
         terms = terms.filter(F.col("field").isin(fields))
-    return spread_join(postings, terms, ["field", "shard", "term"], [F.col("doc_id")])
+    key = ["field", "shard", "term"]
+    # How many postings a term has is stored; nothing needs to be counted to find the hot ones.
+    counts = index.term_stats.select(*key, F.col("df").alias("n"))
+    return spread_join(postings, terms.drop("df"), key, [F.col("doc_id")], counts=counts)
 
 
 def gather_fields(scored: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -107,34 +116,35 @@ def _score_fields(gathered: DataFrame, fields: list[int], fulltext: bool) -> Dat
 
 def search_hits(index: SearchIndex, queries: DataFrame, fulltext: bool = False) -> DataFrame:
     """All hits with their text score: ``query_id, doc_id, title_score, content_score,
-    category_score, text_score``.
+    category_score, text_score`` and the stored link ``rank`` of the document.
 
     A hit needs a term in the title and one in the content. Titles are short, so they are matched
     first; only (query, document) pairs found there look up content and category postings, by
     (term, document) - a key without hot values. Queries sharing a frequent word therefore never
     meet the whole content posting list of that word."""
     analysed = AnalysedQueries(index, queries, fulltext)
-    lists, terms = analysed.lists, analysed.terms
-    by_query = lambda df, side: spread_join(df, side, ["query_id"], [F.col("doc_id")])
+    index, lists, terms = analysed.index, analysed.lists, analysed.terms
+    by_query = lambda df, side: spread_join(df, side, ["query_id"], [F.col("doc_id")], counts=analysed.pairs_bound())
 
-    title = gather_fields(term_scores(match_terms(index, terms, [0]), fulltext))
+    title = gather_fields(term_scores(match_terms(index, terms, [0]), fulltext), ["rank"])
     title = _score_fields(by_query(title, lists), [0], fulltext)
-    pairs = title.select(*KEY, F.col("value").alias("title_score"))
+    pairs = title.select(*KEY, F.col("value").alias("title_score"), "rank")
 
     rest = terms.filter(F.col("field") != 0)
-    wanted = by_query(pairs, rest.drop("qf"))
+    wanted = by_query(pairs, rest.drop("qf", "df"))
     postings = keep_matching(
-        index.postings.filter(F.col("field") != 0),
+        index.postings.filter(F.col("field") != 0).drop("rank"),
         rest.select("field", "shard", "term").distinct(),
         ["field", "shard", "term"],
     )
     found = term_scores(postings.join(wanted, ["field", "shard", "term", "doc_id"]), fulltext)
 
     # Spread by (query, document), so that gathering and folding need no further exchange.
-    other = gather_fields(found.repartition(*KEY), ["title_score"])
+    other = gather_fields(found.repartition(*KEY), ["title_score", "rank"])
     other = _score_fields(by_query(other, lists), [1, 2], fulltext)
     folded = other.groupBy(*KEY).agg(
         F.first("title_score").alias("title_score"),
+        F.first("rank").alias("rank"),
         F.first("has_category").alias("has_category"),
         F.max(F.when(F.col("field") == 1, F.col("value"))).alias("content_score"),
         F.max(F.when(F.col("field") == 2, F.col("value"))).alias("category_score"),
@@ -142,7 +152,7 @@ def search_hits(index: SearchIndex, queries: DataFrame, fulltext: bool = False)
     hit = F.col("content_score").isNotNull() & (~F.col("has_category") | F.col("category_score").isNotNull())
     text = F.col("title_score") + F.col("content_score") + F.coalesce("category_score", F.lit(0.0))
     return folded.filter(hit).select(
-        *KEY, "title_score", "content_score", "category_score", text.alias("text_score")
+        *KEY, "title_score", "content_score", "category_score", text.alias("text_score"), "rank"
     )
 
 
@@ -151,12 +161,14 @@ def hit_counts(hits: DataFrame) -> DataFrame:
 
 
 def normalised(hits: DataFrame) -> DataFrame:
-    """Text scores rescaled to 0..100 over all hits of the query. The extremes come from a
-    partial aggregation and are joined back; a window would put all hits of a query in one task."""
+    """Text scores rescaled to 0..100 over all hits of the query. Hits are written, so that the search behind them runs once. The
+    extremes come from a partial aggregation and are joined back; a window would put all hits of a query in one task."""
+    hits = materialise(hits, "hits")
     extremes = hits.groupBy("query_id").agg(
-        F.min("text_score").alias("low"), F.max("text_score").alias("high")
+        F.min("text_score").alias("low"), F.max("text_score").alias("high"), F.count(F.lit(1)).alias("n")
     )
-    joined = spread_join(hits, extremes, ["query_id"], [F.col("doc_id")])
+    extremes = materialise(extremes, "extremes")
+    joined = spread_join(hits, extremes.drop("n"), ["query_id"], [F.col("doc_id")], counts=extremes)
     return joined.withColumn(
         "text_norm", scoring.rescale(F.col("text_score"), F.col("low"), F.col("high"), scoring.TEXT_SCALE)
     ).drop("low", "high")
@@ -174,21 +186,20 @@ def rank_or_default(docs: DataFrame, ranks: DataFrame, stats: DataFrame) -> Data
     )
 
 
-def max_rank(ranks: DataFrame) -> DataFrame:
-    return ranks.agg(F.max("rank").alias("max_rank"))
-
-
 def blend_ranks(hits: DataFrame, index: SearchIndex) -> DataFrame:
-    """Total score of rank-blended search: ``text_norm, rank_norm, total``."""
+    """Total score of rank-blended search: ``text_norm, rank_norm, total``. Hits carry their document's rank from the title
+    postings, and the largest rank is in the index's one row of ``meta``; the rank table is not read."""
     if index.ranks is None:
         raise ValueError("the index holds no link ranks")
-    ranked = rank_or_default(normalised(hits), index.ranks, index.stats)
-    rank_norm = scoring.rescale(F.col("rank"), F.lit(0.0), F.coalesce("max_rank", F.lit(0.0)), scoring.RANK_SCALE)
+    rank = F.coalesce("rank", 1.0 / F.col("n_docs"))
+    rank_norm = scoring.rescale(rank, F.lit(0.0), F.coalesce("max_rank", F.lit(0.0)), scoring.RANK_SCALE)
     return (
-        ranked.join(F.broadcast(max_rank(index.ranks)))  # one row
+        normalised(hits)
+        .join(F.broadcast(index.meta.select("n_docs", "max_rank")))  # one row
+        .withColumn("rank", rank)
         .withColumn("rank_norm", rank_norm)
         .withColumn("total", scoring.blended(F.col("text_norm"), F.col("rank_norm")))
-        .drop("max_rank")
+        .drop("n_docs", "max_rank")
     )
 
 
@@ -200,14 +211,17 @@ def top_results(hits: DataFrame, limit: int = MAX_RESULTS) -> DataFrame:
     return hits.withColumn("rank_no", F.row_number().over(order)).filter(F.col("rank_no") <= limit)
 
 
-def search(index: SearchIndex, queries: DataFrame, with_rank: bool = False, limit: int = MAX_RESULTS) -> DataFrame:
-    """Ranked results of every query: ``query_id, rank_no, doc_id, total`` and score parts."""
-    hits = search_hits(index, queries)
+def ranked_results(hits: DataFrame, index: SearchIndex, with_rank: bool = False, limit: int = MAX_RESULTS) -> DataFrame:
+    """The first results of every query among its hits: ``query_id, rank_no, doc_id, total`` and score parts."""
     scored = blend_ranks(hits, index) if with_rank else hits.withColumn("total", F.col("text_score"))
     return top_results(scored, limit)
 
 
+def search(index: SearchIndex, queries: DataFrame, with_rank: bool = False, limit: int = MAX_RESULTS) -> DataFrame:
+    """Ranked results of every query."""
+    return ranked_results(search_hits(index, queries), index, with_rank, limit)
+
+
 def search_fulltext(index: SearchIndex, queries: DataFrame, limit: int = MAX_RESULTS) -> DataFrame:
     """Boolean and phrase search over an index built with ``fulltext=True``."""
-    hits = search_hits(index, queries, fulltext=True)
-    return top_results(hits.withColumn("total", F.col("text_score")), limit)
+    return ranked_results(search_hits(index, queries, fulltext=True), index, limit=limit)

@@ -41,8 +41,7 @@ def compare(spark, con, folder, name, sql):
     if got_cols != want_cols:
         return f"COLUMNS {got_cols} != {want_cols}"
     if got != want:
-        extra = [r for r in got if r not in set(want)][:2]
-        missing = [r for r in want if r not in set(got)][:2]
+        extra, missing = list(set(got) - set(want))[:2], list(set(want) - set(got))[:2]
         return f"DIFF {len(got)} vs {len(want)} rows; spark only {str(extra)[:400]}; sql only {str(missing)[:400]}"
     return f"ok rows={len(got)}"
 

@@ -1,8 +1,7 @@
 import pytest
 
 import brute
-from pagelode.operators import frontier, ids, links, pagerank as pr, robots
-from pagelode.operators.joins import spread_join
+from pagelode.operators import frontier, ids, joins, links, pagerank as pr, robots
 from pagelode.sources import export
 from pyspark.sql import functions as F
 
@@ -78,19 +77,51 @@ def test_export_resolves_titles(spark, limit):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_spread_join_equals_plain_join(spark, how):
-    big = spark.range(500).select((F.col("id") % 3).alias("k"), "id")
-    small = spark.createDataFrame([(0, "a"), (1, "b"), (7, "c")], "k bigint, v string")
-    want = sorted(map(tuple, big.join(small, "k", how).collect()), key=repr)
+@pytest.fixture
+def no_broadcast(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = spread_join(big, small, ["k"], [F.col("id")], how)
-        assert "__lane" in got._jdf.queryExecution().optimizedPlan().toString()
-        assert sorted(map(tuple, got.collect()), key=repr) == want
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("counted", [True, False])
+def test_only_hot_keys_are_spread(spark, no_broadcast, monkeypatch, how, counted):
+    """Of two keys one is hot: its row is repeated in as many lanes as its rows ask for, the others move once."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 100)
+    key = F.when(F.col("id") < 450, 0).when(F.col("id") < 490, 1).when(F.col("id") < 495, 5)
+    big = spark.range(500).select(key.cast("bigint").alias("k"), "id")  # 450 rows of 0, 40 of 1, 5 of 5, 5 nulls
+    small = spark.createDataFrame([(0, "a"), (1, "b"), (7, "c"), (None, "d")], "k bigint, v string")
+    counts = joins.key_counts(big, ["k"])
+    hot = joins.hot_keys(counts, ["k"])
+    assert [tuple(r) for r in hot.collect()] == [(0, 5)]
+    repeated = joins.in_all_lanes(small, hot, ["k"]).groupBy("k").count().collect()
+    assert {r["k"]: r["count"] for r in repeated} == {0: 5, 1: 1, 7: 1, None: 1}
+    lanes = joins.in_lanes(big, hot, ["k"], [F.col("id")]).groupBy("k").agg(F.countDistinct("__lane").alias("n")).collect()
+    assert {r.k: r.n for r in lanes} == {0: 5, 1: 1, 5: 1, None: 5}
+    got = joins.spread_join(big, small, ["k"], [F.col("id")], how, counts if counted else None)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, big.join(small, "k", how).collect()), key=repr)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "__lane" in plan and "Generate" in plan
+
+
+def test_keys_that_are_not_hot_are_joined_plainly(spark, no_broadcast):
+    big = spark.range(500).select((F.col("id") % 3).alias("k"), "id")
+    small = spark.createDataFrame([(0, "a"), (1, "b")], "k bigint, v string")
+    got = joins.spread_join(big, small, ["k"], [F.col("id")])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "__lane" not in plan and "Generate" not in plan
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, big.join(small, "k").collect()))
+
+
+def test_literals_of_a_written_table(spark):
+    keys = spark.createDataFrame([(i % 37,) for i in range(100)] + [(None,)], "k bigint")
+    values = joins.literals_of(keys, "k")
+    assert values == list(range(37))
+    rows = spark.range(100).select(F.col("id").alias("k"))
+    assert rows.where(joins.one_of("k", values)).count() == 37 and rows.where(joins.one_of("k", [])).count() == 0
+    assert joins.literals_of(spark.range(joins.LITERALS + 1), "id") is None
 
 
 def test_frontier_depth_budget_and_empty_level(spark, edges):

@@ -1,8 +1,12 @@
+from collections import defaultdict
+
 import brute
 import pytest
 from corpus import CORPUS
 from pyspark.sql import functions as F
 
+from pagelode.operators import postings as ps
+from pagelode.operators.joins import one_of
 from pagelode.plans import pages as pg, ranked
 from pagelode.session import fresh_path
 from pagelode.sources import index_store, tables
@@ -112,3 +116,107 @@ def test_window_limit_is_pushed_before_the_exchange(spark):
     hits = spark.range(10).selectExpr("id % 2 AS query_id", "id AS doc_id", "double(id) AS total")
     plan = ranked.top_results(hits, 4)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def scanned_rows(df):
+    """Rows the scans of a plan without exchanges gave: those of the row groups and pages they read."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "Scan" in node.nodeName():
+            found.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return sum(found)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, small):
+    """A published index of the documents, in row groups of a few kilobytes."""
+    group = index_store.POSTING_GROUP, index_store.CONTENT_GROUP
+    index_store.POSTING_GROUP = index_store.CONTENT_GROUP = 4096
+    try:
+        path = fresh_path(spark, "stored")
+        ranks = spark.createDataFrame([(0, 0.1), (1, 0.4)], "id bigint, rank double")
+        corpus = tables.corpus_documents(spark, small)
+        return path, index_store.publish_index(corpus, path, n_shards=3, ranks=ranks)
+    finally:
+        index_store.POSTING_GROUP, index_store.CONTENT_GROUP = group
+
+
+def test_index_reopens_from_its_path_alone(spark, stored, small):
+    path, index = stored
+    again = index_store.open_index(spark, path)
+    assert again.n_shards == 3 and again.ranks.count() == 2
+    meta = again.meta.first()
+    assert (meta.n_docs, meta.max_rank, meta.stemmed, meta.fulltext) == (200, 0.4, True, False)
+    frame = spark.createDataFrame([(1, "de la"), (2, "inesea der category:src1")], "query_id bigint, query string")
+    whole = index_store.build_index(tables.corpus_documents(spark, small)).with_ranks(again.ranks)
+    rows = lambda ix: {(r.query_id, r.rank_no, r.doc_id, round(r.total, 8)) for r in ranked.search(ix, frame, with_rank=True).collect()}
+    assert rows(again) == rows(whole) and len(rows(again)) > 10
+    plan = ranked.search(again, frame, with_rank=True)._jdf.queryExecution().executedPlan().toString()
+    assert "/ranks" not in plan
+
+
+def test_terms_prune_shards_and_row_groups(spark, stored):
+    _, index = stored
+    rare = index.term_stats.where("field = 1 AND df = 2").orderBy("term").first()["term"]
+    words = spark.createDataFrame([(rare,)], "term string")
+    narrow = index.restricted(words)
+    found = narrow.postings.where("field = 1")
+    assert {r.term for r in found.collect()} == {rare} and found.count() == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and rare in plan
+    assert scanned_rows(found) < index.postings.where("field = 1").count() / 10
+    assert scanned_rows(narrow.term_stats) < index.term_stats.count() / 3
+    many = spark.range(2000).select(F.col("id").cast("string").alias("term"))
+    assert index.restricted(many) is index
+    assert index.restricted(words.limit(0)).postings.count() == 0
+
+
+def test_search_of_a_large_batch_is_not_narrowed(spark, stored, monkeypatch):
+    _, index = stored
+    frame = spark.createDataFrame([(1, "de la"), (2, "inesea der")], "query_id bigint, query string")
+    want = scores(ranked.search_hits(index, frame))
+    monkeypatch.setattr(index_store, "LITERALS", 1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr("pagelode.operators.joins.HOT_ROWS", 5)  # terms and queries are hot
+        assert scores(ranked.search_hits(index, frame)) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_shown_pages_are_looked_up_by_id(spark, stored):
+    _, index = stored
+    results = spark.createDataFrame([(1, 7, 1), (1, 150, 2), (2, 7, 1)], "query_id bigint, doc_id bigint, rank_no int")
+    rows = pg.fetch_pages(results, index.docs, index.content).collect()
+    want = {r.doc_id: r for r in index.content.where("doc_id IN (7, 150)").collect()}
+    assert sorted((r.query_id, r.rank_no, r.doc_id) for r in rows) == [(1, 1, 7), (1, 2, 150), (2, 1, 7)]
+    assert all(r.content == want[r.doc_id].content for r in rows)
+    plan = pg.fetch_pages(results, index.docs)._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and "In(doc_id" in plan
+    assert scanned_rows(index.content.where(one_of("doc_id", [7]))) < index.docs.count() / 10
+
+
+def test_paging_moves_nothing(spark):
+    hits = spark.range(100).selectExpr("id % 2 AS query_id", "id AS doc_id", "double(id) AS total")
+    asked = spark.createDataFrame([], "query_id bigint, page int")
+    plan = pg.paginate(ranked.top_results(hits), asked)._jdf.queryExecution().executedPlan().toString()
+    assert "__lane" not in plan and plan.count("Exchange hashpartitioning(query_id") <= 2
+
+
+@pytest.mark.parametrize("fulltext", [False, True])
+def test_wide_postings_meet_in_their_row(spark, corpus, fulltext):
+    odd = spark.createDataFrame([(7, None, "red Red", None), (8, "", "", []), (9, None, None, None)], corpus.schema)
+    rows = corpus.unionByName(odd)
+    wide = ps.wide_postings(rows, fulltext=fulltext)
+    assert "Exchange hashpartitioning(term" not in wide._jdf.queryExecution().executedPlan().toString()
+    want = defaultdict(lambda: [[], [], []])
+    for r in ps.build_postings(rows, fulltext=fulltext).collect():
+        want[r.term, r.doc_id][r.field] = r.positions
+    got = {(r.term, r.doc_id): (r.freq, r.positions) for r in wide.collect()}
+    assert got == {k: ([len(p) for p in v], sum(v, [])) for k, v in want.items()} and ("red", 7) in got
+    lists = ps.posting_lists(corpus)._jdf.queryExecution().executedPlan().toString()
+    assert lists.count("Exchange hashpartitioning(term") == 1
