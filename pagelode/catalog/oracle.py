@@ -242,6 +242,33 @@ def _snippet() -> str:
     )
 
 
+def _fulltext_snippet() -> tuple[str, str]:
+    """Fragments by a fold over the text: up to 100 characters that end before a blank or the end, else the whole word; words are found
+    between characters that are no letters, marks, digits or joiners. Bold tags are two control characters until the end, so that
+    the second pass, which sees words that share a blank with the one before, finds no word twice."""
+    blank, word = r"[\t\n\x0B\f\r ]", r"\p{L}\p{M}\p{Nd}\p{Pc}"
+    piece = (
+        f"CASE WHEN length(rest) <= 100 THEN rest WHEN regexp_matches(left(rest, 101), '(?s)^.{{1,100}}{blank}') "
+        f"THEN regexp_extract(left(rest, 101), '(?s)^(.{{1,100}}){blank}', 1) ELSE regexp_extract(rest, '^[^\t\n\x0B\f\r ]+') END"
+    )
+    # A blank that starts no fragment is skipped.
+    step = f"SELECT query_id, rank, doc_id, ws, i + 1 AS i, substr(rest, greatest(1, length({piece})) + 1) AS rest, {piece} AS s FROM pieces WHERE rest <> ''"
+    found = f"len(list_filter(list_distinct(ws), lambda w: regexp_matches(s, '(?i)(?:^|[^{word}])' || w || '(?:$|[^{word}])')))"
+    bold = f"'(?i)(^|[^{word}\x01\x02])(' || array_to_string(ws, '|') || ')($|[^{word}\x01\x02])', '\\1\x01\\2\x02\\3', 'g'"
+    marked = f"regexp_replace(regexp_replace(s, {bold}), {bold})"
+    tidy = f"regexp_replace(regexp_replace({marked}, '\\r\\n|\\r|\\n', ' ', 'g'), '[ ]+', ' ', 'g')"
+    tags = f"replace(replace({tidy}, chr(1), '<B>'), chr(2), '</B>')"
+    return (
+        "SELECT p.query_id, p.rank, p.doc_id, '... ' || coalesce(b.body, '') || ' ...' AS text FROM paged p LEFT JOIN ("
+        f"SELECT query_id, rank, string_agg({tags}, ' ... ' ORDER BY k DESC, i) AS body FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY query_id, rank ORDER BY k DESC, i) AS rn FROM ("
+        f"SELECT *, {found} AS k FROM pieces WHERE s <> '') WHERE k > 0) WHERE rn <= 5 GROUP BY query_id, rank"
+        ") b ON b.query_id = p.query_id AND b.rank = p.rank",
+        "SELECT p.query_id, p.rank, p.doc_id, q.ws, 0 AS i, c.content AS rest, '' AS s FROM paged p JOIN corpus c ON c.doc_id = p.doc_id "
+        f"JOIN qwords q ON q.query_id = p.query_id UNION ALL {step}",
+    )
+
+
 def _decoded_links() -> str:
     """Root-relative links only, which is all the pages hold."""
     bad = "regexp_matches(h, '%([^0-9A-Fa-f]|.[^0-9A-Fa-f]|.?$)')"
@@ -288,9 +315,14 @@ def oracle_sql() -> dict[str, str]:
             "CASE length(content) % 3 WHEN 0 THEN categories WHEN 1 THEN list_concat([''], categories) ELSE [''] END AS items FROM pg)"
         ),
         "ingest_insert_or_ignore": sql("SELECT title, page_id FROM firsts"),
-        "stream_ingest_pages": sql("SELECT title, page_id FROM firsts"),
+        "stream_ingest_pages": sql(
+            f"SELECT x.title, x.page_id, x.content, x.categories, '{RUN_TIME[:16]}' AS last_modified_text, coalesce(l.links, '') AS links FROM extracted x "
+            "LEFT JOIN outnames l ON l.page_id = x.page_id WHERE x.page_id IN (SELECT min(page_id) FROM extracted GROUP BY title)",
+            extracted=_extracted(),
+            outnames=_decoded_links(),
+        ),
         "export_three_way": sql(
-            "SELECT 'data' AS kind, id, title || '~' || length(content) || '~' || array_to_string(categories, '|') AS payload_text FROM numbered "
+            "SELECT 'data' AS kind, id, title || '~' || content || '~' || array_to_string(categories, '|') AS payload_text FROM numbered "
             f"UNION ALL SELECT 'index', id, title FROM numbered UNION ALL SELECT 'link', id, {_nums('links')} FROM resolved"
         ),
         "publish_index_tables": sql(
@@ -399,4 +431,6 @@ def oracle_sql() -> dict[str, str]:
         "ft_topk": sql(f"SELECT {result_cols} FROM ftranked WHERE rank <= 1000"),
         "search_fulltext": sql(f"SELECT {result_cols} FROM ftranked WHERE rank <= 1000"),
     }
+    final, pieces = _fulltext_snippet()
+    q["ft_snippet"] = sql(final, pieces=pieces, results="SELECT * FROM ftranked WHERE rank <= 1000")
     return q

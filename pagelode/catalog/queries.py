@@ -202,9 +202,19 @@ def ingest_insert_or_ignore(spark, folder):
 
 @query
 def stream_ingest_pages(spark, folder):
+    """Page files to whole page rows to the page table, as a stream."""
     path, state = fresh_path(spark, "stream-table"), fresh_path(spark, "stream-state")
-    si.ingest_pages(si.read_page_stream(spark, folder, "pages.parquet"), path, state)
-    return ingest.read_table(spark, path, "title string, page_id bigint, url string").select("title", "page_id")
+    stream = si.read_page_stream(spark, folder, "pages.parquet")
+    rows = markup.page_rows(stream, F.to_timestamp(F.lit(RUN_TIME)), HOST_REGEX, PATH_REGEX)
+    si.ingest_pages(rows, path, state)
+    return ingest.read_table(spark, path, rows.schema).select(
+        "title",
+        "page_id",
+        "content",
+        F.array_join("categories", "|").alias("categories"),
+        F.date_format("last_modified", "yyyy-MM-dd HH:mm").alias("last_modified_text"),
+        F.array_join("out_links", "|").alias("links"),
+    )
 
 
 def linked_pages(spark, folder) -> DataFrame:
@@ -228,10 +238,12 @@ def lower_linked_pages(spark, folder) -> DataFrame:
 
 @query
 def export_three_way(spark, folder):
-    sets = export.export_sets(lower_linked_pages(spark, folder))
-    part = lambda name, payload: sets[name].select(F.lit(name).alias("kind"), _long("id"), payload.alias("payload_text"))
+    """The three sets written once, read back from their files and compared in full."""
+    path = fresh_path(spark, "export")
+    export.export_three_way(lower_linked_pages(spark, folder), path)
+    part = lambda name, payload: export.read_set(spark, path, name).select(F.lit(name).alias("kind"), "id", payload.alias("payload_text"))
     return (
-        part("data", F.concat_ws("~", "title", F.length("content").cast("string"), F.array_join("categories", "|")))
+        part("data", F.concat_ws("~", "title", "content", F.array_join("categories", "|")))
         .unionByName(part("index", F.col("title")))
         .unionByName(part("link", _text("links")))
     )

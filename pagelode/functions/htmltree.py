@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -59,19 +60,14 @@ class Node:
                 stack.extend(item.children[::-1])
         return "".join(parts)
 
-    def drop(self) -> None:
-        if self.parent is not None:
-            self.parent.children.remove(self)
-            self.parent = None
-
     def matches(self, part: str) -> bool:
+        """An element of the right tag matches the rest of ``part``."""
         if part.startswith("#"):
             return self.attrs.get("id") == part[1:]
         if part.endswith("]"):
-            tag, _, value = part[:-1].partition("[class=")
-            return (not tag or self.tag == tag) and self.attrs.get("class") == value
-        tag, _, name = part.partition(".")
-        return (not tag or self.tag == tag) and (not name or name in (self.attrs.get("class") or "").split())
+            return self.attrs.get("class") == part[:-1].partition("[class=")[2]
+        name = part.partition(".")[2]
+        return not name or name in (self.attrs.get("class") or "").split()
 
 
 class _Builder(HTMLParser):
@@ -113,29 +109,45 @@ class _Builder(HTMLParser):
         self.open.children.append(data)
 
 
-def select(root: Node, selector: str) -> list[Node]:
-    """Nodes below ``root`` matching the selector, in document order. Each node carries down which steps of the
-    selector it matches itself and which some element above it does."""
-    words = selector.replace(">", " > ").split()
-    steps = [(w, i > 0 and words[i - 1] == ">") for i, w in enumerate(words) if w != ">"]
-    chain, top = [], root
-    while top is not None:
-        chain.append(top)
-        top = top.parent
-    own, above = frozenset(), frozenset()
-
-    def matched(node: Node, parent: frozenset, over: frozenset) -> frozenset:
-        return frozenset(i for i, (part, child) in enumerate(steps) if (i == 0 or i - 1 in (parent if child else over)) and node.matches(part))
-
-    for node in reversed(chain):
-        own, above = matched(node, own, above), above | own
-    found, stack = [], [(c, own, above | own) for c in root.elements()[::-1]]
+@lru_cache
+def _steps(selectors: tuple[str, ...]):
+    """All steps of all selectors as bits. ``by_tag``: the steps an element of a tag may match ('' for any tag), as
+    (bit, part, bit of the step before or 0, whether that must be the parent). ``last``: the last bit of each selector."""
+    by_tag, last, bit = {}, [], 1
+    for selector in selectors:
+        words, before, child = selector.replace(">", " > ").split(), 0, False
+        for word in words:
+            if word == ">":
+                child = True
+                continue
+            tag = "" if word.startswith("#") else word.partition("[")[0].partition(".")[0]
+            by_tag.setdefault(tag, []).append((bit, word, before, child))
+            before, child, bit = bit, False, bit << 1
+        last.append(before)
+    return by_tag, last
+
+
+def select(root: Node, selectors: tuple[str, ...]) -> list[list[Node]]:
+    """The elements below a page's ``root`` that match each of the selectors, in document order, from one walk. A walk carries
+    down which steps the parent matches and which some element above does, as bits of an integer."""
+    by_tag, last = _steps(selectors)
+    found, wanted = [[] for _ in last], sum(set(last))
+    anywhere = by_tag.get("", [])
+    stack = [(c, 0, 0) for c in root.elements()[::-1]]
     while stack:
         node, parent, over = stack.pop()
-        mine = matched(node, parent, over)
-        if len(steps) - 1 in mine:
-            found.append(node)
-        stack.extend((c, mine, over | mine) for c in node.elements()[::-1])
+        own = 0
+        for bit, part, before, child in by_tag.get(node.tag, []) + anywhere if node.tag in by_tag else anywhere:
+            if (not before or before & (parent if child else over)) and node.matches(part):
+                own |= bit
+        if own & wanted:
+            for rows, bit in zip(found, last):
+                if own & bit:
+                    rows.append(node)
+        below = over | own
+        for c in node.children[::-1]:
+            if isinstance(c, Node):
+                stack.append((c, own, below))
     return found
 
 
@@ -143,16 +155,20 @@ def _trim(text: str) -> str:
     return text.strip("".join(map(chr, range(33))))
 
 
-def _clean(content: Node, remove: tuple[str, ...]) -> None:
-    for selector in remove:
-        for node in select(content, selector):
-            node.drop()
-    for level in ("h1", "h2", "h3", "h4", "h5", "h6"):
-        for node in [content, *content.walk()]:
-            siblings = node.elements()
-            for first, second in zip(siblings, siblings[1:]):
-                if first.tag == second.tag == level:
-                    first.drop()
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+
+
+def _clean(content: Node, doomed: set[int]) -> None:
+    """Drop the ``doomed`` elements (by identity) below ``content``, and every heading whose next element is a heading of its level."""
+    stack = [content]
+    while stack:
+        node = stack.pop()
+        if not node.children:
+            continue
+        elements = [c for c in node.children if isinstance(c, Node) and id(c) not in doomed]
+        doomed.update(id(a) for a, b in zip(elements, elements[1:]) if a.tag == b.tag and a.tag in _HEADINGS)
+        node.children = [c for c in node.children if id(c) not in doomed]
+        stack.extend(c for c in elements if id(c) not in doomed)
 
 
 def extract(html: str, rules: Selectors):
@@ -160,17 +176,18 @@ def extract(html: str, rules: Selectors):
     builder = _Builder()
     builder.feed(html or "")
     builder.close()
-    root = builder.root
-    first = lambda selector: next(iter(select(root, selector)), None)
-    title, content = first(rules.title), first(rules.content)
-    blocks = select(root, rules.categories)
-    footer = first(rules.footer)
-    links = select(root, rules.links) if rules.links != rules.content else [content] if content else []
-    if title is None or content is None:
+    wanted = (rules.title, rules.content, rules.categories, rules.footer, rules.links, *rules.remove)
+    titles, contents, blocks, footers, links, *removed = select(builder.root, wanted)
+    if not titles or not contents:
         return False, None, None, None, None, None
-    name = " ".join(title.text().split())
-    _clean(content, rules.remove)
-    body = "\n".join(_trim(c.text()) for c in content.elements() if c.text().strip())
+    content = contents[0]
+    if rules.links == rules.content:
+        links = [content]
+    footer = footers[0] if footers else None
+    name = " ".join(titles[0].text().split())
+    _clean(content, {id(node) for nodes in removed for node in nodes})
+    texts = [c.text() for c in content.elements()]
+    body = "\n".join(_trim(t) for t in texts if t.strip())
     targets = [n.attrs["href"] for block in links for n in block.walk() if n.tag == "a" and n.attrs.get("href") is not None]
     return (
         True,

@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.functions import htmltree
+from pagelode.functions import htmltree, urls
 
 cloudpickle.register_pickle_by_value(htmltree)
 
@@ -86,6 +86,25 @@ def extract_pages(pages: DataFrame, selectors: htmltree.Selectors | None = None)
     return pages.select("page_id", "url", "html").mapInPandas(parse, EXTRACT_SCHEMA)
 
 
+def page_rows(
+    pages: DataFrame, run_time: Column, host_regex: str, path_regex: str, selectors: htmltree.Selectors | None = None
+) -> DataFrame:
+    """Stored HTML to the whole page row in one call: ``page_id, url, title, content, categories, last_modified, out_links``. Pages without
+    a title, content or category give no row. A footer without a readable date counts as edited at ``run_time``; out-links are the
+    titles that the page's links name within the scope of the two patterns. Works on a stream too."""
+    found = drop_empty(extract_pages(pages, selectors).filter("found"))
+    absolute = F.transform("hrefs", lambda h: urls.resolve_href(F.col("url"), h))
+    return found.select(
+        "page_id",
+        "url",
+        "title",
+        "content",
+        "categories",
+        last_modified(F.coalesce("footer", F.lit("")), run_time).alias("last_modified"),
+        urls.link_titles(absolute, host_regex, path_regex).alias("out_links"),
+    )
+
+
 def drop_empty(pages: DataFrame) -> DataFrame:
     """Keep pages that have content and at least one category."""
     return pages.filter((F.col("content") != "") & (F.size("categories") > 0))

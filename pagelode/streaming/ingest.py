@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pagelode.functions import markup, urls
-from pagelode.sources.ingest import insert_or_ignore
+from pagelode.sources.ingest import compact, insert_or_ignore
 
 PAGES_SCHEMA = "page_id bigint, url string, html string"
 
@@ -25,12 +25,17 @@ def titled(pages: DataFrame) -> DataFrame:
     )
 
 
-def ingest_pages(pages: DataFrame, table_path: str, checkpoint: str) -> None:
-    """Process all files present and insert-or-ignore their pages by title. Each micro-batch is
-    one batch of the table; after a failure the same batch is written again in place."""
+def ingest_pages(rows: DataFrame, table_path: str, checkpoint: str, compact_every: int = 64) -> None:
+    """Process all files present and insert-or-ignore their rows by title. ``rows`` is a stream with ``page_id`` and ``title``, such as
+    ``markup.page_rows`` of a page stream; all its columns are stored. Each micro-batch is one batch of the table; after a failure
+    the same batch is written again in place. Every ``compact_every`` batches the table is compacted."""
+    def insert(arrivals: DataFrame, batch: int) -> None:
+        insert_or_ignore(arrivals, table_path, batch)
+        if batch % compact_every == compact_every - 1:
+            compact(arrivals.sparkSession, table_path, arrivals.schema)
+
     query = (
-        titled(pages)
-        .writeStream.foreachBatch(lambda rows, batch: _insert(rows, table_path, batch))
+        rows.writeStream.foreachBatch(insert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -38,10 +43,6 @@ def ingest_pages(pages: DataFrame, table_path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _insert(rows: DataFrame, path: str, batch: int) -> None:
-    insert_or_ignore(rows, path, batch)
-
-
 def visited_urls(pages: DataFrame, watermark: str | None = None, time_column: str = "ts") -> DataFrame:
     """Each canonical URL once. The state holds one key per URL for ever, as the crawler's
     visited set does; with a watermark, repeats are only recognised within that time and state

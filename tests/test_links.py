@@ -132,6 +132,33 @@ def test_frontier_depth_budget_and_empty_level(spark, edges):
     assert depths(frontier.frontier_bfs(seeds, edges, page_budget=4)) == {0: 0, 1: 1, 2: 1, 8: 2}
 
 
+def test_frontier_of_a_source_with_very_many_links(spark, no_broadcast, monkeypatch):
+    """The links stay in their buckets: a level's join moves the level only; a hot source is dealt to several buckets."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    edges = spark.range(1, 400).select(F.lit(0).cast("bigint").alias("src"), F.col("id").alias("dst"))
+    edges = edges.unionByName(spark.range(1, 400).select(F.col("id").alias("src"), (F.col("id") + 1000).alias("dst")))
+    seeds = spark.createDataFrame([(0,)], "url bigint")
+    rows = frontier.frontier_bfs(seeds, edges).collect()
+    assert {r.url: r.depth for r in rows} == {0: 0, **{i: 1 for i in range(1, 400)}, **{i + 1000: 2 for i in range(1, 400)}}
+    some = frontier.frontier_bfs(seeds, edges, page_budget=500).collect()
+    assert sorted(r.url for r in some) == [*range(400), *range(1001, 1101)]
+    links = frontier.Links(edges)
+    try:
+        assert [(r.src, r[1]) for r in links.hot.collect()] == [(0, 8)]
+        assert links.spark.table(links.name).where("src = 0").select("__lane").distinct().count() == 8
+        level = spark.createDataFrame([(0, 0), (5, 0)], "url bigint, depth int")
+        plan = links.targets(level)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(src") == 1 and "Bucketed: true" in plan
+    finally:
+        links.close()
+
+
+def test_frontier_budget_below_the_seeds(spark, edges):
+    seeds = spark.createDataFrame([(3,), (1,), (2,)], "url bigint")
+    assert sorted(r.url for r in frontier.frontier_bfs(seeds, edges, page_budget=2).collect()) == [1, 2]
+    assert frontier.frontier_bfs(seeds, edges, page_budget=0).count() == 0
+
+
 ROBOTS = [
     "User-agent: other", "Disallow: /", "User-agent: *", "User-agent: page*", "Allow: /a/b", "disallow: /a",
     "Allow: /a", "Disallow:", "Disallow: /x%20y # note", "  Disallow: /q?z  ", "Noise", "User-agent: PAGELODE",

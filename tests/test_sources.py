@@ -89,6 +89,95 @@ def test_insert_or_ignore_counts_and_retries(spark):
     assert sorted((r.page_id, r.title) for r in rows) == [(1, "a"), (2, "b"), (5, "c")]
 
 
+def test_a_batch_reads_the_buckets_of_its_keys(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "BUCKETS", 16)
+    rows = lambda low, high: spark.range(low, high).select(F.col("id").alias("page_id"), F.concat(F.lit("t"), F.col("id")).alias("title"), F.lit("x").alias("body"))
+    path = fresh_path(spark, "buckets")
+    assert ingest.insert_or_ignore(rows(0, 300), path, 0) == 300
+    assert ingest.insert_or_ignore(rows(250, 350), path, 1) == 50
+    schema = rows(0, 1).schema
+    before = ingest._read(spark, path, schema)
+    assert before.select("bucket").distinct().count() == 16
+    hit = before.where(F.col("bucket").isin([3]))
+    assert set(f.split("bucket=")[1].split("/")[0] for f in hit.select("title").inputFiles()) >= {"3"}
+    plan = hit.select("title")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "body" not in plan
+    assert ingest.compact(spark, path, schema) == 1
+    assert ingest.read_table(spark, path, schema).count() == 350
+    assert ingest.insert_or_ignore(rows(250, 350), path, 1) == 0  # retried after it was merged
+    assert ingest.insert_or_ignore(rows(340, 360), path, 2) == 10
+    table = ingest.read_table(spark, path, schema)
+    assert table.count() == table.select("title").distinct().count() == 360
+    assert ingest.read_table(spark, path, "page_id bigint, title string, body string").where("body = 'x'").count() == 360
+    assert ingest.compact(spark, fresh_path(spark, "none"), schema) is None
+
+
+def test_page_rows_in_one_call(spark):
+    pages = [
+        (1, "http://en.site.org/wiki/A", HTML),
+        (2, "http://en.site.org/wiki/B", HTML.replace("edited on 18 January 2018, at 21:30.", "never")),
+        (3, "http://en.site.org/wiki/C", "<h1 id=firstHeading>only a title</h1>"),
+        (4, None, None),
+    ]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    rows = {r.page_id: r for r in markup.page_rows(frame, F.lit(datetime.datetime(2024, 1, 1)), r"en\.site\.org", "^/wiki/([^:]*)$", RULES).collect()}
+    assert sorted(rows) == [1, 2]
+    assert rows[1].title == "Red River" and rows[1].categories == ["Rivers", "North"] and rows[1].out_links == ["Red Gum"]
+    assert rows[1].content.startswith("First para") and str(rows[1].last_modified) == "2018-01-18 21:30:00"
+    assert str(rows[2].last_modified) == "2024-01-01 00:00:00"
+
+
+def test_selectors_from_one_walk():
+    """Against the definition of each selector, on random trees."""
+    import random
+
+    draw = random.Random(3)
+    selectors = ("div", "#a .x", "ul > li", "div ul > li.x", ".x > .x", "div[class=x]", "div", "h1 > ul li")
+
+    def tree(depth):
+        node = htmltree.Node(draw.choice(["div", "ul", "li", "h1"]), {"id": draw.choice("ab"), "class": draw.choice(["x", "x y", "y", ""])})
+        node.children = [tree(depth - 1) for _ in range(draw.randint(0, 3))] if depth else ["text"]
+        return node
+
+    def is_part(node, part):
+        if part.startswith("#"):
+            return node.attrs["id"] == part[1:]
+        if part.endswith("]"):
+            tag, value = part[:-1].split("[class=")
+            return node.tag == tag and node.attrs["class"] == value
+        tag, _, name = part.partition(".")
+        return (not tag or node.tag == tag) and (not name or name in node.attrs["class"].split())
+
+    def plain(root, selector):
+        words = selector.split()
+
+        def fits(chain, at):
+            if not is_part(chain[-1], words[at]):
+                return False
+            if at == 0:
+                return True
+            child = words[at - 1] == ">"
+            ends = [len(chain) - 1] if child else range(1, len(chain))
+            return any(end >= 1 and fits(chain[:end], at - 1 - child) for end in ends)
+
+        out = []
+
+        def walk(node, chain):
+            for c in node.elements():
+                if fits([*chain, c], len(words) - 1):
+                    out.append(c)
+                walk(c, [*chain, c])
+
+        walk(root, [])
+        return out
+
+    for _ in range(60):
+        root = htmltree.Node("", {})
+        root.children = [tree(4), tree(3)]
+        for selector, found in zip(selectors, htmltree.select(root, selectors)):
+            assert [id(n) for n in found] == [id(n) for n in plain(root, selector)], selector
+
+
 def test_export_files_round_trip(spark):
     pages = spark.createDataFrame(
         [("b", 'x "q"', ["c"], ["a"]), ("a", "y", ["c", "d"], ["zz"])],
@@ -96,10 +185,11 @@ def test_export_files_round_trip(spark):
     )
     path = fresh_path(spark, "export")
     export.export_three_way(pages, path)
-    good, bad = jsonl.read_pages(spark, f"{path}/data.json")
+    good, bad = jsonl.read_pages(spark, f"{path}/kind=data")
     assert bad.count() == 0 and sorted((r.id, r.content) for r in good.collect()) == [(0, "y"), (1, 'x "q"')]
-    links = spark.read.schema("id int, links array<int>").json(f"{path}/link.json").collect()
-    assert [(r.id, r.links) for r in links] == [(1, [0])]
+    assert [(r.id, r.links) for r in export.read_set(spark, path, "link").collect()] == [(1, [0])]
+    assert sorted(map(tuple, export.read_set(spark, path, "index").collect())) == [(0, "a"), (1, "b")]
+    assert sorted((r.id, r.categories) for r in export.read_set(spark, path, "data").collect()) == [(0, ["c", "d"]), (1, ["c"])]
 
 
 def test_published_index_equals_built_index(spark, corpus):
@@ -128,10 +218,11 @@ def test_streams_restart_and_add_only_new_keys(spark, tmp_path):
     seen, seen_state = fresh_path(spark, "s-seen"), fresh_path(spark, "s-seen-state")
 
     def run():
-        si.ingest_pages(si.read_page_stream(spark, folder), table, state)
+        rows = markup.page_rows(si.read_page_stream(spark, folder), F.to_timestamp(F.lit("2024-01-01 00:00:00")), ".*", "^/(.*)$")
+        si.ingest_pages(rows, table, state, compact_every=2)
         urls_seen = si.visited_urls(si.read_page_stream(spark, folder).select("url"))
         si.write_once(urls_seen, seen, seen_state)
-        rows = ingest.read_table(spark, table, "title string, page_id bigint, url string")
+        rows = ingest.read_table(spark, table, rows.schema)
         return sorted((r.title, r.page_id) for r in rows.collect()), sorted(
             r.url for r in spark.read.schema("url string").parquet(seen).collect()
         )
