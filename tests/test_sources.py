@@ -204,7 +204,7 @@ def test_published_index_equals_built_index(spark, corpus):
 
 
 def _page(i, title, url):
-    return (i, url, f"<h1>{title}</h1><article>x</article><nav><ul><li>c</li></ul></nav>")
+    return (i, url, f"<h1>{title}</h1><article><p>x</p></article><nav><ul><li>c</li></ul></nav>")
 
 
 def _drop(folder, name, rows):
