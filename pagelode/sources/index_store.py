@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pagelode.operators import postings as ps
 from pagelode.operators.joins import LITERALS, estimated_bytes, one_of
+from pagelode.session import materialise
 
 POSTINGS_SCHEMA = "term string, doc_id bigint, tf int, positions array<int>, field_len int, rank double, field int, shard int"
 META_SCHEMA = "n_shards int, stemmed boolean, fulltext boolean, n_docs bigint, max_rank double"
@@ -126,7 +127,8 @@ def publish_index(
     written = spark.read.schema(POSTINGS_SCHEMA).parquet(f"{path}/postings")
     ps.doc_frequency(written, "shard").repartition("shard").sortWithinPartitions("shard", "term").write.partitionBy("shard").parquet(f"{path}/term_stats")
     # Lengths are stored with the documents; the averages are then read from that one column.
-    docs = ps.with_lengths(corpus, fulltext).drop("content")
+    # Written first: finding the ranges reads its rows a second time, and should not analyse every text again.
+    docs = materialise(ps.with_lengths(corpus, fulltext).drop("content"), "docs")
     docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.parquet(f"{path}/docs")
     content = corpus.select("doc_id", "content").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     # A writer looks at the size of its row group every few rows; texts can be long, so from the first ones on.
