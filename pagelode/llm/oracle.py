@@ -4,6 +4,22 @@ from __future__ import annotations
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+_OP1 = """
+WITH d AS (SELECT substr(md5(url), 1, 1) AS file, page_id, url, coalesce(html, '') AS html FROM pages),
+copied AS (
+  SELECT *, CASE WHEN page_id % 50 = 7 THEN substr(html, 1, greatest(length(html) - 1, 0)) || '~' ELSE html END AS copy, coalesce(page_id % 97 = 5, false) AS gone FROM d
+),
+hashed AS (
+  SELECT file, page_id, url, sha256(html) AS digest, strlen(html) + 512 AS n_bytes, sha256(copy) AS copied, strlen(copy) + 512 AS copied_length, gone FROM copied
+),
+placed AS (
+  SELECT *, (sum(n_bytes) OVER (PARTITION BY file ORDER BY page_id NULLS FIRST, url NULLS FIRST, copied, copied_length, gone ROWS UNBOUNDED PRECEDING) - n_bytes)::BIGINT
+         AS record_offset FROM hashed
+)
+SELECT file, record_offset, n_bytes, digest, CASE WHEN gone THEN 'missing' ELSE 'corrupt' END AS status
+FROM placed WHERE gone OR digest <> copied OR n_bytes <> copied_length
+"""
+
 _OP6 = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
@@ -168,4 +184,4 @@ SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_host_rules": _OP6, "op7_mixing": _OP7, "op11_dual_tree": _OP11, "op12_divergence": _OP12}
+    return {"op1_merkle": _OP1, "op6_host_rules": _OP6, "op7_mixing": _OP7, "op11_dual_tree": _OP11, "op12_divergence": _OP12}

@@ -32,18 +32,24 @@ __all__ = ["oracle_sql", "queries"]
 def op1_merkle(spark: SparkSession, folder: str) -> DataFrame:
     """Fixity audit of a replica of ``pages``. The replica is made from the table: in pages 7, 57, 107 and so on
     the last byte is changed, and pages 5, 102, 199 and so on are gone; files are the hosts' first
-    letters. Every page is hashed, in both."""
+    letters. Every page is hashed, in both. A record's copy travels in its own row until both are laid out, so that a copy lies where its
+    original lay, whatever is null or repeated; damage does not move the others."""
     pages = spark.read.parquet(f"{folder}/pages.parquet")
-    pages = pages.withColumn("file", F.substring(F.md5("url"), 1, 1))
-    records = merkle.laid_out(pages, "file", ["page_id", "url"], "html", header=merkle.HEADER)
-    spoiled = F.when(F.col("page_id") % 50 == 7, F.concat(F.expr("left(html, length(html) - 1)"), F.lit("~"))).otherwise(F.col("html"))
-    hashed = pages.where("page_id % 97 <> 5").select(
-        "file", "page_id", "url", F.sha2(spoiled.cast("binary"), 256).alias("digest"), (F.octet_length(spoiled) + merkle.HEADER).alias("length")
+    html = F.coalesce("html", F.lit(""))
+    copy = F.when(F.col("page_id") % 50 == 7, F.concat(F.expr("left(coalesce(html, ''), length(html) - 1)"), F.lit("~"))).otherwise(html)
+    pages = pages.select(
+        F.substring(F.md5("url"), 1, 1).alias("file"),
+        "page_id",
+        "url",
+        "html",
+        F.sha2(copy.cast("binary"), 256).alias("copied"),
+        (F.octet_length(copy) + merkle.HEADER).cast("bigint").alias("copied_length"),
+        F.coalesce(F.col("page_id") % 97 == 5, F.lit(False)).alias("gone"),
     )
-    # The replica's records lie where the primary's lay; damage does not move the others.
-    where = records.select("file", "page_id", "url", "offset")
-    replica = hashed.join(where, ["file", "page_id", "url"]).select("file", "offset", F.col("length").cast("bigint").alias("length"), "digest")
-    found = merkle.audit(records, materialise(replica, "replica"))
+    order = ["page_id", "url", "copied", "copied_length", "gone"]
+    records = merkle.laid_out(pages, "file", order, "html", header=merkle.HEADER)
+    replica = records.where("NOT gone").select("file", "offset", F.col("copied_length").alias("length"), F.col("copied").alias("digest"))
+    found = merkle.audit(records.select("file", "offset", "length", "digest"), materialise(replica, "replica"))
     return found.select("file", F.col("offset").alias("record_offset"), F.col("length").alias("n_bytes"), "digest", "status")
 
 

@@ -305,3 +305,20 @@ def test_features_of_a_url(spark):
     assert (one.host_suffix, one.path_suffix) == ("c", "html")
     assert one.digits == pytest.approx(2 / 30)
     assert (none.n_chars, none.entropy, none.digits, none.n_parameters) == (0, 0, 0, 0)
+
+
+# --- the fixity query
+
+
+def test_fixity_query_on_odd_pages(spark, tmp_path):
+    """Null urls, texts and ids and repeated pages are sound; only what the query damages is reported, once each."""
+    rows = [(1, None, "a"), (2, "http://a/", None), (None, "http://b/", "x"), (3, "http://c/", "same"), (3, "http://c/", "same"), (3, "http://c/", "other")]
+    rows += [(7, "http://d/", "spoiled"), (7, "http://d/", "spoiled"), (57, None, ""), (5, "http://e/", "gone"), (102, None, None), (None, None, None)]
+    table = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, file string")
+    table.write.parquet(f"{tmp_path}/pages.parquet")
+    found = [(r.status, r.n_bytes, r.digest) for r in queries.op1_merkle(spark, str(tmp_path)).collect()]
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    want = [("corrupt", 519, sha("spoiled"))] * 2 + [("corrupt", 512, sha("")), ("missing", 516, sha("gone")), ("missing", 512, sha(""))]
+    assert sorted(found) == sorted(want)
+    spark.createDataFrame([], table.schema).write.parquet(f"{tmp_path}/none/pages.parquet")
+    assert queries.op1_merkle(spark, f"{tmp_path}/none").count() == 0
