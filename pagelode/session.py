@@ -62,4 +62,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._written_at = path
+    return written
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete the files of tables that ``materialise`` wrote and that nothing reads any more, as loops leave them behind. Whatever was
+    made from them has to be written by then."""
+    for table in tables:
+        path = getattr(table, "_written_at", None)
+        if path:
+            sc = table.sparkSession.sparkContext
+            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
