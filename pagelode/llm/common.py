@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pagelode.session import materialise
+from pagelode.session import discard, materialise
 
 #: A written table is broadcast up to this size, ``rows * bytes a row``; beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
@@ -58,7 +59,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """64-bit hashes of words, remembered; forgotten when there are too many."""
 
-    LIMIT = 1 << 19
+    LIMIT = 1 << 17
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -109,20 +110,28 @@ def components(edges: DataFrame) -> DataFrame:
         least = materialise(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialise(large.where("u <> v").distinct(), "large")
-        least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = materialise(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "small")
+        smallest = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        moved = large.join(smallest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        after = materialise(moved.union(smallest.select("u", F.col("m").alias("v"))).distinct(), "small")
+        discard(current, both, least, large, smallest)
+        current = after
         seen = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if tuple(seen) == state:
             roots = current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            return materialise(current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots), "components")
+            found = materialise(current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots), "components")
+            discard(current)
+            return found
         state = tuple(seen)
 
 
 # --- links inside buckets ----------------------------------------------------------------------
 
 
-def links_in_buckets(members: DataFrame, verify, stars: int = 3) -> DataFrame:
+#: Members of a bucket in a tile of the exact comparison, and 64-bit words compared at a time.
+TILE, WORDS = 2048, 1 << 21
+
+
+def links_in_buckets(members: DataFrame, verify, sketches: DataFrame | None = None, stars: int = 3) -> DataFrame:
     """Links ``a, b`` that connect the same nodes as all verified links between members of the
     same bucket, without comparing all pairs of a bucket.
 
@@ -132,43 +141,121 @@ def links_in_buckets(members: DataFrame, verify, stars: int = 3) -> DataFrame:
     known. Hubs are drawn by hash of the node in the first round, so that like buckets make like pairs, and
     of node and bucket in the later ones, so that a node in many like buckets meets many hubs. Members joined
     already share a label, and a bucket of one label is finished. What is left after ``stars`` rounds is
-    compared exactly: every member outside the bucket's most frequent label with all members of
-    other labels. Pairs of one label are never compared, as they are connected."""
+    compared exactly, see ``remaining_pairs``. Pairs of one label are never compared, as they are connected."""
     spark = members.sparkSession
     links = spark.createDataFrame([], "a bigint, b bigint")
     whole = Window.partitionBy("bucket")
-    labelled = members.select("bucket", "node", "n", F.col("node").alias("label"))
+    labelled, before = members.select("bucket", "node", "n", F.col("node").alias("label")), None
     for turn in range(stars + 1):
-        if turn < stars:
-            key = F.xxhash64("node") if not turn else F.xxhash64("node", "bucket", F.lit(turn))
-            labelled = labelled.withColumn("hub", F.min_by(F.struct("node", "n", "label"), key).over(whole))
-            pairs = labelled.where("label <> hub.label").select(
-                F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), F.col("n").alias("x"), F.col("hub.n").alias("y")
-            )
-            labelled = labelled.where("node <> hub.node").drop("hub")
-        else:
-            rest = labelled.distinct()
-            sizes = rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
-            major = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("major"))
-            major = materialise(major, "major")
-            few = rest.join(major, "bucket").where("label <> major").select("bucket", F.col("node").alias("p"), F.col("n").alias("x"), F.col("label").alias("lp"))
-            pairs = few.join(rest, "bucket").where("label <> lp").select(
-                F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"), F.col("n").alias("y"), "x"
-            )
+        if turn == stars:
+            pairs = materialise(remaining_pairs(labelled, sketches), "pairs")
+            return materialise(links.union(verify(pairs, sketches is not None)), "links")
+        key = F.xxhash64("node") if not turn else F.xxhash64("node", "bucket", F.lit(turn))
+        labelled = labelled.withColumn("hub", F.min_by(F.struct("node", "n", "label"), key).over(whole))
+        pairs = labelled.where("label <> hub.label").select(
+            F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), F.col("n").alias("x"), F.col("hub.n").alias("y")
+        )
+        labelled = labelled.where("node <> hub.node").drop("hub")
         # A link needs sizes within 80 % of each other; of the same pair in many buckets one is kept.
         pairs = materialise(pairs.where("100 * least(x, y) >= 80 * greatest(x, y)").select("a", "b").distinct(), "pairs")
-        links = materialise(links.union(verify(pairs)), "links")
-        if turn == stars:
-            return links
+        found = materialise(links.union(verify(pairs)), "links")
+        discard(pairs, links)
+        links = found
         groups = components(links)
         renamed = labelled.join(checked(groups), "node", "left")
         renamed = renamed.select("bucket", "node", "n", F.coalesce("root", "node").alias("label"))
         open_ = renamed.withColumn("low", F.min("label").over(whole)).withColumn("high", F.max("label").over(whole))
         labelled = materialise(open_.where("low <> high").drop("low", "high"), "open")
+        discard(groups, before)
+        before = labelled
         if labelled.isEmpty():
             return links
 
 
+def remaining_pairs(labelled: DataFrame, sketches: DataFrame | None) -> DataFrame:
+    """``a, b``, distinct: pairs of nodes of one bucket and different labels that may be linked. The members outside a bucket's most
+    frequent label are compared with all its members, in tiles of both, inside tasks: only pairs whose sizes, and bit sets
+    where ``sketches`` (node, n, bits) has them, allow a link become rows. A tile's memory is bounded; no bucket is gathered."""
+    rest = labelled.distinct()
+    sizes = materialise(rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k")), "sizes")
+    tiles = lambda rows: F.greatest(F.lit(1), F.ceil(rows / TILE)).cast("int")
+    total, most = F.sum("k"), F.max("k")
+    buckets = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("major"), tiles(total).alias("wide"), tiles(total - most).alias("high"))
+    rows = rest.join(checked(materialise(buckets, "buckets")), "bucket").withColumn("few", F.col("label") != F.col("major"))
+    own = lambda count, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    columns = ["bucket", "column", "row", "few", "node", "n", "label"]
+    left = rows.where("few").withColumn("row", own("high", 1)).withColumn("column", every("wide")).select(*columns)
+    right = rows.withColumn("few", F.lit(False)).withColumn("column", own("wide", 2)).withColumn("row", every("high")).select(*columns)
+    dealt = left.union(right)
+    if sketches is None:
+        dealt = dealt.withColumn("bits", F.lit(None).cast("array<bigint>"))
+    else:
+        # Bit sets go to tiles by their node; of a node in many buckets they are repeated, as its rows are.
+        dealt = dealt.join(checked_size(sketches.select("node", "bits"), F.size("bits") * 8 + 48), "node").select(*columns, "bits")
+    key = ["bucket", "column", "row"]
+    found = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_compare_tiles, "a bigint, b bigint")
+    return found.distinct()
+
+
+def _compare_tiles(batches):
+    """Pairs of the tiles in rows sorted by tile; what a batch ends with waits for the next one."""
+    waiting = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if waiting is not None:
+            table = pa.concat_tables([waiting, table])
+        keys = np.stack([table.column(c).to_numpy() for c in range(3)])
+        ends = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        found = [_tile_pairs(table.slice(i, j - i)) for i, j in zip(np.r_[0, ends[:-1]], ends)] if len(ends) else []
+        waiting = table.slice(ends[-1] if len(ends) else 0)
+        yield _pair_rows(found)
+    if waiting is not None:
+        yield _pair_rows([_tile_pairs(waiting)])
+
+
+def _pair_rows(found: list) -> pa.RecordBatch:
+    pairs = np.concatenate([np.empty((0, 2), np.int64), *found])
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _tile_pairs(tile: pa.Table) -> np.ndarray:
+    few = tile.column("few").to_numpy(zero_copy_only=False)
+    node, n, label = (tile.column(c).to_numpy() for c in ("node", "n", "label"))
+    bits = tile.column("bits").combine_chunks()
+    width = np.zeros(len(node), np.int64) if bits.null_count else bits.value_lengths().to_numpy()
+    flat, start = bits.flatten().to_numpy().view(np.uint64), np.r_[0, np.cumsum(width)]
+    out = []
+    for w in np.unique(width):
+        for other in (w, 2 * w) if w else (w,):
+            for i, j in {(w, other), (other, w)}:
+                mine, theirs = np.flatnonzero(few & (width == i)), np.flatnonzero(~few & (width == j))
+                if len(mine) and len(theirs):
+                    at = lambda rows, own: _folded(flat[start[rows][:, None] + np.arange(own)], w)
+                    out.append(_near(mine, theirs, at(mine, i), at(theirs, j), node, n, label))
+    pairs = np.concatenate([np.empty((0, 2), np.int64), *out])
+    return np.unique(np.sort(pairs, axis=1), axis=0) if len(pairs) else pairs
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    return bits if bits.shape[1] == words else bits[:, :words] ^ bits[:, words:]
+
+
+def _near(mine, theirs, x, y, node, n, label) -> np.ndarray:
+    """Pairs of nodes whose labels differ and whose sizes and bit sets allow a similarity of 80 %."""
+    out, step = [np.empty((0, 2), np.int64)], max(1, WORDS // max(1, len(theirs) * max(1, x.shape[1])))
+    for low in range(0, len(mine), step):
+        rows = mine[low : low + step]
+        a, b = n[rows][:, None].astype(np.int64), n[theirs][None].astype(np.int64)
+        fits = (100 * np.minimum(a, b) >= 80 * np.maximum(a, b)) & (label[rows][:, None] != label[theirs][None])
+        if x.shape[1]:
+            apart = np.bitwise_count(x[low : low + step][:, None] ^ y[None]).sum(axis=2, dtype=np.int64)
+            fits &= 9 * apart <= a + b
+        i, j = np.nonzero(fits)
+        out.append(np.stack([node[rows[i]], node[theirs[j]]], axis=1))
+    return np.concatenate(out)
+
+
 def shared(rows: DataFrame) -> DataFrame:
     """The rows of buckets with two nodes or more, with the bucket's number of rows, written."""
     whole = Window.partitionBy("bucket")
@@ -218,8 +305,8 @@ def verified(sets_of, sketches: DataFrame | None = None):
     """A function from pairs of nodes to those whose sets are 80 % alike. ``sets_of`` makes node, n, tokens for
     a table of nodes. The sets of one side are found by the pairs, then those of the other join them."""
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        if sketches is not None:
+    def verify(pairs: DataFrame, sifted: bool = False) -> DataFrame:
+        if sketches is not None and not sifted:
             pairs = promising(pairs, sketches)
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         sets = sets_of(materialise(ends, "ends"))

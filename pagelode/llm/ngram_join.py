@@ -5,8 +5,10 @@ tokens that links with another at 80 % misses at most t = n - ceil(0.8 n) of its
 common order of all tokens its first t + 1 hold one that the other has among its own first ones.
 Tokens are ordered by hash. Tokens that too many nodes index ("frequent") form a class of their own,
 behind all others: a node whose first tokens hold frequent ones takes rarer tokens instead, and if
-it has too few of them, extends its prefix by one more frequent token and indexes the pairs of its frequent
-ones, for with c tokens of that class in the prefix, c - 1 misses still leave a common pair.
+it has too few of them, extends its prefix by frequent ones and indexes pairs of them. Frequent tokens are
+dealt to sub-classes by hash and paired inside a sub-class only: with c tokens of one in the prefix, c - 1 misses still leave a common
+pair, so the prefix is extended until these numbers add up to more than the misses. There are about as many sub-classes as a set
+of that size may have misses, which keeps the pairs of a node in proportion to its tokens.
 Candidates are compared inside the index buckets without forming all pairs; bit sets rule out most of
 those that are not alike, and the rest are verified by their whole sets.
 
@@ -31,7 +33,17 @@ WIDTH, PERCENT = 5, 80
 FREQUENT = 1000
 
 #: Tokens of the nodes that a task counts together, and from how many of them on a token is noted.
-RECENT, OFTEN = 1 << 21, 4
+RECENT, OFTEN = 1 << 20, 4
+
+#: Documents that a task works on at a time; bounds what it holds of sets and index values.
+SLICE = 256
+
+
+def pieces(batches):
+    """Arrow batches cut into slices."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, SLICE):
+            yield batch.slice(low, SLICE)
 
 NODE_COLUMNS = ["doc_id", "mark", "n", "node", "prefix", "bits", "often", "often_n"]
 
@@ -63,7 +75,7 @@ def nodes_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def prepare(batches):
         known, seen, recent, held = WordHash(), set(), [], 0
-        for batch in batches:
+        for batch in pieces(batches):
             sets = [distinct_shingles(t, WIDTH, known) for t in batch.column(2).cast(pa.binary()).to_pylist()]
             names = [set_name(s) if len(s) else None for s in sets]
             prefixes, bits, often = [], [], [None] * len(sets)
@@ -117,7 +129,7 @@ def token_sets(texts: DataFrame) -> DataFrame:
 
     def sets(batches):
         known, seen = WordHash(), set()
-        for batch in batches:
+        for batch in pieces(batches):
             found = [distinct_shingles(t, WIDTH, known) for t in batch.column(0).cast(pa.binary()).to_pylist()]
             named = [(set_name(s), s) for s in found]
             named = [(name, s) for name, s in named if not (name in seen or seen.add(name))]
@@ -128,16 +140,35 @@ def token_sets(texts: DataFrame) -> DataFrame:
     return materialise(texts.mapInArrow(sets, "node bigint, n int, tokens array<bigint>"), "sets")
 
 
+def subclasses(n: int) -> list[int]:
+    """Numbers of sub-classes, powers of two, under which a set of ``n`` tokens is indexed: those of all sizes it can link with."""
+    of = lambda size: 1 << max(0, (size // 5).bit_length() - 1)
+    return sorted({of(max(1, -(-PERCENT * n // 100))), of(n), of(100 * n // PERCENT)})
+
+
 def signatures(rare: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Index values of a set from its tokens of both classes, each in order: rare tokens singly, and the
-    pairs of the extended prefix's frequent ones."""
-    need = misses(len(rare) + len(frequent)) + 1
+    """Index values of a set from its tokens of both classes, each in order: rare tokens singly, and for the extended
+    prefix the pairs of frequent ones that lie in the same sub-class. With k of these a quarter of the tokens at most, the
+    whole set is always enough; sub-classes of a smaller number hold those of a larger one, so that equal pairs have one value."""
+    n = len(rare) + len(frequent)
+    need = misses(n) + 1
     if len(rare) >= need:
         return rare[:need]
-    chosen = frequent[: need - len(rare) + 1]
-    left, right = np.triu_indices(len(chosen), 1)
-    with np.errstate(over="ignore"):
-        return np.concatenate([rare, mix(chosen[left] * np.uint64(3) + mix(chosen[right]))])
+    found = [rare]
+    for k in subclasses(n):
+        own = frequent & np.uint64(k - 1)
+        repeated = np.ones(len(own), bool)
+        repeated[np.unique(own, return_index=True)[1]] = False
+        enough = np.searchsorted(np.cumsum(repeated), need - len(rare)) + 1
+        by_class = np.argsort(own[:enough], kind="stable")
+        own, chosen = own[by_class], frequent[by_class]
+        for apart in range(1, len(chosen)):
+            same = np.flatnonzero(own[apart:] == own[:-apart])
+            if not len(same):
+                break
+            with np.errstate(over="ignore"):
+                found.append(mix(chosen[same] * np.uint64(3) + mix(chosen[same + apart])))
+    return np.unique(np.concatenate(found))
 
 
 def extended(texts: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -150,7 +181,7 @@ def extended(texts: DataFrame, frequent: DataFrame) -> DataFrame:
 
         def index(batches):
             known, seen, often = WordHash(), set(), shared_values.value
-            for batch in batches:
+            for batch in pieces(batches):
                 nodes, sizes, found = [], [], [np.empty(0, np.uint64)]
                 for t in batch.column(0).cast(pa.binary()).to_pylist():
                     tokens = distinct_shingles(t, WIDTH, known)
@@ -222,7 +253,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fre
     members = index_members(docs, doc_id, text, nodes, frequent)
     sketches = materialise(nodes.where("prefix IS NOT NULL").select("node", "n", "bits").dropDuplicates(["node"]), "sketches")
     sets_of = lambda wanted: token_sets(wanted_texts(docs, doc_id, text, nodes, wanted)).dropDuplicates(["node"])
-    links = links_in_buckets(members, verified(sets_of, sketches))
+    links = links_in_buckets(members, verified(sets_of, sketches), sketches)
     groups = components(links).withColumnRenamed("root", "label")
     documents = nodes.where("n IS NOT NULL").select("doc_id", "mark", "n", "node").join(checked(groups), "node", "left")
     documents = materialise(documents.select("doc_id", "mark", "n", F.coalesce("label", "node").alias("label")), "labelled")

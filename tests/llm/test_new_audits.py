@@ -322,3 +322,31 @@ def test_fixity_query_on_odd_pages(spark, tmp_path):
     assert sorted(found) == sorted(want)
     spark.createDataFrame([], table.schema).write.parquet(f"{tmp_path}/none/pages.parquet")
     assert queries.op1_merkle(spark, f"{tmp_path}/none").count() == 0
+
+
+# --- links inside buckets
+
+
+@pytest.mark.parametrize("tile", [2048, 3])
+def test_links_left_after_the_hubs(spark, monkeypatch, tile):
+    """No hub rounds: all is left to the exact comparison, in one tile or many; it finds every pair that is alike."""
+    monkeypatch.setattr(common, "TILE", tile)
+    draw = random.Random(12)
+    base = [draw.getrandbits(63) for _ in range(150)]
+    sets = [base[:140] + [draw.getrandbits(63) for _ in range(draw.randint(0, 30))] for _ in range(14)]
+    sets += [[draw.getrandbits(63) for _ in range(draw.choice([2, 60, 70, 130]))] + base[:k] for k in (0, 3, 20, 140, 150)]
+    sets = [np.unique(np.array(s, np.uint64)) for s in sets]
+    alike = {
+        (i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))
+    }
+    assert 10 < len(alike) < 130
+    sketches = spark.createDataFrame([(i, len(s), common.parity_bits(s).tolist()) for i, s in enumerate(sets)], "node bigint, n int, bits array<bigint>")
+    members = spark.createDataFrame([(b, i, len(s)) for i, s in enumerate(sets) for b in ((7,) if i % 3 else (7, 8, 9))], "bucket bigint, node bigint, n int")
+    labelled = members.withColumn("label", F.col("node"))
+    for given in (sketches, None):
+        pairs = {tuple(r) for r in common.remaining_pairs(labelled, given).collect()}
+        assert alike <= pairs and all(a < b for a, b in pairs)
+    assert len({tuple(r) for r in common.remaining_pairs(labelled, sketches).collect()}) < len(pairs)
+    whole = labelled.withColumn("label", F.lit(1).cast("bigint"))
+    assert common.remaining_pairs(whole, sketches).count() == 0
