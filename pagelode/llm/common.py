@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -129,6 +131,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 #: Members of a bucket in a tile of the exact comparison, and 64-bit words compared at a time.
 TILE, WORDS = 2048, 1 << 21
+#: Pairs that a task holds to send each of them once.
+HELD = 1 << 19
 
 
 def links_in_buckets(members: DataFrame, verify, sketches: DataFrame | None = None, stars: int = 3) -> DataFrame:
@@ -146,19 +150,23 @@ def links_in_buckets(members: DataFrame, verify, sketches: DataFrame | None = No
     links = spark.createDataFrame([], "a bigint, b bigint")
     whole = Window.partitionBy("bucket")
     labelled, before = members.select("bucket", "node", "n", F.col("node").alias("label")), None
-    for turn in range(stars + 1):
-        if turn == stars:
-            pairs = materialise(remaining_pairs(labelled, sketches), "pairs")
-            return materialise(links.union(verify(pairs, sketches is not None)), "links")
-        key = F.xxhash64("node") if not turn else F.xxhash64("node", "bucket", F.lit(turn))
-        labelled = labelled.withColumn("hub", F.min_by(F.struct("node", "n", "label"), key).over(whole))
-        pairs = labelled.where("label <> hub.label").select(
-            F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), F.col("n").alias("x"), F.col("hub.n").alias("y")
-        )
-        labelled = labelled.where("node <> hub.node").drop("hub")
-        # A link needs sizes within 80 % of each other; of the same pair in many buckets one is kept.
-        pairs = materialise(pairs.where("100 * least(x, y) >= 80 * greatest(x, y)").select("a", "b").distinct(), "pairs")
-        found = materialise(links.union(verify(pairs)), "links")
+    rounds = ["hub"] * stars + ["likeliest"] * (sketches is not None) + ["all"]
+    for turn, kind in enumerate(rounds):
+        if kind == "hub":
+            key = F.xxhash64("node") if not turn else F.xxhash64("node", "bucket", F.lit(turn))
+            labelled = labelled.withColumn("hub", F.min_by(F.struct("node", "n", "label"), key).over(whole))
+            pairs = labelled.where("label <> hub.label").select(
+                F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), F.col("n").alias("x"), F.col("hub.n").alias("y")
+            )
+            labelled = labelled.where("node <> hub.node").drop("hub")
+            # A link needs sizes within 80 % of each other; of the same pair in many buckets one is kept.
+            pairs = pairs.where("100 * least(x, y) >= 80 * greatest(x, y)").select("a", "b").distinct()
+        else:
+            pairs = remaining_pairs(labelled, sketches, kind == "likeliest")
+        pairs = materialise(pairs, "pairs")
+        found = materialise(links.union(verify(pairs, kind != "hub" and sketches is not None)), "links")
+        if kind == "all":
+            return found
         discard(pairs, links)
         links = found
         groups = components(links)
@@ -172,10 +180,11 @@ def links_in_buckets(members: DataFrame, verify, sketches: DataFrame | None = No
             return links
 
 
-def remaining_pairs(labelled: DataFrame, sketches: DataFrame | None) -> DataFrame:
+def remaining_pairs(labelled: DataFrame, sketches: DataFrame | None, likeliest: bool = False) -> DataFrame:
     """``a, b``, distinct: pairs of nodes of one bucket and different labels that may be linked. The members outside a bucket's most
     frequent label are compared with all its members, in tiles of both, inside tasks: only pairs whose sizes, and bit sets
-    where ``sketches`` (node, n, bits) has them, allow a link become rows. A tile's memory is bounded; no bucket is gathered."""
+    where ``sketches`` (node, n, bits) has them, allow a link become rows; with ``likeliest``, of a member's pairs in a tile the one whose bit
+    sets differ least. A tile's memory is bounded; no bucket is gathered."""
     rest = labelled.distinct()
     sizes = materialise(rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k")), "sizes")
     tiles = lambda rows: F.greatest(F.lit(1), F.ceil(rows / TILE)).cast("int")
@@ -194,32 +203,38 @@ def remaining_pairs(labelled: DataFrame, sketches: DataFrame | None) -> DataFram
         # Bit sets go to tiles by their node; of a node in many buckets they are repeated, as its rows are.
         dealt = dealt.join(checked_size(sketches.select("node", "bits"), F.size("bits") * 8 + 48), "node").select(*columns, "bits")
     key = ["bucket", "column", "row"]
-    found = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_compare_tiles, "a bigint, b bigint")
-    return found.distinct()
+    compare = partial(_compare_tiles, likeliest=likeliest)
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def _compare_tiles(batches):
-    """Pairs of the tiles in rows sorted by tile; what a batch ends with waits for the next one."""
-    waiting = None
+def _compare_tiles(batches, likeliest: bool):
+    """Pairs of the tiles in rows sorted by tile; what a batch ends with waits for the next one. A pair met in many tiles of a
+    task is sent once, as long as the task holds it."""
+    waiting, found, held = None, [], 0
     for batch in batches:
         table = pa.Table.from_batches([batch])
         if waiting is not None:
             table = pa.concat_tables([waiting, table])
         keys = np.stack([table.column(c).to_numpy() for c in range(3)])
         ends = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        found = [_tile_pairs(table.slice(i, j - i)) for i, j in zip(np.r_[0, ends[:-1]], ends)] if len(ends) else []
+        for i, j in zip(np.r_[0, ends[:-1]], ends) if len(ends) else ():
+            found.append(_tile_pairs(table.slice(i, j - i), likeliest))
+            held += len(found[-1])
+            if held > HELD:
+                yield _pair_rows(found)
+                found, held = [], 0
         waiting = table.slice(ends[-1] if len(ends) else 0)
-        yield _pair_rows(found)
     if waiting is not None:
-        yield _pair_rows([_tile_pairs(waiting)])
+        found.append(_tile_pairs(waiting, likeliest))
+    yield _pair_rows(found)
 
 
 def _pair_rows(found: list) -> pa.RecordBatch:
-    pairs = np.concatenate([np.empty((0, 2), np.int64), *found])
+    pairs = np.unique(np.concatenate([np.empty((0, 2), np.int64), *found]), axis=0)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _tile_pairs(tile: pa.Table) -> np.ndarray:
+def _tile_pairs(tile: pa.Table, likeliest: bool) -> np.ndarray:
     few = tile.column("few").to_numpy(zero_copy_only=False)
     node, n, label = (tile.column(c).to_numpy() for c in ("node", "n", "label"))
     bits = tile.column("bits").combine_chunks()
@@ -232,7 +247,7 @@ def _tile_pairs(tile: pa.Table) -> np.ndarray:
                 mine, theirs = np.flatnonzero(few & (width == i)), np.flatnonzero(~few & (width == j))
                 if len(mine) and len(theirs):
                     at = lambda rows, own: _folded(flat[start[rows][:, None] + np.arange(own)], w)
-                    out.append(_near(mine, theirs, at(mine, i), at(theirs, j), node, n, label))
+                    out.append(_near(mine, theirs, at(mine, i), at(theirs, j), node, n, label, likeliest))
     pairs = np.concatenate([np.empty((0, 2), np.int64), *out])
     return np.unique(np.sort(pairs, axis=1), axis=0) if len(pairs) else pairs
 
@@ -241,7 +256,7 @@ def _folded(bits: np.ndarray, words: int) -> np.ndarray:
     return bits if bits.shape[1] == words else bits[:, :words] ^ bits[:, words:]
 
 
-def _near(mine, theirs, x, y, node, n, label) -> np.ndarray:
+def _near(mine, theirs, x, y, node, n, label, likeliest) -> np.ndarray:
     """Pairs of nodes whose labels differ and whose sizes and bit sets allow a similarity of 80 %."""
     out, step = [np.empty((0, 2), np.int64)], max(1, WORDS // max(1, len(theirs) * max(1, x.shape[1])))
     for low in range(0, len(mine), step):
@@ -251,6 +266,8 @@ def _near(mine, theirs, x, y, node, n, label) -> np.ndarray:
         if x.shape[1]:
             apart = np.bitwise_count(x[low : low + step][:, None] ^ y[None]).sum(axis=2, dtype=np.int64)
             fits &= 9 * apart <= a + b
+            if likeliest:
+                fits &= np.arange(len(theirs)) == np.where(fits, apart / (a + b), 2.0).argmin(axis=1)[:, None]
         i, j = np.nonzero(fits)
         out.append(np.stack([node[rows[i]], node[theirs[j]]], axis=1))
     return np.concatenate(out)

@@ -348,5 +348,8 @@ def test_links_left_after_the_hubs(spark, monkeypatch, tile):
         pairs = {tuple(r) for r in common.remaining_pairs(labelled, given).collect()}
         assert alike <= pairs and all(a < b for a, b in pairs)
     assert len({tuple(r) for r in common.remaining_pairs(labelled, sketches).collect()}) < len(pairs)
+    one_each = {tuple(r) for r in common.remaining_pairs(labelled, sketches, likeliest=True).collect()}
+    if tile == 2048:
+        assert one_each <= {tuple(r) for r in common.remaining_pairs(labelled, sketches).collect()} and len(one_each) <= len(sets)
     whole = labelled.withColumn("label", F.lit(1).cast("bigint"))
     assert common.remaining_pairs(whole, sketches).count() == 0
