@@ -32,6 +32,15 @@ def build_session(app_name: str = "pagelode", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def limit_arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Python workers of this session get at most ``rows`` rows at a time: for rows that hold whole texts, in sessions made
+    elsewhere too."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    set_to = int(spark.conf.get(name))
+    if set_to <= 0 or set_to > rows:
+        spark.conf.set(name, str(rows))
+
+
 def work_folder(spark: SparkSession) -> str:
     """Shared folder for written intermediates: the one the cluster names in
     ``spark.checkpoint.dir``. Only a local master may fall back to a temporary folder,
