@@ -10,18 +10,20 @@ from pyspark.sql import functions as F
 
 from pagelode.llm import bpe_tree, host_rules, mixing, ngram_join, pii
 from pagelode.llm.common import documents, tokenizer_path
-from pagelode.session import materialise
+from pagelode.session import limit_arrow_batches, materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither fail the base rules nor come from a rejected host."""
+    limit_arrow_batches(spark)
     return host_rules.quality_by_host(docs).where("kept").select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    limit_arrow_batches(spark)
     return ngram_join.first_of_each(docs)
 
 
@@ -37,6 +39,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of what they decode to."""
+    limit_arrow_batches(spark)
     found = bpe_tree.encode_documents(docs.select("doc_id", "source", "text"), tokenizer_path(), whole=True)
     return found.select("doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 

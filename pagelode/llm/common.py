@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from functools import partial
 
 import numpy as np
@@ -46,6 +48,16 @@ def count_words(text) -> "F.Column":
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def release() -> None:
+    """Give memory that finished work left in this Python worker back to the system: workers go from stage to stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library; it keeps what it keeps
+
+
 # --- hashing inside tasks ----------------------------------------------------------------------
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

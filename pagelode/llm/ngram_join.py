@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import BROADCAST_BYTES, WordHash, checked, components, distinct_shingles, links_in_buckets, mix, parity_bits, shared, verified
+from pagelode.llm.common import BROADCAST_BYTES, WordHash, checked, components, distinct_shingles, links_in_buckets, mix, parity_bits, release, shared, verified
 from pagelode.session import materialise
 
 WIDTH, PERCENT = 5, 80
@@ -41,9 +41,11 @@ SLICE = 256
 
 def pieces(batches):
     """Arrow batches cut into slices."""
+    release()
     for batch in batches:
         for low in range(0, batch.num_rows, SLICE):
             yield batch.slice(low, SLICE)
+    release()
 
 NODE_COLUMNS = ["doc_id", "mark", "n", "node", "prefix", "bits", "often", "often_n"]
 
