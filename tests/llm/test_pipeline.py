@@ -21,7 +21,7 @@ def test_query_matches_sql(spark, small, name):
 
 def test_all_are_registered():
     names = [n for n in contract.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
