@@ -1,18 +1,23 @@
-"""Near copies of paragraphs removed across documents, by MinHash banding.
-
-A paragraph is a line of ``MIN_WORDS`` words or more; its set is its distinct five-word shingles, and equal
-sets are one node. Bands are tuned so that two sets that are 80 % alike share one with a probability
-of at least ``RECALL``; nodes that share a band are compared inside the bands without forming all pairs and
-verified by exact Jaccard similarity; of each connected component the first paragraph, by document id
-and line, stays and the others go.
-
-Defined results: a null or empty text has no paragraphs; shorter lines and blank ones are kept as they
-are; paragraphs repeated inside a document go as well; rows alike in id and text are one document and
-keep the same lines; a null id comes last; an empty table gives an empty result; columns pass through unless
-they bear a result's name."""
+"""Near copies of passages removed across documents, by MinHash banding of paragraphs.
+
+Lines do not tell where a passage begins: it may start and end inside a line, or run over several. So a
+paragraph is a stretch of words between cuts that the words themselves make: a cut lies before a word whose hash (with the
+word after it) is the least of ``SPAN`` words on both sides. Equal passages are cut alike wherever they stand, but for
+their first and last words. A paragraph's set is its distinct five-word shingles (the whole, if it has fewer words), and equal sets are one
+node. Bands are tuned so that two sets that are 80 % alike share one with a probability of at least ``RECALL``;
+nodes that share a band are compared inside the bands without forming all pairs and verified by exact
+Jaccard similarity; of each connected component the first paragraph, by document id and place, stays.
+The others go where they stand in a run of at least ``LEAST_RUN`` words of such paragraphs: shorter runs are set
+phrases and common lines, and stay.
+
+Defined results: a null or empty text has no words; passages repeated inside a document go as well; white space before a
+removed run stays, that behind it goes with it; rows alike in id and text are one document and lose the same
+runs; a null id comes last; an empty table gives an empty result; columns pass through unless they bear a result's name."""
 
 import hashlib
 import math
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,14 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import BROADCAST_BYTES, WordHash, checked, components, distinct_shingles, links_in_buckets, mix, shared, verified
-from pagelode.llm.ngram_join import WIDTH, _lists, _signed, set_name
-from pagelode.session import materialise
+from pagelode.llm.common import BROADCAST_BYTES, WordHash, checked, components, hash_words, links_in_buckets, mix, shared, verified
+from pagelode.llm.ngram_join import WIDTH, _signed
+from pagelode.session import discard, materialise
 
-#: Words from which a line is a paragraph; chance that a pair at the threshold shares a band; hash functions at most.
-MIN_WORDS, RECALL, MOST_HASHES = 10, 0.9999, 80
+#: Words on either side that a cut has to undercut; words of copied paragraphs in a row from which they go.
+SPAN, LEAST_RUN = 6, 16
+#: Chance that a pair at the threshold shares a band; hash functions at most.
+RECALL, MOST_HASHES = 0.98, 32
+#: Words hashed at a time (a longer text alone), and nodes that a task remembers to band each once.
+SLICE, SEEN = 1 << 17, 1 << 20
 
-RESULT = ["n_paragraphs", "n_removed", "removed_words", "kept_sha256", "kept"]
+RESULT = ["n_words", "n_removed", "removed_words", "kept_sha256", "kept"]
+STEP = np.uint64(0x9E3779B97F4A7C15)
+TOKEN = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def tuned_bands(threshold: float = 0.8, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -40,149 +51,220 @@ def tuned_bands(threshold: float = 0.8, recall: float = RECALL, most: int = MOST
     return best
 
 
-def band_names(tokens: np.ndarray, factors: np.ndarray, bands: int) -> np.ndarray:
-    """A name for each band of the smallest values of a set under the hash functions."""
-    with np.errstate(over="ignore"):
-        least = np.empty(len(factors), np.uint64)
-        for low in range(0, len(tokens), 4096):  # a long set in parts
-            part = (tokens[low : low + 4096, None] * factors).min(axis=0)
-            least = part if low == 0 else np.minimum(least, part)
-        names = np.arange(1, bands + 1, dtype=np.uint64)
-        for row in least.reshape(bands, -1).T:
-            names = mix(names * np.uint64(0x9E3779B97F4A7C15) + row)
+def cut_starts(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where paragraphs start in the word hashes of texts laid end to end, ``sizes`` words each. A text's first word starts
+    one; what stands in other texts has no influence."""
+    ends = np.cumsum(sizes)
+    after = np.append(hashes[1:], np.uint64(0))
+    after[ends[sizes > 0] - 1] = 0
+    keys = mix(hashes * STEP + after)
+    at = np.arange(len(keys)) + SPAN * (np.repeat(np.arange(len(sizes)), sizes) + 1)
+    padded = np.full(len(keys) + SPAN * (len(sizes) + 2), np.iinfo(np.uint64).max, np.uint64)
+    padded[at] = keys
+    least = padded.copy()
+    for i in range(1, SPAN):
+        np.minimum(least[:-i], padded[i:], out=least[:-i])
+    starts = (keys < least[at - SPAN]) & (keys <= least[at + 1])
+    starts[(ends - sizes)[sizes > 0]] = True
+    return np.flatnonzero(starts)
+
+
+def paragraph_tokens(hashes: np.ndarray, starts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct shingles of all paragraphs, end to end; how many each has)."""
+    whole = np.maximum(words - WIDTH + 1, 0)
+    owner, first = np.repeat(np.arange(len(starts)), whole), np.cumsum(whole) - whole
+    place = starts[owner] + np.arange(len(owner)) - first[owner]
+    parts, owners = [_spans(hashes, place, WIDTH)], [owner]
+    for n in range(1, WIDTH):
+        short = np.flatnonzero(words == n)
+        parts.append(_spans(hashes, starts[short], n))
+        owners.append(short)
+    tokens, owner = np.concatenate(parts), np.concatenate(owners)
+    order = np.lexsort((tokens, owner))
+    tokens, owner = tokens[order], owner[order]
+    new = np.ones(len(tokens), bool)
+    new[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
+    return tokens[new], np.bincount(owner[new], minlength=len(starts))
+
+
+def _spans(hashes: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
+    out = np.full(len(place), width, np.uint64)
+    for i in range(width):
+        out = out * STEP + hashes[place + i]
+    return mix(out)
+
+
+def set_names(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit names of the token sets that lie end to end."""
+    total = np.add.reduceat(mix(tokens ^ STEP), np.cumsum(sizes) - sizes)
+    return mix(total * STEP + sizes.astype(np.uint64))
+
+
+def band_names(tokens: np.ndarray, sizes: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """For each token set (end to end) a name for each band of its least values under ``bands * rows`` hash functions."""
+    factors = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
+    first, names = np.cumsum(sizes) - sizes, np.empty((len(sizes), bands), np.uint64)
+    for band in range(bands):
+        name = np.full(len(sizes), band + 1, np.uint64)
+        for factor in factors[band * rows : (band + 1) * rows]:
+            name = mix(name * STEP + np.minimum.reduceat(tokens * factor, first))
+        names[:, band] = name
     return names
 
 
-def paragraphs(raw: bytes, known: WordHash) -> list[tuple[int, np.ndarray, int]]:
-    """(line, token set, words) of the paragraphs of a text."""
-    lines = ((i, line) for i, line in enumerate(raw.split(b"\n")))
-    sized = ((i, line, len(line.split())) for i, line in lines)
-    return [(i, distinct_shingles(line, WIDTH, known), n) for i, line, n in sized if n >= MIN_WORDS]
+def _sliced(batch: pa.RecordBatch, known: WordHash) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(number of the first row, word hashes of each text) of slices of a batch, of about ``SLICE`` words."""
+    low, held, total = 0, [], 0
+    for i, raw in enumerate(batch.column("text").cast(pa.binary())):
+        held.append(hash_words(raw.as_py().lower().split(), known))
+        total += len(held[-1])
+        if total >= SLICE or i + 1 == len(batch):
+            yield low, held
+            low, held, total = i + 1, [], 0
 
 
-def _keyed(docs: DataFrame, text: str) -> DataFrame:
-    whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.xxhash64(whole).alias("mark"), whole.alias("text"))
+PLACES = "doc_id bigint, mark bigint, start int, words int, node bigint, n int, bands array<bigint>, tokens array<bigint>"
 
 
-def listed(docs: DataFrame, text: str) -> DataFrame:
-    """``mark, line, node`` of the paragraphs of every text, written; ``mark`` is the text's hash, and a text that
-    a task meets again is passed over."""
+def paragraph_places(docs: DataFrame, doc_id: str, text: str, bands: tuple[int, int]) -> DataFrame:
+    """Every paragraph, written: ``doc_id``, ``mark`` (the text's hash), ``start`` and ``words`` in words, its ``node``, the
+    set's size ``n``. The names of its ``bands`` and its ``tokens`` are in the row a task gives a node first, and null in others."""
 
     def run(batches):
         known, seen = WordHash(), set()
         for batch in batches:
-            rows = []
-            for mark, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                if mark not in seen:
-                    seen.add(mark)
-                    rows += [(mark, i, set_name(s), n) for i, s, n in paragraphs(raw, known)]
-            columns = [np.array(c, np.int64) for c in zip(*rows)] or [np.empty(0, np.int64)] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["mark", "line", "node", "words"])
-
-    found = _keyed(docs, text).mapInArrow(run, "mark bigint, line bigint, node bigint, words bigint")
-    return materialise(found, "paragraphs")
+            for low, texts in _sliced(batch, known):
+                with np.errstate(over="ignore"):
+                    yield _place_rows(batch.slice(low, len(texts)), texts, bands, seen)
 
-
-def banded(docs: DataFrame, text: str) -> DataFrame:
-    """``bucket, node, n``: the bands of every paragraph's set, once a task."""
-    bands, rows = tuned_bands()
-    factors = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
-
-    def run(batches):
-        known, seen = WordHash(), set()
-        for batch in batches:
-            nodes, sizes, names = [], [], [np.empty(0, np.uint64)]
-            for raw in batch.column(1).cast(pa.binary()).to_pylist():
-                for _, tokens, _ in paragraphs(raw, known):
-                    node = set_name(tokens)
-                    if node not in seen:
-                        seen.add(node)
-                        nodes.append(node)
-                        sizes.append(len(tokens))
-                        names.append(band_names(tokens, factors, bands))
-            repeat = lambda v, kind: pa.array(np.repeat(np.array(v, kind), bands))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_signed(np.concatenate(names))), repeat(nodes, np.int64), repeat(sizes, np.int32)], names=["bucket", "node", "n"]
-            )
-
-    return _keyed(docs, text).mapInArrow(run, "bucket bigint, node bigint, n int")
-
-
-def _joined_lists(texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """``text`` with the ``lines`` that ``rows`` (mark, line) name in it; broadcast if the counted lists allow it."""
-    lists = materialise(rows.groupBy("mark").agg(F.collect_list("line").alias("lines")), "lists")
-    size = lists.agg(F.count(F.lit(1)) * 64 + F.coalesce(F.sum(F.size("lines")), F.lit(0)) * 8).first()[0]
-    return texts.join(F.broadcast(lists) if size <= BROADCAST_BYTES else lists, "mark").select("mark", "text", "lines")
-
-
-def paragraph_sets(docs: DataFrame, text: str, places: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, n, tokens`` of the ``wanted`` nodes, each from one of its places, written."""
-    given = places.join(checked(wanted), "node", "left_semi").groupBy("node").agg(F.min(F.struct("mark", "line")).alias("p")).select("p.*")
-
-    def run(batches):
-        known, seen = WordHash(), set()
-        for batch in batches:
-            sets = []
-            for mark, raw, lines in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
-                if mark not in seen:
-                    seen.add(mark)
-                    split = raw.split(b"\n")
-                    sets += [distinct_shingles(split[i], WIDTH, known) for i in lines]
-            names = pa.array([set_name(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([names, pa.array([len(s) for s in sets], pa.int32()), _lists([_signed(s) for s in sets])], names=["node", "n", "tokens"])
-
-    found = _joined_lists(_keyed(docs, text), given).mapInArrow(run, "node bigint, n int, tokens array<bigint>")
-    # A text that several tasks hold gives its sets in each of them; equal rows are dropped by node.
-    return materialise(found.dropDuplicates(["node"]), "sets")
-
-
-def paragraph_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``mark, doc_id, line, label, words, removed``: every paragraph that has a near copy elsewhere, written."""
-    places = listed(docs, text).distinct()
-    members = shared(banded(docs, text)).drop("many")
-    links = links_in_buckets(members, verified(lambda wanted: paragraph_sets(docs, text, places, wanted)))
-    groups = components(links).withColumnRenamed("root", "label")
     whole = F.coalesce(F.col(text), F.lit(""))
-    owners = docs.select(F.xxhash64(whole).alias("mark"), F.col(doc_id).cast("bigint").alias("doc_id")).distinct()
-    owners = materialise(owners, "owners")
-    labelled = places.join(checked(groups), "node", "left").select("mark", "line", "words", F.coalesce("label", "node").alias("label"))
-    labelled = labelled.join(checked(owners), "mark")
-    labelled = materialise(labelled, "labelled")
-    spot = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "line")
-    firsts = labelled.groupBy("label").agg(F.min(spot).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    firsts = materialise(firsts.select("label", "first"), "firsts")
-    return materialise(labelled.join(checked(firsts), "label").withColumn("removed", spot != F.col("first")).drop("first"), "groups")
+    keyed = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(whole).alias("mark"), whole.alias("text"))
+    return materialise(keyed.mapInArrow(run, PLACES), "paragraphs")
+
+
+def _place_rows(batch: pa.RecordBatch, texts: list[np.ndarray], bands: tuple[int, int], seen: set) -> pa.RecordBatch:
+    sizes = np.array([len(t) for t in texts], np.int64)
+    hashes = np.concatenate(texts)
+    if not len(hashes):
+        return pa.RecordBatch.from_arrays([pa.array([], k) for k in KINDS], names=NAMES)
+    starts = cut_starts(hashes, sizes)
+    words = np.diff(np.append(starts, len(hashes)))
+    tokens, n = paragraph_tokens(hashes, starts, words)
+    nodes = _signed(set_names(tokens, n))
+    fresh = np.zeros(len(nodes), bool)
+    for i, node in enumerate(nodes.tolist()):
+        if node not in seen:
+            seen.add(node)
+            fresh[i] = True
+    if len(seen) > SEEN:
+        seen.clear()
+    own, count = tokens[np.repeat(fresh, n)], n[fresh]
+    named = band_names(own, count, *bands) if len(count) else np.empty((0, bands[0]), np.uint64)
+    doc = np.searchsorted(np.cumsum(sizes), starts, side="right")
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id").take(pa.array(doc)),
+            batch.column("mark").take(pa.array(doc)),
+            pa.array((starts - (np.cumsum(sizes) - sizes)[doc]).astype(np.int32)),
+            pa.array(words.astype(np.int32)),
+            pa.array(nodes),
+            pa.array(n.astype(np.int32)),
+            _lists(fresh, np.full(len(count), bands[0]), _signed(named.ravel())),
+            _lists(fresh, count, _signed(own)),
+        ],
+        names=NAMES,
+    )
+
+
+KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+NAMES = [column.split()[0] for column in PLACES.split(", ")]
+
+
+def _lists(given: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> pa.Array:
+    """A list for each row that is ``given``, null in the others."""
+    counts = np.zeros(len(given), np.int64)
+    counts[given] = sizes
+    offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(~given, False)), pa.array(flat))
+
+
+def paragraph_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: tuple[int, int] | None = None) -> DataFrame:
+    """``doc_id, mark, start, words, label, removed``: every paragraph that has a near copy elsewhere, written. ``removed``: it is not the
+    first of its group. Rows alike in id and text are one document."""
+    places = paragraph_places(docs, doc_id, text, bands or tuned_bands())
+    members = shared(places.where("bands IS NOT NULL").select(F.explode("bands").alias("bucket"), "node", "n")).drop("many")
+    near = materialise(members.select("node").distinct(), "near")
+    # Sets are kept for the nodes that share a band, one for each.
+    sets = places.where("tokens IS NOT NULL").select("node", "n", "tokens").join(checked(near), "node", "left_semi")
+    sets = materialise(sets.dropDuplicates(["node"]), "sets")
+    links = links_in_buckets(members, verified(lambda wanted: sets.join(checked(wanted), "node", "left_semi")))
+    groups = components(links).withColumnRenamed("root", "label")
+    # Places count if their node has links or stands in two places; all others are left behind here.
+    spot = F.xxhash64("doc_id", "mark", "start")
+    twice = places.select("node", spot.alias("s")).groupBy("node").agg(F.min("s").alias("low"), F.max("s").alias("high")).where("low <> high")
+    named = twice.select("node").join(groups, "node", "full").select("node", F.coalesce("label", "node").alias("label"))
+    labelled = places.select("doc_id", "mark", "start", "words", "node").join(checked(materialise(named, "named")), "node")
+    labelled = materialise(labelled.select("doc_id", "mark", "start", "words", "label"), "labelled")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "start")
+    firsts = materialise(labelled.groupBy("label").agg(F.min(place).alias("first")), "firsts")
+    found = labelled.join(checked(firsts), "label").withColumn("removed", place != F.col("first")).drop("first")
+    found = materialise(found.distinct(), "groups")
+    discard(places, members, near, sets, links, labelled, firsts)
+    return found
+
+
+def long_runs(removed: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(first word, words, paragraphs) of the runs of at least ``LEAST_RUN`` words in removed paragraphs (start, words)."""
+    runs = []
+    for start, words in sorted(removed):
+        if runs and sum(runs[-1][:2]) == start:
+            runs[-1] = (runs[-1][0], runs[-1][1] + words, runs[-1][2] + 1)
+        else:
+            runs.append((start, words, 1))
+    return [run for run in runs if run[1] >= LEAST_RUN]
+
+
+def without_runs(raw: bytes, runs: list[tuple[int, int, int]]) -> bytes:
+    """A text without runs of its words, each up to the next word."""
+    if not runs:
+        return raw
+    at = [found.start() for found in TOKEN.finditer(raw)] + [len(raw)]
+    kept, low = [], 0
+    for start, words, _ in runs:
+        kept.append(raw[low : at[start]])
+        low = at[start + words]
+    return b"".join([*kept, raw[low:]])
 
 
 def _cut(whole: bool):
-    kinds = "n_paragraphs bigint, n_removed bigint, removed_words bigint, kept_sha256 string" + ", kept string" * whole
+    kinds = "n_words bigint, n_removed bigint, removed_words bigint, kept_sha256 string" + ", kept string" * whole
 
     @F.pandas_udf(kinds)
     def cut(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
         rows = []
         for text, gone in zip(texts, lists):
-            lines = (text or "").encode().split(b"\n")
-            drop = set() if gone is None else set(map(int, gone))
-            sizes = [len(line.split()) for line in lines]
-            kept = b"\n".join(line for i, line in enumerate(lines) if i not in drop)
-            row = (sum(n >= MIN_WORDS for n in sizes), len(drop), sum(sizes[i] for i in drop), hashlib.sha256(kept).hexdigest())
+            raw = (text or "").encode()
+            runs = [] if gone is None else long_runs([tuple(map(int, p)) for p in gone])
+            kept = without_runs(raw, runs)
+            row = (len(raw.split()), sum(r[2] for r in runs), sum(r[1] for r in runs), hashlib.sha256(kept).hexdigest())
             rows.append((*row, kept.decode()) if whole else row)
         return pd.DataFrame(rows, columns=RESULT[: 5 if whole else 4])
 
     return cut
 
 
-def remove_near_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
-    """``docs`` with the number of paragraphs, of those removed and of their words, the digest of the text
-    that stays, and with ``whole`` that text as ``kept``."""
+def remove_near_paragraphs(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False, bands: tuple[int, int] | None = None
+) -> DataFrame:
+    """``docs`` with the number of words, of the paragraphs removed and of their words, the digest of the text that
+    stays, and with ``whole`` that text as ``kept``. ``bands`` (bands, rows a band) are tuned where not given."""
     names = RESULT[: 5 if whole else 4]
     columns = [c for c in docs.columns if c not in names]
-    gone = paragraph_groups(docs, doc_id, text).where("removed")
-    gone = materialise(gone.groupBy("doc_id", "mark").agg(F.collect_list("line").alias("lines")), "gone")
-    size = gone.agg(F.count(F.lit(1)) * 64 + F.coalesce(F.sum(F.size("lines")), F.lit(0)) * 8).first()[0]
-    gone = gone.select(F.col("doc_id").alias("__d"), F.col("mark").alias("__m"), F.col("lines").alias("__lines"))
+    gone = paragraph_groups(docs, doc_id, text, bands).where("removed")
+    gone = materialise(gone.groupBy("doc_id", "mark").agg(F.collect_list(F.array("start", "words")).alias("runs")), "gone")
+    size = gone.agg(F.count(F.lit(1)) * 64 + F.coalesce(F.sum(F.size("runs")), F.lit(0)) * 32).first()[0]
+    gone = gone.select(F.col("doc_id").alias("__d"), F.col("mark").alias("__m"), F.col("runs").alias("__runs"))
     gone = F.broadcast(gone) if size <= BROADCAST_BYTES else gone
     same = (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__m")) & F.col(doc_id).cast("bigint").eqNullSafe(F.col("__d"))
     joined = docs.join(gone, same, "left")
-    return joined.select(*columns, _cut(whole)(F.col(text), F.col("__lines")).alias("__r")).select(*columns, "__r.*")
+    return joined.select(*columns, _cut(whole)(F.col(text), F.col("__runs")).alias("__r")).select(*columns, "__r.*")

@@ -1,12 +1,14 @@
 """Every operator against its plain version, on copies, ties, nulls, empty and unusual texts."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import plain
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -109,21 +111,79 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}}
 
 
-def test_paragraphs(docs, rows):
-    lines = [(d, i, line) for d, t in texts(rows) for i, line in enumerate((t or "").split("\n")) if len(plain.words(line)) >= paragraphs.MIN_WORDS]
-    root = plain.roots(len(lines), plain.alike([plain.shingles(x[2]) for x in lines]))
-    first, gone = {}, defaultdict(set)
-    for r, (d, i, _) in zip(root, lines):
+def plain_paragraphs(text):
+    """(first word, words) of the paragraphs of a text, a word at a time."""
+    words = plain.words("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    names = [xxhash.xxh3_64_intdigest(w.encode()) for w in words] + [0]
+    step, whole = 0x9E3779B97F4A7C15, 1 << 64
+    keys = [int(common.mix(np.array([(a * step + b) % whole], np.uint64))[0]) for a, b in zip(names, names[1:])]
+    near = lambda i: (keys[max(0, i - paragraphs.SPAN) : i], keys[i + 1 : i + 1 + paragraphs.SPAN])
+    starts = [i for i, k in enumerate(keys) if not i or (all(k < x for x in near(i)[0]) and all(k <= x for x in near(i)[1]))]
+    return [(i, j - i, " ".join(words[i:j])) for i, j in zip(starts, [*starts[1:], len(words)])]
+
+
+def plain_without_copies(given):
+    """(doc_id, paragraphs removed, words removed, digest) of (doc_id, text) rows, by comparing all paragraphs."""
+    found = [(d, *p) for d, t in sorted(given) for p in plain_paragraphs(t)]
+    root = plain.roots(len(found), plain.alike([plain.shingles(x[3]) for x in found]))
+    first, gone = set(), defaultdict(list)
+    for r, (d, start, words, _) in zip(root, found):
         if r in first:
-            gone[d].add(i)
-        first.setdefault(r, (d, i))
-    want = []
-    for d, t in texts(rows):
-        kept = "\n".join(line for i, line in enumerate((t or "").split("\n")) if i not in gone[d])
-        want.append((d, sum(x[0] == d for x in lines), len(gone[d]), plain.sha(kept.encode())))
-    assert sum(map(len, gone.values())) > 30
-    got = collected(paragraphs.remove_near_paragraphs(docs), "doc_id", "n_paragraphs", "n_removed", "kept_sha256")
-    assert got == sorted(want, key=repr)
+            gone[d].append((start, words))
+        first.add(r)
+    out = []
+    for d, text in given:
+        runs = []
+        for start, words in gone[d]:
+            joined = runs and runs[-1][0] + runs[-1][1] == start
+            runs = [*runs[:-1], (runs[-1][0], runs[-1][1] + words, runs[-1][2] + 1)] if joined else [*runs, (start, words, 1)]
+        runs = [r for r in runs if r[1] >= paragraphs.LEAST_RUN]
+        off = {i for start, words, _ in runs for i in range(start, start + words)}
+        parts = re.split(f"({plain.WORD.pattern})", text or "")  # white space, word, white space, ...
+        kept = parts[0] + "".join(parts[i] + parts[i + 1] for i in range(1, len(parts), 2) if i // 2 not in off)
+        out.append((d, sum(r[2] for r in runs), len(off), plain.sha(kept.encode())))
+    return sorted(out, key=repr)
+
+
+def test_paragraphs(docs, rows):
+    want = plain_without_copies(texts(rows))
+    assert sum(w[1] for w in want) > 100
+    got = collected(paragraphs.remove_near_paragraphs(docs, bands=(40, 2)), "doc_id", "n_removed", "removed_words", "kept_sha256")
+    assert got == want
+    tuned = collected(paragraphs.remove_near_paragraphs(docs), "doc_id", "removed_words")
+    assert sum(w for _, w in tuned) >= 0.95 * sum(w[2] for w in want)
+
+
+def test_paragraphs_joined_by_shuffles(spark, rows, monkeypatch):
+    few = [r[:2] for r in rows[:4] + rows[25:29]]
+    monkeypatch.setattr(paragraphs, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    found = paragraphs.remove_near_paragraphs(spark.createDataFrame(few, "doc_id bigint, text string"), bands=(40, 2))
+    assert collected(found, "doc_id", "n_removed", "removed_words", "kept_sha256") == plain_without_copies(few)
+
+
+def test_passages_inside_lines(spark):
+    """Passages of 51 to 90 words are found wherever they stand; common lines of a dozen words stay."""
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(4))
+    some = lambda n: " ".join(word() for _ in range(n))
+    shared, line, made = [some(draw.randint(51, 90)) for _ in range(40)], some(12), []
+    for i in range(160):
+        # every passage in two documents, in the second one over two lines
+        passage = shared[i % 40] if i < 40 else shared[i % 40].replace(" ", "\n", 1) if i < 80 else ""
+        made.append((i, f"{some(30)} {passage} {some(30)}\n{line}\n{some(20)}"))
+    found = dict(collected(paragraphs.remove_near_paragraphs(spark.createDataFrame(made, "doc_id bigint, text string"), whole=True), "doc_id", "n_removed"))
+    assert all(found[i] == 0 for i in [*range(40), *range(80, 160)])
+    assert sum(found[i] > 0 for i in range(40, 80)) >= 36
+
+
+def test_very_long_text_is_cut_alike_in_slices(spark):
+    draw = random.Random(6)
+    long = " ".join("".join(draw.choice("abcdefghij") for _ in range(3)) for _ in range(200_000))
+    made = spark.createDataFrame([(1, long), (2, "x " + long), (3, "other words " * 9), (4, "\t\n")], "doc_id bigint, text string")
+    found = collected(paragraphs.remove_near_paragraphs(made), "doc_id", "n_words", "removed_words")
+    assert found[0][:2] == (1, 200_000) and found[1][1] == 200_001 and found[1][2] > 199_900
+    assert found[2:] == [(3, 18, 0), (4, 0, 0)]
 
 
 def test_bands_reach_their_recall():
