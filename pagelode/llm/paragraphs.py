@@ -123,61 +123,68 @@ def _sliced(batch: pa.RecordBatch, known: WordHash) -> Iterator[tuple[int, list[
             low, held, total = i + 1, [], 0
 
 
-PLACES = "doc_id bigint, mark bigint, start int, words int, node bigint, n int, bands array<bigint>, tokens array<bigint>"
+PLACES = "doc_id bigint, mark bigint, start int, words int, node bigint, n int, bands array<bigint>"
+SETS = "node bigint, n int, tokens array<bigint>"
+
+
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(whole).alias("mark"), whole.alias("text"))
 
 
 def paragraph_places(docs: DataFrame, doc_id: str, text: str, bands: tuple[int, int]) -> DataFrame:
     """Every paragraph, written: ``doc_id``, ``mark`` (the text's hash), ``start`` and ``words`` in words, its ``node``, the
-    set's size ``n``. The names of its ``bands`` and its ``tokens`` are in the row a task gives a node first, and null in others."""
+    set's size ``n``. The names of its ``bands`` are in the row a task gives a node first, and null in others."""
 
     def run(batches):
-        known, seen = WordHash(), set()
-        for batch in batches:
-            for low, texts in _sliced(batch, known):
-                with np.errstate(over="ignore"):
-                    yield _place_rows(batch.slice(low, len(texts)), texts, bands, seen)
+        for batch, sizes, starts, words, tokens, n, nodes, fresh in _paragraphs(batches):
+            with np.errstate(over="ignore"):
+                named = band_names(tokens[np.repeat(fresh, n)], n[fresh], *bands) if fresh.any() else np.empty((0, bands[0]), np.uint64)
+            doc = np.searchsorted(np.cumsum(sizes), starts, side="right")
+            start = starts - (np.cumsum(sizes) - sizes)[doc]
+            columns = [batch.column("doc_id").take(pa.array(doc)), batch.column("mark").take(pa.array(doc))]
+            columns += [pa.array(start.astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(nodes), pa.array(n.astype(np.int32))]
+            columns.append(_lists(fresh, np.full(len(named), bands[0]), _signed(named.ravel())))
+            yield pa.RecordBatch.from_arrays(columns, names=[column.split()[0] for column in PLACES.split(", ")])
 
-    whole = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(whole).alias("mark"), whole.alias("text"))
-    return materialise(keyed.mapInArrow(run, PLACES), "paragraphs")
-
-
-def _place_rows(batch: pa.RecordBatch, texts: list[np.ndarray], bands: tuple[int, int], seen: set) -> pa.RecordBatch:
-    sizes = np.array([len(t) for t in texts], np.int64)
-    hashes = np.concatenate(texts)
-    if not len(hashes):
-        return pa.RecordBatch.from_arrays([pa.array([], k) for k in KINDS], names=NAMES)
-    starts = cut_starts(hashes, sizes)
-    words = np.diff(np.append(starts, len(hashes)))
-    tokens, n = paragraph_tokens(hashes, starts, words)
-    nodes = _signed(set_names(tokens, n))
-    fresh = np.zeros(len(nodes), bool)
-    for i, node in enumerate(nodes.tolist()):
-        if node not in seen:
-            seen.add(node)
-            fresh[i] = True
-    if len(seen) > SEEN:
-        seen.clear()
-    own, count = tokens[np.repeat(fresh, n)], n[fresh]
-    named = band_names(own, count, *bands) if len(count) else np.empty((0, bands[0]), np.uint64)
-    doc = np.searchsorted(np.cumsum(sizes), starts, side="right")
-    return pa.RecordBatch.from_arrays(
-        [
-            batch.column("doc_id").take(pa.array(doc)),
-            batch.column("mark").take(pa.array(doc)),
-            pa.array((starts - (np.cumsum(sizes) - sizes)[doc]).astype(np.int32)),
-            pa.array(words.astype(np.int32)),
-            pa.array(nodes),
-            pa.array(n.astype(np.int32)),
-            _lists(fresh, np.full(len(count), bands[0]), _signed(named.ravel())),
-            _lists(fresh, count, _signed(own)),
-        ],
-        names=NAMES,
-    )
-
-
-KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-NAMES = [column.split()[0] for column in PLACES.split(", ")]
+    return materialise(_keyed(docs, doc_id, text).mapInArrow(run, PLACES), "paragraphs")
+
+
+def paragraph_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
+    """``node, n, tokens`` of the ``wanted`` nodes, written: texts are hashed again, as the sets of all paragraphs take more
+    room than the texts."""
+
+    def run(batches):
+        for *_, tokens, n, nodes, fresh in _paragraphs(batches):
+            sets = _lists(np.ones(fresh.sum(), bool), n[fresh], _signed(tokens[np.repeat(fresh, n)]))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[fresh]), pa.array(n[fresh].astype(np.int32)), sets], names=["node", "n", "tokens"])
+
+    found = _keyed(docs, doc_id, text).mapInArrow(run, SETS).join(checked(wanted), "node", "left_semi")
+    return materialise(found.dropDuplicates(["node"]), "sets")
+
+
+def _paragraphs(batches) -> Iterator[tuple]:
+    """Of each slice of the texts: its rows, words of each text, starts, words, tokens (end to end), set sizes and nodes of the paragraphs, and which of
+    them the task meets first."""
+    known, seen = WordHash(), set()
+    for batch in batches:
+        for low, texts in _sliced(batch, known):
+            sizes, hashes = np.array([len(t) for t in texts], np.int64), np.concatenate(texts)
+            if not len(hashes):
+                continue
+            with np.errstate(over="ignore"):
+                starts = cut_starts(hashes, sizes)
+                words = np.diff(np.append(starts, len(hashes)))
+                tokens, n = paragraph_tokens(hashes, starts, words)
+                nodes = _signed(set_names(tokens, n))
+            fresh = np.zeros(len(nodes), bool)
+            for i, node in enumerate(nodes.tolist()):
+                if node not in seen:
+                    seen.add(node)
+                    fresh[i] = True
+            if len(seen) > SEEN:
+                seen.clear()
+            yield batch.slice(low, len(texts)), sizes, starts, words, tokens, n, nodes, fresh
 
 
 def _lists(given: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> pa.Array:
@@ -194,9 +201,7 @@ def paragraph_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     places = paragraph_places(docs, doc_id, text, bands or tuned_bands())
     members = shared(places.where("bands IS NOT NULL").select(F.explode("bands").alias("bucket"), "node", "n")).drop("many")
     near = materialise(members.select("node").distinct(), "near")
-    # Sets are kept for the nodes that share a band, one for each.
-    sets = places.where("tokens IS NOT NULL").select("node", "n", "tokens").join(checked(near), "node", "left_semi")
-    sets = materialise(sets.dropDuplicates(["node"]), "sets")
+    sets = paragraph_sets(docs, doc_id, text, near)
     links = links_in_buckets(members, verified(lambda wanted: sets.join(checked(wanted), "node", "left_semi")))
     groups = components(links).withColumnRenamed("root", "label")
     # Places count if their node has links or stands in two places; all others are left behind here.
