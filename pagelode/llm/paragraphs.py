@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import BROADCAST_BYTES, WordHash, checked, components, hash_words, links_in_buckets, mix, shared, verified
+from pagelode.llm.common import BROADCAST_BYTES, WordHash, checked, components, hash_words, links_in_buckets, mix, parity_bits, shared, verified
 from pagelode.llm.ngram_join import WIDTH, _signed
 from pagelode.session import discard, materialise
 
 #: Words on either side that a cut has to undercut; words of copied paragraphs in a row from which they go.
 SPAN, LEAST_RUN = 6, 16
 #: Chance that a pair at the threshold shares a band; hash functions at most.
-RECALL, MOST_HASHES = 0.98, 32
+RECALL, MOST_HASHES = 0.98, 20
 #: Words hashed at a time (a longer text alone), and nodes that a task remembers to band each once.
 SLICE, SEEN = 1 << 17, 1 << 20
 
@@ -124,7 +124,7 @@ def _sliced(batch: pa.RecordBatch, known: WordHash) -> Iterator[tuple[int, list[
 
 
 PLACES = "doc_id bigint, mark bigint, start int, words int, node bigint, n int, bands array<bigint>"
-SETS = "node bigint, n int, tokens array<bigint>"
+SETS = "node bigint, n int, tokens array<bigint>, bits array<bigint>"
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -151,13 +151,15 @@ def paragraph_places(docs: DataFrame, doc_id: str, text: str, bands: tuple[int,
 
 
 def paragraph_sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
-    """``node, n, tokens`` of the ``wanted`` nodes, written: texts are hashed again, as the sets of all paragraphs take more
-    room than the texts."""
+    """``node, n, tokens, bits`` (see ``parity_bits``) of the ``wanted`` nodes, written: texts are hashed again, as the sets of all
+    paragraphs take more room than the texts."""
 
     def run(batches):
         for *_, tokens, n, nodes, fresh in _paragraphs(batches):
-            sets = _lists(np.ones(fresh.sum(), bool), n[fresh], _signed(tokens[np.repeat(fresh, n)]))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[fresh]), pa.array(n[fresh].astype(np.int32)), sets], names=["node", "n", "tokens"])
+            own, n, every = tokens[np.repeat(fresh, n)], n[fresh], np.ones(fresh.sum(), bool)
+            if len(n):
+                columns = [pa.array(nodes[fresh]), pa.array(n.astype(np.int32)), _lists(every, n, _signed(own)), _lists(every, *_bit_sets(own, n))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "tokens", "bits"])
 
     found = _keyed(docs, doc_id, text).mapInArrow(run, SETS).join(checked(wanted), "node", "left_semi")
     return materialise(found.dropDuplicates(["node"]), "sets")
@@ -187,6 +189,19 @@ def _paragraphs(batches) -> Iterator[tuple]:
             yield batch.slice(low, len(texts)), sizes, starts, words, tokens, n, nodes, fresh
 
 
+def _bit_sets(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words of each, words end to end) of the sets' ``parity_bits``; sets of one word are made together."""
+    first = np.cumsum(sizes) - sizes
+    words = np.bitwise_xor.reduceat(np.uint64(1) << (tokens & np.uint64(63)), first).view(np.int64)
+    large = np.flatnonzero(sizes > 64)
+    if not len(large):
+        return np.ones(len(sizes), np.int64), words
+    parts = list(words[:, None])
+    for i in large:
+        parts[i] = parity_bits(tokens[first[i] : first[i] + sizes[i]])
+    return np.array([len(p) for p in parts]), np.concatenate(parts)
+
+
 def _lists(given: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> pa.Array:
     """A list for each row that is ``given``, null in the others."""
     counts = np.zeros(len(given), np.int64)
@@ -202,7 +217,9 @@ def paragraph_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     members = shared(places.where("bands IS NOT NULL").select(F.explode("bands").alias("bucket"), "node", "n")).drop("many")
     near = materialise(members.select("node").distinct(), "near")
     sets = paragraph_sets(docs, doc_id, text, near)
-    links = links_in_buckets(members, verified(lambda wanted: sets.join(checked(wanted), "node", "left_semi")))
+    sketches = materialise(sets.select("node", "n", "bits"), "sketches")
+    tokens = sets.select("node", "n", "tokens")
+    links = links_in_buckets(members, verified(lambda wanted: tokens.join(checked(wanted), "node", "left_semi"), sketches), sketches)
     groups = components(links).withColumnRenamed("root", "label")
     # Places count if their node has links or stands in two places; all others are left behind here.
     spot = F.xxhash64("doc_id", "mark", "start")
@@ -214,7 +231,7 @@ def paragraph_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     firsts = materialise(labelled.groupBy("label").agg(F.min(place).alias("first")), "firsts")
     found = labelled.join(checked(firsts), "label").withColumn("removed", place != F.col("first")).drop("first")
     found = materialise(found.distinct(), "groups")
-    discard(places, members, near, sets, links, labelled, firsts)
+    discard(places, members, near, sets, sketches, links, labelled, firsts)
     return found
 
 
