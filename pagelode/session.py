@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,23 +67,41 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside are deleted as each write ends: nothing reads them once its rows lie in a table. Until
+    then they stay, for stages that lost executors repeat. Other queries of the session keep the setting they had."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives the
     loss of executors, and gives later joins real size statistics."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     written._written_at = path
     return written
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete the files of tables that ``materialise`` wrote and that nothing reads any more, as loops leave them behind. Whatever was
     made from them has to be written by then."""
     for table in tables:
         path = getattr(table, "_written_at", None)
         if path:
-            sc = table.sparkSession.sparkContext
-            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+            delete_folder(table.sparkSession, path)
