@@ -14,10 +14,15 @@ In each round a class of equal runs or blocks in two places or more is decided,
 goes on, as a partner for the rest. Places are a 64-bit hash of the text and an offset, so copies of a text
 are worked on once; a text that occurs twice is repeated as a whole.
 
+Different texts are laid out once, in a table bucketed by their hash: the only time that texts are shuffled, and copies meet
+in their task before. The lists of each round and the removed ranges go to the buckets; what a text loses goes back to its copies
+by the hash alone.
+
 Defined results: a null text is empty; texts under the length lose nothing; repeated rows count as
 copies; an empty table gives an empty result; columns pass through unless they bear a result's name."""
 
 import hashlib
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -26,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelode.llm.common import BROADCAST_BYTES, checked, mix
-from pagelode.session import materialise
+from pagelode.llm.common import checked, mix
+from pagelode.session import delete_folder, discard, fresh_path, materialise, shuffles_dropped
 
 #: Length of a string; of the first bucket; starts in a block.
 LENGTH, FIRST, BLOCK = 200, 32, 16
@@ -157,76 +162,122 @@ def _rows(keys: list, found: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([_signed(key), *[_signed(c) for c in columns]], names=names)
 
 
-def _over_texts(texts: DataFrame, work, names: list[str], label: str) -> DataFrame:
-    """``key`` and the columns that ``work(text, *lists)`` returns for each text, written; a text that a task
-    meets again is passed over. ``texts`` is key, text and lists of structs' columns."""
+def _over_texts(texts: DataFrame, work, label: str) -> DataFrame:
+    """``key, bucket, name, place`` of what ``work(text, *lists)`` returns for each text, written. ``texts`` is key, text and
+    lists."""
 
     def run(batches):
-        seen = set()
         for batch in batches:
-            keys, found = [], []
-            texts = batch.column(1).cast(pa.binary())
-            for i, key in enumerate(batch.column(0).to_pylist()):
-                if key not in seen:
-                    seen.add(key)
-                    lists = [batch.column(c)[i].values.to_numpy() for c in range(2, batch.num_columns)]
-                    keys.append(key)
-                    found.append(work(texts[i].as_py(), *lists))
-            yield _rows(keys, found, ["key", *names])
+            raw = batch.column(1).cast(pa.binary())
+            given = range(2, batch.num_columns)
+            found = [work(raw[i].as_py(), *[batch.column(c)[i].values.to_numpy() for c in given]) for i in range(len(raw))]
+            yield _rows(batch.column(0).to_pylist(), found, ["key", "bucket", "name", "place"])
+
+    return materialise(texts.mapInArrow(run, "key bigint, bucket bigint, name bigint, place bigint"), label)
+
+
+# A place is one number. Of a run: start, length, lead. Of a block: nominal start (which may lie before the text), first and
+# last start in it.
+
+
+def _runs(text: bytes) -> tuple:
+    bucket, name, start, length, lead = runs(text)
+    return bucket, name, start << 16 | length << 8 | lead
+
+
+def _blocks(text: bytes, place: np.ndarray) -> tuple:
+    core, name, x, low, high = blocks(text, place >> 16, place >> 8 & 255, place & 255)
+    return core, name, x + BLOCK << 8 | low - x << 4 | high - x
+
 
-    schema = ", ".join(f"{n} bigint" for n in ["key", *names])
-    return materialise(texts.mapInArrow(run, schema), label)
+def _starts(text: bytes, place: np.ndarray) -> tuple:
+    whole, start = starts(text, (place >> 8) - BLOCK)
+    return whole, whole, start
 
 
-def decided(rows: DataFrame, bucket: str, name: str, place: str) -> tuple[DataFrame, DataFrame]:
+def _run_range(rows: DataFrame) -> DataFrame:
+    low = F.shiftright("place", 16)
+    return rows.select("key", low.alias("low"), (low + F.shiftright("place", 8).bitwiseAND(F.lit(255)) - 1).alias("high"))
+
+
+def _block_range(rows: DataFrame) -> DataFrame:
+    x = F.shiftright("place", 8) - BLOCK
+    low, high = (F.shiftright("place", n).bitwiseAND(F.lit(15)) for n in (4, 0))
+    return rows.select("key", (x + low).alias("low"), (x + high).alias("high"))
+
+
+def decided(rows: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     """Of ``rows`` those that are repeated, and those to be refined: a class (bucket, name) in two places is
-    repeated; in buckets with several names, one member of each class goes on."""
-    spot = F.xxhash64("key", place)
-    by_bucket = rows.groupBy(bucket).agg(
-        F.min(spot).alias("p"), F.max(spot).alias("q"), F.min(name).alias("v"), F.max(name).alias("w")
+    repeated; in buckets with several names, one member of each class goes on. Last, the tables both are read from."""
+    spot = F.xxhash64("key", "place")
+    by_bucket = rows.groupBy("bucket").agg(
+        F.min(spot).alias("p"), F.max(spot).alias("q"), F.min("name").alias("v"), F.max("name").alias("w")
     )
-    met = materialise(by_bucket.where("p <> q").select(bucket, (F.col("v") == F.col("w")).alias("same")), "met")
-    rows = rows.join(checked(met), bucket)
+    met = materialise(by_bucket.where("p <> q").select("bucket", (F.col("v") == F.col("w")).alias("same")), "met")
+    rows = materialise(rows.join(checked(met), "bucket"), "shared")
     pure = rows.where("same").drop("same")
-    mixed = materialise(rows.where(~F.col("same")).drop("same").withColumn("spot", spot), "mixed")
-    classes = materialise(mixed.groupBy(bucket, name).agg(F.min("spot").alias("p"), F.max("spot").alias("q")), "classes")
-    mixed = mixed.join(checked(classes), [bucket, name])
-    return pure.unionByName(mixed.where("p <> q").drop("spot", "p", "q")), mixed.where("spot = p").drop("spot", "p", "q")
+    mixed = rows.where(~F.col("same")).drop("same").withColumn("spot", spot)
+    classes = materialise(mixed.groupBy("bucket", "name").agg(F.min("spot").alias("p"), F.max("spot").alias("q")), "classes")
+    mixed = mixed.join(checked(classes), ["bucket", "name"])
+    return pure.unionByName(mixed.where("p <> q").drop("spot", "p", "q")), mixed.where("spot = p").drop("spot", "p", "q"), [met, rows, classes]
 
 
-def _with_lists(texts: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
-    """``key, text`` of the texts that have rows, and the rows' columns as lists (those of one text). The lists
-    are broadcast if their counted bytes allow it."""
-    lists = rows.groupBy("key").agg(F.collect_list(F.struct(*columns)).alias("l")).select("key", *[f"l.{c}" for c in columns])
-    lists = materialise(lists, "lists")
-    size = lists.agg(F.count(F.lit(1)) * 64 + F.coalesce(F.sum(F.size(columns[0])), F.lit(0)) * 8 * len(columns)).first()[0]
-    lists = F.broadcast(lists) if size <= BROADCAST_BYTES else lists
-    return texts.join(lists, "key").select("key", "text", *columns)
+class Texts:
+    """The different texts of ``docs`` as ``key, text, n, size`` (copies, bytes), bucketed by ``key``. Each task keeps one of the copies it
+    has before texts are shuffled, so that a text in a third of all rows is sent once a task."""
 
+    def __init__(self, docs: DataFrame, text: str):
+        self.spark = docs.sparkSession
+        self.name, self.path = f"pagelode_texts_{uuid.uuid4().hex}", fresh_path(self.spark, "texts")
+        whole = F.coalesce(F.col(text), F.lit(""))
+        given = docs.select(F.xxhash64(whole).alias("key"), whole.alias("text"))
+        each = given.groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
+        each = each.withColumn("size", F.octet_length("text").cast("bigint"))
+        write = each.write.bucketBy(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "key").sortBy("key")
+        with shuffles_dropped(self.spark):
+            write.option("path", self.path).option("compression", "zstd").saveAsTable(self.name)
 
-def repeated_ranges(docs: DataFrame, text: str) -> DataFrame:
-    """``key, low, high`` lists: for each text by its hash, ranges of starts whose strings occur elsewhere."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    texts = docs.select(F.xxhash64(whole).alias("key"), whole.alias("text"))
-    copies = texts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text").cast("bigint")).alias("size"))
-    full = copies.where(f"n > 1 and size >= {LENGTH}").select("key", F.lit(0).cast("bigint").alias("low"), (F.col("size") - LENGTH).alias("high"))
-    long_ = texts.where(F.octet_length("text") >= LENGTH)
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
 
-    first = _over_texts(long_, runs, ["bucket", "name", "start", "length", "lead"], "runs")
-    done, open_ = decided(first, "bucket", "name", "start")
-    found = done.select("key", F.col("start").alias("low"), (F.col("start") + F.col("length") - 1).alias("high"))
+    def with_lists(self, lists: DataFrame, how: str = "inner") -> DataFrame:
+        """``key, text`` and the lists of a text, which go to its bucket."""
+        columns = [c for c in lists.columns if c != "key"]
+        return self.table().select("key", "text").join(lists.hint("merge"), "key", how).select("key", "text", *columns)
 
-    second = _over_texts(_with_lists(long_, open_, ["start", "length", "lead"]), blocks, ["core", "name", "start", "low", "high"], "blocks")
-    done, open_ = decided(second, "core", "name", "start")
-    found = found.union(done.select("key", "low", "high"))
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        delete_folder(self.spark, self.path)
 
-    third = _over_texts(_with_lists(long_, open_, ["start"]), starts, ["whole", "start"], "starts")
-    spot = F.xxhash64("key", "start")
-    met = third.groupBy("whole").agg(F.min(spot).alias("p"), F.max(spot).alias("q")).where("p <> q").select("whole")
-    done = third.join(checked(materialise(met, "met")), "whole", "left_semi")
-    found = found.union(done.select("key", F.col("start").alias("low"), F.col("start").alias("high"))).union(full)
-    lists = found.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("l"))
-    return materialise(lists.select("key", "l.low", "l.high"), "ranges")
+
+def _places(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("key").agg(F.collect_list("place").alias("place"))
+
+
+def repeated_ranges(texts: Texts) -> DataFrame:
+    """``key, low, high`` lists: for each text by its hash, ranges of starts whose strings occur elsewhere."""
+    long_ = texts.table().where(f"size >= {LENGTH}")
+    full = long_.where("n > 1").select("key", F.lit(0).cast("bigint").alias("low"), (F.col("size") - LENGTH).alias("high"))
+
+    first = _over_texts(long_.select("key", "text"), _runs, "runs")
+    done, open_, read = decided(first)
+    found = [materialise(_run_range(done), "run-ranges")]
+    second = _over_texts(texts.with_lists(_places(open_)), _blocks, "blocks")
+    discard(first, *read)
+
+    done, open_, read = decided(second)
+    found.append(materialise(_block_range(done), "block-ranges"))
+    third = _over_texts(texts.with_lists(_places(open_)), _starts, "starts")
+    discard(second, *read)
+
+    spot = F.xxhash64("key", "place")
+    met = materialise(third.groupBy("bucket").agg(F.min(spot).alias("p"), F.max(spot).alias("q")).where("p <> q").select("bucket"), "met")
+    done = third.join(checked(met), "bucket", "left_semi")
+    every = found[0].union(found[1]).union(done.select("key", F.col("place").alias("low"), F.col("place").alias("high"))).union(full)
+    lists = every.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("l"))
+    ranges = materialise(lists.select("key", "l.low", "l.high"), "ranges")
+    discard(third, met, *found)
+    return ranges
 
 
 _RESULT = T.StructType(
@@ -257,7 +308,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", whole: bool = False) ->
     """``docs`` with ``n_bytes, n_removed, n_spans, kept_sha256``, and with ``whole`` the bytes ``kept``."""
     names = RESULT[: 5 if whole else 4]
     columns = [c for c in docs.columns if c not in names]
-    ranges = repeated_ranges(docs, text).withColumnsRenamed({"key": "__key", "low": "__low", "high": "__high"})
-    # Ranges grow with the corpus: texts and ranges meet by a sort-merge join at every size.
-    keyed = docs.select("*", F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__key")).join(ranges, "__key", "left")
-    return keyed.select(*columns, _cut(whole)(F.col(text), F.col("__low"), F.col("__high")).alias("__r")).select(*columns, "__r.*")
+    texts = Texts(docs, text)
+    ranges = repeated_ranges(texts)
+    cut = texts.with_lists(ranges, "left").select(F.col("key").alias("__key"), _cut(whole)(F.col("text"), F.col("low"), F.col("high")).alias("__r"))
+    cut = materialise(cut, "cut")
+    discard(ranges)
+    texts.close()
+    cut = cut if whole else checked(cut)
+    keyed = docs.select("*", F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__key")).join(cut, "__key")
+    return keyed.select(*columns, "__r.*")

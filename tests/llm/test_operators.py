@@ -52,7 +52,9 @@ def test_joins_of_parts_without_blanks():
 # --- repeats and near copies
 
 
-def test_repeats(docs, rows):
+@pytest.mark.parametrize("limit", [common.BROADCAST_BYTES, 0])
+def test_repeats(docs, rows, limit, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
     got = collected(substring_repeats.remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got == sorted(plain.repeats(texts(rows)), key=repr)
 
