@@ -353,3 +353,27 @@ def test_links_left_after_the_hubs(spark, monkeypatch, tile):
         assert one_each <= {tuple(r) for r in common.remaining_pairs(labelled, sketches).collect()} and len(one_each) <= len(sets)
     whole = labelled.withColumn("label", F.lit(1).cast("bigint"))
     assert common.remaining_pairs(whole, sketches).count() == 0
+
+
+# --- the host query
+
+
+def test_host_query_where_hosts_differ(spark, tmp_path):
+    """The query and its SQL agree on a table in which a host is rejected: its sound documents go as well, those of others stay."""
+    duckdb = pytest.importorskip("duckdb")
+    draw = random.Random(21)
+    good = lambda: " ".join(f"w{draw.randrange(5000)}" for _ in range(80))
+    marked = lambda: "$$ && " * 15 + " ".join(f"#{draw.randrange(5000)}#" for _ in range(60))
+    rows = [(i, good() if draw.random() < 0.95 else marked(), f"h{i % 9}") for i in range(400)]
+    rows += [(i, marked(), "spam") for i in range(400, 460)] + [(460, good(), "spam"), (461, "too short", "h1"), (462, None, None), (463, good(), None)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    table.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    got = collected(queries.op6_host_rules(spark, str(tmp_path)), *columns)
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = base.execute(f"SELECT {', '.join(columns)} FROM ({queries.oracle_sql()['op6_host_rules']})").fetchall()
+    assert got == sorted(want, key=repr)
+    state = {r[0]: r[-2:] for r in got}
+    assert state[460] == (False, False) and state[461] == (True, False) and state[463] == (False, True)
+    assert all(state[i] == (False, True) for i in range(400))
