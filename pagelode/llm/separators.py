@@ -6,7 +6,8 @@ documents ended before, and where the document that reaches into it began.
 
 Defined results: two separators in a row are an empty document; ids after the last separator are a document
 that is not ``closed``; a block of no bytes holds nothing; half an id at the end of a file is ignored; an empty
-table gives an empty result; further columns are ignored. Null and empty texts are written as empty documents."""
+table gives an empty result; further columns are ignored. Null and empty texts are written as empty documents; a text whose ids do not
+fit 16 bits or hold the separator stops the writing with an error."""
 
 from __future__ import annotations
 
@@ -33,7 +34,10 @@ def write_token_files(docs: DataFrame, path: str, text: str = "text", end: int =
         for batch in batches:
             out = []
             for t in batch.column(0).to_pylist():
-                rest += np.frombuffer(encoder.leaf(t or "")[0], "<u4").astype("<u2").tobytes() + stop
+                ids = np.frombuffer(encoder.leaf(t or "")[0], "<u4")
+                if len(ids) and (ids.max() > 65535 or (ids == end).any()):
+                    raise ValueError(f"a text holds an id above 65535 or the separator {end}")
+                rest += ids.astype("<u2").tobytes() + stop
                 while len(rest) >= block:
                     out.append(bytes(rest[:block]))
                     del rest[:block]

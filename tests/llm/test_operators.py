@@ -305,6 +305,14 @@ def test_separators(spark, tmp_path, block):
     assert got == sorted(want, key=repr)
 
 
+def test_ids_that_do_not_fit_a_token_file(spark):
+    """The separator among a text's ids would end a document that does not end there."""
+    first = int(np.frombuffer(bpe_tree.Encoder.load(PATH).leaf("hello there")[0], "<u4")[0])
+    one = spark.createDataFrame([(1, "hello there")], "doc_id bigint, text string")
+    with pytest.raises(Exception, match="the separator"):
+        separators.write_token_files(one, PATH, end=first)
+
+
 def test_written_token_files(docs, rows):
     lengths = separators.document_lengths(separators.write_token_files(docs, PATH, block=64))
     tokenizer = Tokenizer.from_file(PATH)
