@@ -176,11 +176,27 @@ def doc_frequency(postings: DataFrame, *more: str) -> DataFrame:
     return postings.groupBy("term", "field", *more).agg(F.count(F.lit(1)).alias("df"))
 
 
+def _wide_of_postings(postings: DataFrame) -> DataFrame:
+    per_field = postings.groupBy("term", "doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("field", "tf", "positions"))).alias("parts")
+    )
+    tf_of = lambda i: F.coalesce(F.get(F.filter("parts", lambda p: p["field"] == i), F.lit(0))["tf"], F.lit(0))
+    return per_field.select(
+        "term",
+        "doc_id",
+        F.array(*[tf_of(i) for i in FIELDS]).alias("freq"),
+        F.flatten(F.transform("parts", lambda p: p["positions"])).alias("positions"),
+    )
+
+
 def wide_postings(corpus: DataFrame, stem: bool = True, fulltext: bool = False) -> DataFrame:
-    """Per (term, document): ``freq`` by field and ``positions`` flattened in field order.
+    """Per (term, document): ``freq`` by field and ``positions`` flattened in field order. ``corpus`` may also be postings that are
+    built already; their fields are then gathered by an exchange.
 
     The words of all fields of a document are one array, sorted by (term, field, position) and cut where the
     term changes, so that the fields of a posting meet in their document's row and nothing is exchanged."""
+    if "positions" in corpus.columns:
+        return _wide_of_postings(corpus)
     rows = spread_small(corpus.select("doc_id", "title", "content", "categories"))
     texts = _lowered("|" if fulltext else " ")
     words = lambda text: _fulltext_words(tx.fulltext_words(text)) if fulltext else _indexed_words(tx.tokens(text))

@@ -48,17 +48,17 @@ def decode_postings(lines: DataFrame) -> DataFrame:
     """Lines back to ``term, doc_id, freq, fields``: ``fields`` slices the flat position list
     by the per-field frequencies. Malformed lines are skipped; ``bad_postings`` returns them. Numbers
     too large for their type are NULL."""
-    entries = lines.where(F.col("value").rlike(POSTING_LINE)).select(
-        F.split_part("value", F.lit("\t"), F.lit(1)).alias("term"),
-        F.explode(F.split(F.split_part("value", F.lit("\t"), F.lit(2)), ";")).alias("entry"),
-    )
-    head, flat = F.split_part("entry", F.lit("|"), F.lit(1)), F.split_part("entry", F.lit("|"), F.lit(2))
+    # A line is matched and cut once, before its entries become rows; cut after that, a whole line would be cut again for every entry.
+    cut = lines.select(F.when(F.col("value").rlike(POSTING_LINE), F.split("value", "\t")).alias("cut"))
+    named = cut.select(F.get("cut", F.lit(0)).alias("term"), F.get("cut", F.lit(1)).alias("body"))
+    entries = named.select("term", F.explode(F.split("body", ";")).alias("entry"))
+    pieces = entries.select("term", F.split("entry", "[:|]").alias("e"))
     numbers = lambda text: F.when(text == "", F.array().cast("array<int>")).otherwise(F.split(text, ",").try_cast("array<int>"))
-    parts = entries.select(
+    parts = pieces.select(
         "term",
-        F.split_part(head, F.lit(":"), F.lit(1)).try_cast("long").alias("doc_id"),
-        numbers(F.split_part(head, F.lit(":"), F.lit(2))).alias("freq"),
-        numbers(flat).alias("flat"),
+        F.get("e", F.lit(0)).try_cast("long").alias("doc_id"),
+        numbers(F.get("e", F.lit(1))).alias("freq"),
+        numbers(F.get("e", F.lit(2))).alias("flat"),
     )
 
     def field_slice(f: Column, i: Column) -> Column:

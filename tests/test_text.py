@@ -91,6 +91,15 @@ def test_posting_text_roundtrip(corpus):
     assert all([len(f) for f in r.fields] == r.freq for r in back.collect())
 
 
+def test_posting_line_is_cut_once(spark):
+    """Entries travel without their line; a line cut again for each entry costs the square of its length."""
+    lines = spark.createDataFrame([("a\t1:1,0,0|5;2:0,2,0|1,7",), ("a\t1:1,0,0|5;2",), (None,)], "value string")
+    back = codecs.decode_postings(lines)
+    plan = back._jdf.queryExecution().optimizedPlan().toString()
+    assert "value" not in plan[: plan.index("Generate explode")]
+    assert sorted(map(tuple, back.collect())) == [("a", 1, [1, 0, 0], [[5], [], []]), ("a", 2, [0, 2, 0], [[], [1, 7], []])]
+
+
 def test_list_codec(spark):
     texts = ["", "a", "a|b", "a||", "|a", "||", "a||b"]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
