@@ -204,7 +204,7 @@ def ingest_insert_or_ignore(spark, folder):
 def stream_ingest_pages(spark, folder):
     """Page files to whole page rows to the page table, as a stream."""
     path, state = fresh_path(spark, "stream-table"), fresh_path(spark, "stream-state")
-    stream = si.read_page_stream(spark, folder, "pages.parquet")
+    stream = si.read_table_stream(spark, folder, "pages")
     rows = markup.page_rows(stream, F.to_timestamp(F.lit(RUN_TIME)), HOST_REGEX, PATH_REGEX)
     si.ingest_pages(rows, path, state)
     return ingest.read_table(spark, path, rows.schema).select(
@@ -402,7 +402,7 @@ def frontier_bfs(spark, folder):
 @query
 def stream_visited_dedup(spark, folder):
     path, state = fresh_path(spark, "visited"), fresh_path(spark, "visited-state")
-    stream = si.read_page_stream(spark, folder, "pages.parquet").select("url")
+    stream = si.read_table_stream(spark, folder, "pages").select("url")
     si.write_once(si.visited_urls(stream), path, state)
     return spark.read.schema("url string").parquet(path)
 

@@ -19,6 +19,15 @@ def read_page_stream(spark: SparkSession, folder: str, files: str = "*.parquet",
     return reader.parquet(folder)
 
 
+def read_table_stream(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
+    """The files of table ``name`` in ``folder`` as a stream; the table is one file or, when it is larger, a folder of files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(path).isDirectory():
+        return read_page_stream(spark, f"{folder}/{name}.parquet", **options)
+    return read_page_stream(spark, folder, f"{name}.parquet", **options)
+
+
 def titled(pages: DataFrame) -> DataFrame:
     return pages.select(
         markup.element_text(F.col("html"), "h1").alias("title"), "page_id", "url"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pagelode.functions import htmltree, markup, urls
 from pagelode.session import fresh_path
+from pagelode.catalog import queries
 from pagelode.sources import codecs, export, index_store, ingest, jsonl, tables
 from pagelode.streaming import ingest as si
 
@@ -234,6 +235,19 @@ def test_streams_restart_and_add_only_new_keys(spark, tmp_path):
     assert run()[0] == [("A", 1), ("B", 2), ("C", 5)]
 
 
+def test_stream_queries_read_a_table_of_many_files(spark, tmp_path):
+    """A larger table is a folder of files, a smaller one a file; both give all their rows."""
+    pages = [_page(1, "A", "http://h/a"), _page(2, "B", "http://h/b"), _page(3, "A", "http://h/a")]
+    one, many = tmp_path / "one", tmp_path / "many"
+    os.makedirs(one), os.makedirs(many / "pages.parquet")
+    _drop(str(one), "pages.parquet", pages)
+    for i, page in enumerate(pages):
+        _drop(str(many / "pages.parquet"), f"part-{i}.parquet", [page])
+    for folder in (one, many):
+        assert sorted((r.title, r.page_id) for r in queries.stream_ingest_pages(spark, str(folder)).collect()) == [("A", 1), ("B", 2)]
+        assert sorted(r.url for r in queries.stream_visited_dedup(spark, str(folder)).collect()) == ["http://h/a", "http://h/b"]
+
+
 def test_visited_urls_with_watermark_plan(spark, tmp_path):
     stream = si.read_page_stream(
         spark, str(tmp_path), schema="url string, ts timestamp"
