@@ -57,6 +57,12 @@ def _word_pattern() -> str:
 
 
 FULLTEXT_WORD = _word_pattern()
+# Most words are runs of simple letters and digits before a character that neither belongs to a word nor joins two; these are found
+# without the classes above. Up to eight characters that start no word are passed over in the match of the next one.
+_BREAK = r" \t\n\r\f!?()\"#$%&*+\-/<=>@\[\\\]^`{|}~"
+_SIMPLE = r"[a-z0-9\u00DF-\u00F6\u00F8-\u00FF]"
+#: As ``FULLTEXT_WORD``, in group 1, for lower-cased texts.
+FULLTEXT_WORDS = rf"[{_BREAK}.,;:']{{0,8}}+({_SIMPLE}++(?=[{_BREAK}]|\z|[.,;:'](?:[{_BREAK}]|\z))|{FULLTEXT_WORD})"
 
 CATEGORY_MARKER = "category:"
 
@@ -66,6 +72,12 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(text, DELIMITERS), "")
 
 
+def first_tokens(text: Column, n: int) -> Column:
+    """The first ``n`` of the whitespace tokens; the text after them is not looked at."""
+    blank = DELIMITERS.removesuffix("+")
+    return F.slice(tokens(F.regexp_extract(text, rf"\A(?:{blank}*+[^{blank[1:]}++){{0,{n}}}+", 0)), 1, n)
+
+
 def trim_controls(text: Column) -> Column:
     """Drop spaces and control characters (up to U+0020) at both ends."""
     return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
@@ -97,14 +109,16 @@ def indexable_token(lowered: Column) -> Column:
 def fulltext_words(text: Column) -> Column:
     """Word-break tokens, lower-cased; index in the array is the position. A word over ``FULLTEXT_LONGEST`` is cut there, and what follows
     a cut starts at its next letter or digit."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(FULLTEXT_WORD), F.lit(0))
+    found = F.regexp_extract_all(F.lower(text), F.lit(FULLTEXT_WORDS), F.lit(1))
     cut = lambda w: F.regexp_extract_all(w, F.lit(rf"(?s)[{_MID_LETTER}{_MID_NUMBER}{_MID_BOTH}]*+(.{{1,{FULLTEXT_LONGEST}}})"), F.lit(1))
     again = lambda piece: F.regexp_extract(piece, FULLTEXT_WORD, 0)
     pieces = lambda w: F.array_remove(F.transform(cut(w), again), "")
     long = lambda w: F.length(w) > FULLTEXT_LONGEST
-    return F.when(
+    shortened = lambda words: F.when(
         F.exists(words, long), F.flatten(F.transform(words, lambda w: F.when(long(w), pieces(w)).otherwise(F.array(w))))
     ).otherwise(words)
+    # The words are used three times but found once: as the item of an array.
+    return F.get(F.transform(F.array(found), shortened), F.lit(0))
 
 
 def category_text(categories: Column) -> Column:

@@ -33,7 +33,7 @@ def scan_jdbc(
 def corpus_documents(spark: SparkSession, folder: str) -> DataFrame:
     """``documents`` as a corpus: the first tokens are the title, the whole text the content,
     language and source the categories."""
-    title = F.array_join(F.slice(tx.tokens(F.col("text")), 1, TITLE_TOKENS), " ")
+    title = F.array_join(tx.first_tokens(F.col("text"), TITLE_TOKENS), " ")
     return table(spark, folder, "documents").select(
         "doc_id", title.alias("title"), F.col("text").alias("content"), F.array("lang", "source").alias("categories")
     )
