@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelode.functions import htmltree, urls
+from pagelode.session import limit_arrow_batches
 
 cloudpickle.register_pickle_by_value(htmltree)
 
@@ -73,6 +74,7 @@ def extract_pages(pages: DataFrame, selectors: htmltree.Selectors | None = None)
     """Parse ``(page_id, url, html)`` once per page: title, content, categories, footer markup
     and link targets. ``found`` is false where a required block is missing."""
     rules = selectors or htmltree.Selectors()
+    limit_arrow_batches(pages.sparkSession, 200, 2 << 20)  # a batch holds whole pages and what was found in them
     extract = htmltree.extract
 
     def parse(batches):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pagelode.functions import text as tx
 from pagelode.functions.stemming import stem_all
 from pagelode.operators.joins import estimated_bytes
+from pagelode.session import limit_arrow_batches
 
 N_FIELDS = 3
 FIELDS = list(range(N_FIELDS))
@@ -128,6 +129,7 @@ def build_postings(corpus: DataFrame, stem: bool = True, fulltext: bool = False,
     """The positional inverted index in long form: one row per (term, field, document) with
     ``tf``, sorted ``positions`` and the field length, so that scoring needs no length table."""
     names = ["title", "content", "categories"]
+    limit_arrow_batches(corpus.sparkSession)
     rows = spread_small(corpus.select("doc_id", *[names[i] for i in fields]))
     # Fields that are left out are never read.
     rows = rows.select("doc_id", *[F.col(n) if n in rows.columns else F.lit(None).cast(corpus.schema[n].dataType).alias(n) for n in names])
@@ -197,6 +199,7 @@ def wide_postings(corpus: DataFrame, stem: bool = True, fulltext: bool = False)
     term changes, so that the fields of a posting meet in their document's row and nothing is exchanged."""
     if "positions" in corpus.columns:
         return _wide_of_postings(corpus)
+    limit_arrow_batches(corpus.sparkSession)
     rows = spread_small(corpus.select("doc_id", "title", "content", "categories"))
     texts = _lowered("|" if fulltext else " ")
     words = lambda text: _fulltext_words(tx.fulltext_words(text)) if fulltext else _indexed_words(tx.tokens(text))

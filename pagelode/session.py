@@ -34,13 +34,14 @@ def build_session(app_name: str = "pagelode", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def limit_arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Let Python workers of this session get at most ``rows`` rows at a time: for rows that hold whole texts, in sessions made
-    elsewhere too."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    set_to = int(spark.conf.get(name))
-    if set_to <= 0 or set_to > rows:
-        spark.conf.set(name, str(rows))
+def limit_arrow_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Let Python workers of this session get at most ``rows`` rows and about ``size`` bytes at a time: for rows that hold whole texts, in
+    sessions made elsewhere too. As Python objects a batch of words takes some ten times its size, in every worker."""
+    for what, limit in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{what}"
+        set_to = int(spark.conf.get(name).rstrip("b"))
+        if set_to <= 0 or set_to > limit:
+            spark.conf.set(name, str(limit))
 
 
 def work_folder(spark: SparkSession) -> str:

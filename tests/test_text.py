@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from pagelode.catalog.stem_sql import duckdb_stem
-from pagelode.functions import porter2, text as tx
+from pagelode.functions import markup, porter2, text as tx
 from pagelode.functions.stemming import with_stem
 from pagelode.operators import postings as ps
 from pagelode.sources import codecs
@@ -91,6 +91,37 @@ def test_posting_text_roundtrip(corpus):
     assert all([len(f) for f in r.fields] == r.freq for r in back.collect())
 
 
+def test_fulltext_words_are_found_once_and_as_the_rules_say(spark):
+    """Simple words are found by a short pattern, in one pass over the text."""
+    rnd = random.Random(3)
+    letters = "ab1\u00e9 \u00df\u00ad_.,;:'\"-!\n\u0144\u05d0\u30ab\u6f22\u200d\u00aa\u00b2\u2167\u00b7\x0b %"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 60))) for _ in range(2000)] + [None, " " * 5000 + "a. b", "a.b,c 1,2.x"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.regexp_extract_all(F.lower("t"), F.lit(tx.FULLTEXT_WORD), F.lit(0))
+    found = frame.select(tx.fulltext_words(F.col("t")).alias("w"), plain.alias("plain"))
+    assert found.where(~F.col("w").eqNullSafe(F.col("plain"))).count() == 0
+    assert found.select("w")._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(lower") == 1
+
+
+def test_first_tokens(spark):
+    texts = ["", " ", " a\tb  c d ", "a", "a b\x0bc d e\n", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = F.slice(tx.tokens(F.col("t")), 1, 3)
+    assert frame.where(~tx.first_tokens(F.col("t"), 3).eqNullSafe(want)).count() == 0
+
+
+def test_python_workers_get_bounded_batches(spark, corpus):
+    names = [f"spark.sql.execution.arrow.{n}" for n in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], "10000"), spark.conf.set(names[1], str(64 << 20))
+    ps.wide_postings(corpus)
+    assert [int(spark.conf.get(n)) for n in names] == [1000, 8 << 20]
+    markup.extract_pages(spark.createDataFrame([(1, "u", "x")], "page_id bigint, url string, html string"))
+    assert [int(spark.conf.get(n)) for n in names] == [200, 2 << 20]
+    for name, value in zip(names, before):
+        spark.conf.set(name, value)
+
+
 def test_posting_line_is_cut_once(spark):
     """Entries travel without their line; a line cut again for each entry costs the square of its length."""
     lines = spark.createDataFrame([("a\t1:1,0,0|5;2:0,2,0|1,7",), ("a\t1:1,0,0|5;2",), (None,)], "value string")
