@@ -5,6 +5,7 @@ The unit of work is a table of queries; a single query is a table of one row.
 
 from __future__ import annotations
 
+from copy import copy
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,10 +14,13 @@ from pyspark.sql import functions as F
 from pagelode.functions import scoring
 from pagelode.operators.joins import keep_matching, spread_join
 from pagelode.plans import query_terms as qt
-from pagelode.session import materialise
+from pagelode.session import discard, materialise
 from pagelode.sources.index_store import SearchIndex
 
 MAX_RESULTS = 1000
+#: (query, document) pairs matched in titles at once, about: queries that may give more are searched in batches, so that what
+#: lies on disk meanwhile does not grow with queries times documents.
+PAIRS_AT_ONCE = 4_000_000
 KEY = ["query_id", "doc_id"]
 
 
@@ -39,6 +43,19 @@ class AnalysedQueries:
         """``query_id, n``: at least the (query, document) pairs matched in titles, from the terms' frequencies alone."""
         return self.terms.where("field = 0").groupBy("query_id").agg(F.sum("df").alias("n"))
 
+    def batches(self) -> list["AnalysedQueries"]:
+        """The queries dealt by a hash to batches of about ``PAIRS_AT_ONCE`` pairs each."""
+        n = -(-(self.pairs_bound().agg(F.sum("n")).first()[0] or 1) // PAIRS_AT_ONCE)
+        if n == 1:
+            return [self]
+        out = []
+        for i in range(n):
+            part = copy(self)
+            mine = F.pmod(F.xxhash64("query_id"), F.lit(n)) == i
+            part.lists, part.terms, part.freq = (t.where(mine) for t in (self.lists, self.terms, self.freq))
+            out.append(part)
+        return out
+
 
 def term_scores(matches: DataFrame, fulltext: bool = False) -> DataFrame:
     """Add ``score`` of each matched term: a sum of logarithms in the ranked method, the usual
@@ -122,8 +139,11 @@ def search_hits(index: SearchIndex, queries: DataFrame, fulltext: bool = False)
     first; only (query, document) pairs found there look up content and category postings, by
     (term, document) - a key without hot values. Queries sharing a frequent word therefore never
     meet the whole content posting list of that word."""
-    analysed = AnalysedQueries(index, queries, fulltext)
-    index, lists, terms = analysed.index, analysed.lists, analysed.terms
+    return _hits(AnalysedQueries(index, queries, fulltext))
+
+
+def _hits(analysed: AnalysedQueries) -> DataFrame:
+    index, lists, terms, fulltext = analysed.index, analysed.lists, analysed.terms, analysed.fulltext
     by_query = lambda df, side: spread_join(df, side, ["query_id"], [F.col("doc_id")], counts=analysed.pairs_bound())
 
     title = gather_fields(term_scores(match_terms(index, terms, [0]), fulltext), ["rank"])
@@ -217,11 +237,25 @@ def ranked_results(hits: DataFrame, index: SearchIndex, with_rank: bool = False,
     return top_results(scored, limit)
 
 
+def _search(index: SearchIndex, queries: DataFrame, fulltext: bool, with_rank: bool, limit: int) -> DataFrame:
+    """Results by batches of queries. Where there are several, each one's results are written before the next starts; its shuffle files
+    and hits go then."""
+    batches = AnalysedQueries(index, queries, fulltext).batches()
+    if len(batches) == 1:
+        return ranked_results(_hits(batches[0]), index, with_rank, limit)
+    written = []
+    for batch in batches:
+        hits = materialise(_hits(batch), "hits")
+        written.append(materialise(ranked_results(hits, index, with_rank, limit), "results"))
+        discard(hits)
+    return reduce(DataFrame.unionByName, written)
+
+
 def search(index: SearchIndex, queries: DataFrame, with_rank: bool = False, limit: int = MAX_RESULTS) -> DataFrame:
     """Ranked results of every query."""
-    return ranked_results(search_hits(index, queries), index, with_rank, limit)
+    return _search(index, queries, False, with_rank, limit)
 
 
 def search_fulltext(index: SearchIndex, queries: DataFrame, limit: int = MAX_RESULTS) -> DataFrame:
     """Boolean and phrase search over an index built with ``fulltext=True``."""
-    return ranked_results(search_hits(index, queries, fulltext=True), index, limit=limit)
+    return _search(index, queries, True, False, limit)

@@ -220,3 +220,13 @@ def test_wide_postings_meet_in_their_row(spark, corpus, fulltext):
     assert got == {k: ([len(p) for p in v], sum(v, [])) for k, v in want.items()} and ("red", 7) in got
     lists = ps.posting_lists(corpus)._jdf.queryExecution().executedPlan().toString()
     assert lists.count("Exchange hashpartitioning(term") == 1
+
+
+def test_batches_of_queries_give_the_same_results(spark, corpus, monkeypatch):
+    index = index_store.build_index(corpus)
+    asked = spark.createDataFrame([(i, q) for i, q in enumerate(("red river", "river", "red", "river category:trees", "zzzz", "gum red"))], "query_id bigint, query string")
+    rows = lambda: sorted((r.query_id, r.rank_no, r.doc_id, round(r.total, 8)) for r in ranked.search(index, asked).collect())
+    whole = rows()
+    monkeypatch.setattr(ranked, "PAIRS_AT_ONCE", 1)
+    assert len(ranked.AnalysedQueries(index, asked).batches()) > 1
+    assert rows() == whole and len({r[0] for r in whole}) > 2
