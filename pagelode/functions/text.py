@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Token delimiters (space, tab, line feed, carriage return, form feed) and the
 # stop words removed from the ranked index and from its queries.
 DELIMITERS = r"[ \t\n\r\f]+"
+DELIMITER_BYTES = b" \t\n\r\f"
 STOP_WORDS = (
     "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself "
     "she her hers herself it its itself they them their theirs themselves what which who whom "

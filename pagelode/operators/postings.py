@@ -6,14 +6,19 @@ numbered 0 title, 1 content, 2 categories.
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelode.functions import text as tx
+from pagelode.functions import grouping, porter2, text as tx
 from pagelode.functions.stemming import stem_all
 from pagelode.operators.joins import estimated_bytes
 from pagelode.session import limit_arrow_batches
 
+# Workers need not have the package installed: ship the helpers with the functions.
+cloudpickle.register_pickle_by_value(grouping)
+
 N_FIELDS = 3
 FIELDS = list(range(N_FIELDS))
 # Documents per block of a posting list; bounds the rows gathered under one term.
@@ -65,53 +70,21 @@ def _fulltext_words(tokens: Column) -> Column:
     return F.filter(words, lambda w: ~w["t"].isin(tx.FULLTEXT_STOP_WORDS))
 
 
-def _kept_words(corpus: DataFrame, stem: bool, fields: list[int]) -> DataFrame:
-    """Per document and field: ``field_len`` and the words that enter the ranked index with
-    their positions, as the parallel arrays ``terms`` and ``pos``."""
-    texts = corpus.select("doc_id", _by_field(_lowered(), "text", fields))
-    split = texts.select("doc_id", "field", tx.tokens(F.col("text")).alias("toks"))
-    kept = split.select("doc_id", "field", F.size("toks").alias("field_len"), _indexed_words(F.col("toks")).alias("words"))
-    terms = stem_all(F.col("words.t")) if stem else F.col("words.t")
-    return kept.select("doc_id", "field", "field_len", terms.alias("terms"), F.col("words.i").alias("pos"))
-
-
-def _kept_fulltext_words(corpus: DataFrame, fields: list[int]) -> DataFrame:
-    """As :func:`_kept_words` for the full-text analyser."""
-    texts = corpus.select("doc_id", _by_field(_lowered("|"), "text", fields))
-    kept = texts.select("doc_id", "field", _fulltext_words(tx.fulltext_words(F.col("text"))).alias("words"))
-    return kept.select(
-        "doc_id", "field", F.size("words").alias("field_len"), F.col("words.t").alias("terms"), F.col("words.i").alias("pos")
-    )
-
+def _grouped(texts: DataFrame, stem: bool, fulltext: bool) -> DataFrame:
+    """Postings of ``doc_id, field`` and lower-cased ``text``, or for the full-text method its ``words``. The words of a field are
+    grouped by term in Arrow batches of whole fields, so a document's postings need no exchange."""
+    names = ["term", "field", "doc_id", "tf", "positions", "field_len"]
+    kinds = ["string", "int", texts.schema["doc_id"].dataType.simpleString(), "int", "array<int>", "int"]
+    terms_of = grouping.FulltextTerms(tx.FULLTEXT_STOP_WORDS) if fulltext else grouping.RankedTerms(tx.STOP_WORDS, porter2.stem if stem else None)
+    gathered, split, split_lists, postings = grouping.gathered, grouping.split_tokens, grouping.split_lists, grouping.posting_batches
+    delimiters = tx.DELIMITER_BYTES
 
-def _group_within_field(words: DataFrame) -> DataFrame:
-    """Group the words of each field by term with array expressions: sort (term, position)
-    pairs, find where the term changes, cut there. A document is one row, so its postings need no
-    exchange and no hash table; the cost is that of sorting the words of the field."""
-    n = F.size("e")
-    ordered = words.select(
-        "doc_id",
-        "field",
-        "field_len",
-        F.sort_array(F.zip_with("terms", "pos", lambda t, p: F.struct(t.alias("t"), p.alias("p")))).alias("e"),
-    )
-    changes = lambda i: F.coalesce(F.get("e", i)["t"] != F.get("e", i - 1)["t"], F.lit(True))
-    cut = ordered.select(
-        "doc_id", "field", "field_len", "e", F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), changes)).alias("starts")
-    )
+    def group(batches):
+        for batch in gathered(batches):
+            sizes, words = split_lists(batch["words"]) if fulltext else split(batch["text"], delimiters)
+            yield from postings(batch, sizes, words, terms_of, not fulltext)
 
-    def group(start: Column, k: Column) -> Column:
-        length = F.coalesce(F.get("starts", k + 1), n) - start
-        positions = F.transform(F.slice("e", start + 1, length), lambda x: x["p"])
-        return F.struct(F.get("e", start)["t"].alias("term"), positions.alias("positions"))
-
-    rows = cut.select("doc_id", "field", "field_len", F.transform("starts", group).alias("groups"))
-    # The outer form keeps the optimizer from deriving a filter on the whole array expression,
-    # which would compute it twice; fields without words give one row of NULLs, dropped here.
-    exploded = rows.select("doc_id", "field", "field_len", F.inline_outer("groups"))
-    return exploded.filter(F.col("term").isNotNull()).select(
-        "term", "field", "doc_id", F.size("positions").alias("tf"), "positions", "field_len"
-    )
+    return texts.mapInArrow(group, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 
 def spread_small(corpus: DataFrame) -> DataFrame:
@@ -133,7 +106,10 @@ def build_postings(corpus: DataFrame, stem: bool = True, fulltext: bool = False,
     rows = spread_small(corpus.select("doc_id", *[names[i] for i in fields]))
     # Fields that are left out are never read.
     rows = rows.select("doc_id", *[F.col(n) if n in rows.columns else F.lit(None).cast(corpus.schema[n].dataType).alias(n) for n in names])
-    return _group_within_field(_kept_fulltext_words(rows, fields) if fulltext else _kept_words(rows, stem, fields))
+    texts = rows.select("doc_id", _by_field(_lowered("|" if fulltext else " "), "text", fields))
+    if fulltext:
+        texts = texts.select("doc_id", "field", tx.fulltext_words(F.col("text")).alias("words"))
+    return _grouped(texts, stem, fulltext)
 
 
 def with_lengths(corpus: DataFrame, fulltext: bool = False) -> DataFrame:
@@ -142,7 +118,15 @@ def with_lengths(corpus: DataFrame, fulltext: bool = False) -> DataFrame:
     if fulltext:
         kept = lambda c: F.size(F.filter(tx.fulltext_words(c), lambda w: ~w.isin(tx.FULLTEXT_STOP_WORDS)))
         return corpus.withColumn("lengths", F.array(*[kept(c) for c in _lowered("|")]))
-    return corpus.withColumn("lengths", F.array(*[F.size(tx.tokens(c)) for c in _lowered()]))
+    limit_arrow_batches(corpus.sparkSession)
+    count, delimiters = grouping.count_tokens, tx.DELIMITER_BYTES
+
+    @F.arrow_udf("int")
+    def n_tokens(texts: pa.Array) -> pa.Array:
+        return count(texts, delimiters)
+
+    # Lower case has the same delimiters.
+    return corpus.withColumn("lengths", F.array(n_tokens("title"), n_tokens("content"), n_tokens(F.array_join("categories", " "))))
 
 
 def field_lengths(corpus: DataFrame) -> DataFrame:

@@ -1,11 +1,13 @@
 import random
+import re
 
 import duckdb
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pagelode.catalog.stem_sql import duckdb_stem
-from pagelode.functions import markup, porter2, text as tx
+from pagelode.functions import grouping, markup, porter2, text as tx
 from pagelode.functions.stemming import with_stem
 from pagelode.operators import postings as ps
 from pagelode.sources import codecs
@@ -68,6 +70,30 @@ def test_positions_survive_dropped_tokens(corpus):
     assert not [k for k in rows if k[2] == 3 and k[1] < 2]
 
 
+def test_words_of_a_batch_are_grouped_on_arrays(spark):
+    """Words of odd texts are grouped by term as one by one, in batches of texts and without a row per word."""
+    rnd = random.Random(5)
+    letters = "aab\u00e9R1.,(!- \t\n\r\f\x0b\x01  "
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 40))) for _ in range(300)]
+    texts += [None, "", " \n", "Rivers the rivers. (RIVER)", "x" * 1_000_000 + " a" * 3, "\x01a the"]
+    frame = spark.createDataFrame([(i, t, t, [t, None] if i % 2 else None) for i, t in enumerate(texts)], "doc_id bigint, title string, content string, categories array<string>")
+    want = {}
+    for i, t in enumerate(texts):
+        for field, text in enumerate((t, t, t if i % 2 else None)):
+            toks = [x for x in re.split(tx.DELIMITERS, (text or "").lower()) if x]
+            for at, token in enumerate(toks):
+                word = re.fullmatch(r"[!-/:-@\[-`{-~]*[\x00-\x20]*([a-z0-9]+)[\x00-\x20]*[!-/:-@\[-`{-~]*", token)
+                if word and word[1] not in tx.STOP_WORDS:
+                    want.setdefault((porter2.stem(word[1]), field, i), ([], len(toks)))[0].append(at)
+    rows = ps.build_postings(frame).collect()
+    assert {(r.term, r.field, r.doc_id): (r.positions, r.field_len) for r in rows} == want and len(rows) == len(want)
+    assert all(r.tf == len(r.positions) for r in rows)
+    lens = {(r.doc_id, r.field): r.len for r in ps.field_lengths(frame).collect()}
+    assert all(lens[i, 1] == (None if t is None else len([x for x in re.split(tx.DELIMITERS, t) if x])) for i, t in enumerate(texts))
+    sizes, words = grouping.split_tokens(pa.array(["z", "ab", None, "c d"]).slice(1), tx.DELIMITER_BYTES)
+    assert list(sizes) == [1, 0, 2] and words.to_pylist() == [b"ab", b"c", b"d"]
+
+
 def test_lengths_and_statistics(corpus):
     lens = {(r.doc_id, r.field): r.len for r in ps.field_lengths(corpus).collect()}
     assert lens[0, 1] == 8 and lens[3, 1] == 3 and lens[2, 2] == 4
