@@ -94,26 +94,36 @@ def count_tokens(texts: pa.Array, delimiters: bytes) -> pa.Array:
     return pa.array(counts, pa.int32(), mask=texts.is_null().to_numpy(zero_copy_only=False))
 
 
-def group_words(sizes: np.ndarray, words: pa.Array, terms_of: Callable, all_tokens: bool) -> tuple:
-    """Words of texts to one entry per (text, term): the text's number, term, start of its positions and end, length of the text
-    (all words, or those that have a term); and all positions."""
+def group_words(sizes: np.ndarray, words: pa.Array, terms_of: Callable, all_tokens: bool, field: np.ndarray) -> tuple:
+    """Words of texts to one entry per (text, term), ordered by field, term and text: the text's number, term, start of its positions
+    and end, length of the text (all words, or those that have a term); and all positions."""
     row = np.repeat(np.arange(len(sizes)), sizes)
     position = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     encoded = words.dictionary_encode()
     terms = terms_of(encoded.dictionary).dictionary_encode()
-    place = terms.indices.cast(pa.int64()).fill_null(-1).to_numpy()
-    term = place[encoded.indices.to_numpy()]
+    by_name = pc.sort_indices(terms.dictionary)
+    place = np.empty(len(by_name) + 1, dtype=np.int64)
+    place[by_name.to_numpy()] = np.arange(len(by_name))
+    place[-1] = -1  # words without a term
+    term = place[terms.indices.fill_null(-1).to_numpy()][encoded.indices.to_numpy()]
     kept = term >= 0
     row, position, term = row[kept], position[kept], term[kept]
     lengths = sizes if all_tokens else np.bincount(row, minlength=len(sizes))
-    key = row * max(len(terms.dictionary), 1) + term
-    # Positions ascend within a text, so a stable sort leaves those of a term in order.
+    # Positions ascend within a text, so a stable sort leaves those of a term in order. An index is stored in this order: its sort
+    # then meets long runs that are sorted already.
+    key = (field[row] * len(by_name) + term) * len(sizes) + row
     order = np.argsort(key, kind="stable")
     key = key[order]
     starts = np.flatnonzero(np.diff(key, prepend=-1))
     ends = np.append(starts[1:], len(key))
     row = row[order[starts]]
-    return row, terms.dictionary.take(pa.array(term[order[starts]])), starts, ends, lengths[row], position[order].astype(np.int32)
+    return row, terms.dictionary.take(by_name.take(pa.array(term[order[starts]]))), starts, ends, lengths[row], position[order].astype(np.int32)
+
+
+def in_order(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Batches as one, sorted by ``field`` and ``doc_id``."""
+    whole = pa.concat_batches(batches)
+    return whole.take(pc.sort_indices(whole.select(["field", "doc_id"]), [("field", "ascending"), ("doc_id", "ascending")]))
 
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,18 +131,19 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if held and sum(b.nbytes for b in held) + batch.nbytes > IN_BYTES:
-            yield pa.concat_batches(held)
+            yield in_order(held)
             held = []
         held.append(batch)
     if held:
-        yield pa.concat_batches(held)
+        yield in_order(held)
 
 
 def posting_batches(
     batch: pa.RecordBatch, sizes: np.ndarray, words: pa.Array, terms_of: Callable, all_tokens: bool
 ) -> Iterator[pa.RecordBatch]:
-    """The postings of a batch with ``doc_id`` and ``field``."""
-    row, terms, starts, ends, lengths, positions = group_words(sizes, words, terms_of, all_tokens)
+    """The postings of a batch with ``doc_id`` and ``field``, sorted by them."""
+    field = batch["field"].to_numpy().astype(np.int64)
+    row, terms, starts, ends, lengths, positions = group_words(sizes, words, terms_of, all_tokens, field)
     for at in range(0, len(row), OUT_ROWS):
         some = slice(at, at + OUT_ROWS)
         first, last = starts[some], ends[some]
