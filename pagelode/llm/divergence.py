@@ -31,7 +31,7 @@ MIN_DOCS, TOP_TERMS = 10, 10
 VOCABULARY = (1 << 31) - 1
 ONE = 1_000_000_000
 #: Terms in a task's sums before they are sent on, bytes of text looked at together, sources and terms of a tile.
-HELD, SLICE, TILE, TERMS = 200_000, 1 << 20, 128, 4096
+HELD, SLICE, TILE, TERMS = 300_000, 1 << 20, 128, 4096
 
 GROUP = ["lang", "source"]
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
@@ -54,11 +54,16 @@ def group_vectors(docs: DataFrame) -> DataFrame:
     group, and a row with an empty term for each group. Sums of a task are sent on when they hold ``HELD`` terms."""
 
     def send(groups):
-        rows = [(*g, t, n, seen[t]) for g, (counts, seen) in groups.items() for t, n in counts.items()]
-        rows += [(*g, b"", 0, 0) for g in groups]
-        lang, source, term, n, seen = zip(*rows, strict=True)
-        names = [pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(term, pa.binary()).cast(pa.string())]
-        return pa.RecordBatch.from_arrays([*names, pa.array(n, pa.int64()), pa.array(seen, pa.int64())], names=["lang", "source", "term", "n", "docs"])
+        sizes = [len(counts) + 1 for counts, _ in groups.values()]
+        of_row = pa.array(np.repeat(np.arange(len(groups)), sizes))
+        lang, source = (pa.array(names, pa.string()).take(of_row) for names in zip(*groups, strict=True))
+        terms, n, documents = [], [], []
+        for counts, seen in groups.values():
+            terms += [b"", *counts]
+            n += [0, *counts.values()]
+            documents += [0, *map(seen.__getitem__, counts)]
+        terms = pa.array(terms, pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays([lang, source, terms, pa.array(n, pa.int64()), pa.array(documents, pa.int64())], names=["lang", "source", "term", "n", "docs"])
 
     def run(batches):
         groups, held = defaultdict(lambda: (Counter(), Counter())), 0
