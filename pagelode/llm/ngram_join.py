@@ -173,8 +173,15 @@ def signatures(rare: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
+def additions(tokens: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Index values of a set, its ``tokens`` in order, that its first tokens do not give: with those of these that are not
+    ``often``, its ``signatures``. A set with rare tokens enough has one for each frequent token among the first."""
+    first = misses(len(tokens)) + 1
+    return np.setdiff1d(signatures(tokens[~often], tokens[often]), tokens[:first][~often[:first]])
+
+
 def extended(texts: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``bucket, node, n`` of texts under the token classes that the written table ``frequent`` (token) makes. The
+    """``bucket, node, n``: the ``additions`` of texts under the token classes that the written table ``frequent`` (token) makes. The
     class goes to the tasks as a sorted array while it fits a broadcast; beyond, tokens are joined with it."""
     if frequent.count() * 8 <= BROADCAST_BYTES:
         # Bounded by the check above: the frequent tokens, not the corpus.
@@ -190,8 +197,7 @@ def extended(texts: DataFrame, frequent: DataFrame) -> DataFrame:
                     name = set_name(tokens)
                     if name not in seen:
                         seen.add(name)
-                        flags = np.isin(tokens, often)
-                        found.append(signatures(tokens[~flags], tokens[flags]))
+                        found.append(additions(tokens, np.isin(tokens, often)))
                         nodes.append(name)
                         sizes.append(len(tokens))
                 yield _index_rows(nodes, sizes, found[1:])
@@ -204,7 +210,7 @@ def extended(texts: DataFrame, frequent: DataFrame) -> DataFrame:
             for tokens, often in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 own, flags = np.array(tokens, np.int64).view(np.uint64), np.array(often, bool)
                 order = np.argsort(own)
-                found.append(signatures(own[order][~flags[order]], own[order][flags[order]]))
+                found.append(additions(own[order], flags[order]))
             yield _index_rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), found)
 
     flags = token_sets(texts).select("node", "n", F.explode("tokens").alias("token"))
@@ -228,7 +234,7 @@ def _index_rows(nodes: list, sizes: list, found: list[np.ndarray]) -> pa.RecordB
 def index_members(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, frequent: int) -> DataFrame:
     """``bucket, node, n`` of the index buckets with two nodes or more, written. Tokens that tasks have noted often
     are frequent from the start; should a single token's bucket still be too large, it becomes
-    frequent too and the index is made again, until none is."""
+    frequent too, until none is. Rows of frequent tokens give way to the ``additions`` of their nodes; all others stay."""
     index = nodes.where("prefix IS NOT NULL").select(F.explode("prefix").alias("bucket"), "node", "n")
     noted = nodes.where("often IS NOT NULL").select(F.inline(F.arrays_zip("often", "often_n"))).groupBy(F.col("often").alias("token"))
     classes = materialise(noted.agg(F.sum("often_n").alias("k")).where(F.col("k") > frequent).select("token"), "frequent")
@@ -237,7 +243,7 @@ def index_members(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, fre
         rows = index
         if not touched.isEmpty():
             new = extended(wanted_texts(docs, doc_id, text, nodes, touched), classes)
-            rows = index.join(checked(touched), "node", "left_anti").select("bucket", "node", "n").union(new)
+            rows = index.join(checked(classes), F.col("bucket") == F.col("token"), "left_anti").union(new)
         members = shared(rows)
         large = members.where(F.col("many") > 4 * frequent).select(F.col("bucket").alias("token")).distinct()
         # Of the large buckets, those of single tokens: values that stand in some prefix.

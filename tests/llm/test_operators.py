@@ -96,6 +96,29 @@ def test_pairs_of_frequent_tokens_meet():
                 assert (bits[0] != bits[1]).sum() <= len(np.setxor1d(a, b))
 
 
+@pytest.mark.parametrize("limit", [32 << 20, -1])
+def test_index_rows_of_rare_tokens_stay(spark, monkeypatch, limit):
+    """A frequent token gives way to one row; rows of the rare ones among the first are not made again, whether the class is sent or joined."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_BYTES", limit)
+    draw, known = random.Random(9), common.WordHash()
+    texts = [" ".join(str(draw.randrange(10**6)) for _ in range(204)) for _ in range(3)]
+    sets = [common.distinct_shingles(t.encode(), 5, known) for t in texts]
+    first = ngram_join.misses(200) + 1
+    often = np.sort(np.concatenate([sets[0][[0, 5]], sets[1][first - 1 :], sets[2][first:]]))
+    classes = materialise(spark.createDataFrame([(int(t),) for t in often.view(np.int64)], "token bigint"), "classes")
+    found = defaultdict(list)
+    for bucket, node, n in ngram_join.extended(spark.createDataFrame([(t,) for t in texts], "text string"), classes).collect():
+        assert n == 200
+        found[node].append(bucket)
+    for own in sets:
+        flags = np.isin(own, often)
+        kept, added = own[:first][~flags[:first]], np.array(found[ngram_join.set_name(own)], np.int64).view(np.uint64)
+        assert not len(np.intersect1d(kept, added))
+        assert np.union1d(kept, added).tolist() == np.unique(ngram_join.signatures(own[~flags], own[flags])).tolist()
+        if (~flags).sum() >= first:
+            assert len(added) == flags[:first].sum()
+
+
 def test_first_of_each_keeps_one(docs, rows, odd):
     want = {(c if n else d) for d, n, c in plain.near_copies(texts(rows))}
     kept = ngram_join.first_of_each(docs)
