@@ -18,6 +18,7 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,8 @@ SPAN, LEAST_RUN = 6, 16
 RECALL, MOST_HASHES = 0.98, 20
 #: Words hashed at a time (a longer text alone), and nodes that a task remembers to band each once.
 SLICE, SEEN = 1 << 17, 1 << 20
+#: Parts in which bands are shuffled.
+PARTS = 3
 
 RESULT = ["n_words", "n_removed", "removed_words", "kept_sha256", "kept"]
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -210,11 +213,21 @@ def _lists(given: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(~given, False)), pa.array(flat))
 
 
+def band_members(places: DataFrame, bands: int) -> list[DataFrame]:
+    """``bucket, node, n`` of the bands that two nodes or more share, written in up to ``PARTS`` parts of some bands each: what is
+    shuffled lies on disk beside the places, a part at a time."""
+    banded = places.where("bands IS NOT NULL")
+    step = math.ceil(bands / PARTS)
+    return [shared(banded.select(F.explode(F.slice("bands", low, step)).alias("bucket"), "node", "n")) for low in range(1, bands + 1, step)]
+
+
 def paragraph_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: tuple[int, int] | None = None) -> DataFrame:
     """``doc_id, mark, start, words, label, removed``: every paragraph that has a near copy elsewhere, written. ``removed``: it is not the
     first of its group. Rows alike in id and text are one document."""
-    places = paragraph_places(docs, doc_id, text, bands or tuned_bands())
-    members = shared(places.where("bands IS NOT NULL").select(F.explode("bands").alias("bucket"), "node", "n")).drop("many")
+    bands = bands or tuned_bands()
+    places = paragraph_places(docs, doc_id, text, bands)
+    parts = band_members(places, bands[0])
+    members = reduce(DataFrame.union, parts).drop("many")
     near = materialise(members.select("node").distinct(), "near")
     sets = paragraph_sets(docs, doc_id, text, near)
     sketches = materialise(sets.select("node", "n", "bits"), "sketches")
@@ -231,7 +244,7 @@ def paragraph_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     firsts = materialise(labelled.groupBy("label").agg(F.min(place).alias("first")), "firsts")
     found = labelled.join(checked(firsts), "label").withColumn("removed", place != F.col("first")).drop("first")
     found = materialise(found.distinct(), "groups")
-    discard(places, members, near, sets, sketches, links, labelled, firsts)
+    discard(places, *parts, near, sets, sketches, links, labelled, firsts)
     return found
 
 
@@ -246,6 +259,19 @@ def long_runs(removed: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     return [run for run in runs if run[1] >= LEAST_RUN]
 
 
+def removed_runs(groups: DataFrame) -> DataFrame:
+    """``doc_id, mark, runs`` of the documents that lose words by ``paragraph_groups``, written: their ``long_runs`` end to end. Paragraphs in shorter
+    runs, and documents with no others, are left behind here, before the texts are met."""
+
+    @F.pandas_udf("array<int>")
+    def joined(lists: pd.Series) -> pd.Series:
+        runs = (long_runs([tuple(map(int, p)) for p in gone]) for gone in lists)
+        return pd.Series([[n for run in found for n in run] or None for found in runs], dtype=object)
+
+    gone = groups.where("removed").groupBy("doc_id", "mark").agg(F.collect_list(F.array("start", "words")).alias("places"))
+    return materialise(gone.select("doc_id", "mark", joined("places").alias("runs")), "gone").where("runs IS NOT NULL")
+
+
 def without_runs(raw: bytes, runs: list[tuple[int, int, int]]) -> bytes:
     """A text without runs of its words, each up to the next word."""
     if not runs:
@@ -266,7 +292,7 @@ def _cut(whole: bool):
         rows = []
         for text, gone in zip(texts, lists):
             raw = (text or "").encode()
-            runs = [] if gone is None else long_runs([tuple(map(int, p)) for p in gone])
+            runs = [] if gone is None else [tuple(run) for run in gone.reshape(-1, 3).tolist()]
             kept = without_runs(raw, runs)
             row = (len(raw.split()), sum(r[2] for r in runs), sum(r[1] for r in runs), hashlib.sha256(kept).hexdigest())
             rows.append((*row, kept.decode()) if whole else row)
@@ -282,9 +308,8 @@ def remove_near_paragraphs(
     stays, and with ``whole`` that text as ``kept``. ``bands`` (bands, rows a band) are tuned where not given."""
     names = RESULT[: 5 if whole else 4]
     columns = [c for c in docs.columns if c not in names]
-    gone = paragraph_groups(docs, doc_id, text, bands).where("removed")
-    gone = materialise(gone.groupBy("doc_id", "mark").agg(F.collect_list(F.array("start", "words")).alias("runs")), "gone")
-    size = gone.agg(F.count(F.lit(1)) * 64 + F.coalesce(F.sum(F.size("runs")), F.lit(0)) * 32).first()[0]
+    gone = removed_runs(paragraph_groups(docs, doc_id, text, bands))
+    size = gone.agg(F.count(F.lit(1)) * 96 + F.coalesce(F.sum(F.size("runs")), F.lit(0)) * 4).first()[0]
     gone = gone.select(F.col("doc_id").alias("__d"), F.col("mark").alias("__m"), F.col("runs").alias("__runs"))
     gone = F.broadcast(gone) if size <= BROADCAST_BYTES else gone
     same = (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__m")) & F.col(doc_id).cast("bigint").eqNullSafe(F.col("__d"))

@@ -187,6 +187,16 @@ def test_paragraphs_joined_by_shuffles(spark, rows, monkeypatch):
     assert collected(found, "doc_id", "n_removed", "removed_words", "kept_sha256") == plain_without_copies(few)
 
 
+def test_runs_are_joined_before_texts_are_met(spark):
+    """Only documents that lose words meet their texts, with joined runs; a part of the bands is shuffled at a time."""
+    rows = [(1, 7, 0, 9, True), (1, 7, 9, 8, True), (1, 7, 40, 15, True), (2, 7, 3, 15, True), (None, 8, 50, 20, True), (None, 8, 5, 16, True), (3, 9, 0, 30, False)]
+    groups = spark.createDataFrame(rows, "doc_id bigint, mark bigint, start int, words int, removed boolean")
+    assert collected(paragraphs.removed_runs(groups), "doc_id", "mark", "runs") == [(1, 7, [0, 17, 2]), (None, 8, [5, 16, 1, 50, 20, 1])]
+    places = spark.createDataFrame([(1, 5, [10, 20, 30, 40]), (2, 5, [11, 20, 30, 41]), (3, 5, [12, 21, 30, 40]), (1, 5, None)], "node bigint, n int, bands array<bigint>")
+    parts = [collected(part, "bucket", "node") for part in paragraphs.band_members(places, 4)]
+    assert parts == [[(20, 1), (20, 2)], [(30, 1), (30, 2), (30, 3), (40, 1), (40, 3)]]
+
+
 def test_passages_inside_lines(spark):
     """Passages of 51 to 90 words are found wherever they stand; common lines of a dozen words stay."""
     draw = random.Random(5)
