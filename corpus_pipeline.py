@@ -40,7 +40,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of what they decode to."""
     limit_arrow_batches(spark)
-    found = bpe_tree.encode_documents(docs.select("doc_id", "source", "text"), tokenizer_path(), whole=True)
+    found = bpe_tree.encode_documents(docs.select("doc_id", "source", "text"), tokenizer_path(), whole=True, decoded=False)
     return found.select("doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 

@@ -7,7 +7,8 @@ there and a later token equals the right side's. A sequence of BPE tokens is the
 text exactly if every two neighbours are, so the joined sequence is that of the whole text.
 
 Inside a leaf, words between blanks are independent of each other in this vocabulary, so they are
-encoded once and remembered; so are the letter runs in them.
+encoded once and remembered; so are the letter runs in them. A worker holds one text at a time as Python
+objects, a batch only as Arrow columns, and forgets its words when a task ends.
 
 Defined results: a null or empty text has no ids and decodes to an empty text; repeated rows give
 repeated rows; equal long texts are encoded once; an empty table gives an empty result; columns
@@ -15,15 +16,17 @@ pass through unless they bear the name of a result column, which replaces them."
 
 import hashlib
 import unicodedata
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagelode.llm.common import release
 from pagelode.session import materialise
 
 #: Characters of a leaf: longer texts are joined from several.
@@ -31,7 +34,7 @@ LEAF = 1 << 15
 #: Tokens at each side of a join in the first window.
 WINDOW = 16
 #: Words and letter runs that a worker remembers.
-MEMORY = 1 << 17
+MEMORY = 1 << 16
 
 #: Fixed values of the vocabulary's format: how it splits words, and its special tokens.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -48,6 +51,20 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Remembered(dict):
+    """Values by key, made when they are first asked for; all are forgotten when there are too many."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key: str):
+        value = self.make(key)
+        if len(self) >= MEMORY:
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """The tokenizer of one worker, with its memory."""
 
@@ -64,8 +81,9 @@ class Encoder:
         self.plain = regex.compile("[\\x21-\\x7eÀ-įı-ſ]*")
         self.characters = _byte_characters()
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.runs: dict[str, tuple[bytes, str]] = {}
+        self.values = [self.tokenizer.id_to_token(i) for i in range(len(self.packed))]
+        self.words = Remembered(self._word)
+        self.runs = Remembered(self._run)
 
     @classmethod
     def load(cls, path: str) -> "Encoder":
@@ -73,40 +91,30 @@ class Encoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def _known(self, tokens) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit integers, and tokens joined by blanks."""
-        return b"".join([self.packed[t] for t, _ in tokens]), " ".join([value for _, value in tokens])
-
-    def run(self, run: str) -> tuple[bytes, str]:
-        """Encoding of a letter run, a digit or a run of signs, in lower case."""
-        if run not in self.runs:
-            shown = run if run.isascii() else "".join([self.characters[b] for b in run.encode()])
-            if len(self.runs) >= MEMORY:
-                self.runs.clear()
-            self.runs[run] = self._known([(t.id, t.value) for t in self.tokenizer.model.tokenize(shown)])
-        return self.runs[run]
-
-    def word(self, word: str) -> tuple[bytes, str]:
-        """Encoding of what stands between two blanks."""
-        if word in self.words:
-            return self.words[word]
+    def _run(self, run: str) -> bytes:
+        """Ids of a letter run, a digit or a run of signs in lower case, as little-endian 32-bit integers."""
+        shown = run if run.isascii() else "".join([self.characters[b] for b in run.encode()])
+        return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(shown)])
+
+    def _word(self, word: str) -> bytes:
+        """Ids of what stands between two blanks."""
         if word.isascii() and word.isalpha():
-            found = self.run(word.lower())
-        elif "<|" not in word and self.plain.fullmatch(word):
-            runs = [self.run(run) for run in self.pretokens.findall(word.lower())]
-            found = b"".join([r[0] for r in runs]), " ".join([r[1] for r in runs])
-        else:
-            encoding = self.tokenizer.encode(word, add_special_tokens=False)
-            found = self._known(list(zip(encoding.ids, encoding.tokens)))
-        if len(self.words) >= MEMORY:
-            self.words.clear()
-        self.words[word] = found
-        return found
+            return self.runs[word.lower()]
+        if "<|" not in word and self.plain.fullmatch(word):
+            return b"".join([self.runs[run] for run in self.pretokens.findall(word.lower())])
+        return b"".join([self.packed[i] for i in self.tokenizer.encode(word, add_special_tokens=False).ids])
 
     def leaf(self, text: str) -> tuple[bytes, str]:
         """Ids and decoded text of a whole short text; blanks and line ends separate words."""
-        found = [self.word(w) for w in text.replace("\n", " ").split(" ") if w]
-        return b"".join([w[0] for w in found]), " ".join([w[1] for w in found if w[1]])
+        words, values = self.words, self.values
+        ids = b"".join([words[w] for w in text.replace("\n", " ").split(" ") if w])
+        return ids, " ".join([values[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+    def forget(self) -> None:
+        """Drop what was remembered; workers go from stage to stage."""
+        self.words.clear()
+        self.runs.clear()
+        release()
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids with the first and the last character position of each."""
@@ -178,27 +186,38 @@ def join_encodings(encoder: Encoder, left: tuple, right: tuple, window: int = WI
         window *= 2
 
 
-_DIGEST = T.StructType(
-    [
-        T.StructField("n_tokens", T.LongType()),
-        T.StructField("ids_sha256", T.StringType()),
-        T.StructField("decoded_sha256", T.StringType()),
-    ]
-)
-_WHOLE = T.StructType([*_DIGEST.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+_KINDS = dict(zip(RESULT, [T.LongType(), T.StringType(), T.StringType(), T.ArrayType(T.IntegerType()), T.StringType()]))
+
+
+def _struct(results: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, _KINDS[name]) for name in results])
 
 
-def _row(ids: bytes, decoded: str, whole: bool) -> tuple:
-    digest = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
-    return (*digest, np.frombuffer(ids, "<u4").astype("int32"), decoded) if whole else digest
+def result_columns(found: Iterable[tuple[bytes, str]], results: list[str]) -> list[pa.Array]:
+    """The ``results`` of encoded texts, given as ids and decoded text, in Arrow columns: ids go on from bytes as they are, without an object each."""
+    counts, digests, ids, decoded = [], [], bytearray(), []
+    for own, text in found:
+        counts.append(len(own) // 4)
+        digests.append((hashlib.sha256(own).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+        if "ids" in results:
+            ids += own
+        if "decoded" in results:
+            decoded.append(text)
+    columns = [pa.array(counts, pa.int64()), *[pa.array([d[i] for d in digests], pa.string()) for i in (0, 1)]]
+    if "ids" in results:
+        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+        columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(ids, "<i4"), pa.int32())))
+    return [*columns, pa.array(decoded, pa.string())] if "decoded" in results else columns
 
 
-def _short(path: str, whole: bool):
-    @F.pandas_udf(_WHOLE if whole else _DIGEST)
-    def encode(texts: pd.Series) -> pd.DataFrame:
+def _short(path: str, results: list[str]):
+    @F.arrow_udf(_struct(results))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         encoder = Encoder.load(path)
-        rows = [_row(*encoder.leaf(t or ""), whole) for t in texts]
-        return pd.DataFrame(rows, columns=RESULT[: 5 if whole else 3])
+        for texts in batches:
+            yield pa.StructArray.from_arrays(result_columns((encoder.leaf(t.as_py() or "") for t in texts), results), names=results)
+        encoder.forget()
 
     return encode
 
@@ -227,56 +246,69 @@ def unpacked(value: bytes) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
     return data[4 * count :].decode(), ids, starts, starts + widths
 
 
-def encode_long(texts: DataFrame, path: str, leaf: int, whole: bool) -> DataFrame:
+def _node(key: str, node: int, parts: int, value: bytes) -> pa.RecordBatch:
+    columns = [pa.array([key], pa.string()), pa.array([node], pa.int64()), pa.array([parts], pa.int64()), pa.array([value], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "node", "parts", "packed"])
+
+
+def encode_long(texts: DataFrame, path: str, leaf: int, results: list[str]) -> DataFrame:
     """Results for distinct long ``texts`` (key, text): a row for each leaf, joined level by level; a
     group is two neighbours. A text whose parts are all joined takes no part in further levels. Tasks hand on
     each row as soon as it is made, so that a worker holds one encoded text and not a batch of them."""
 
-    def cut(batches):
+    def rows(batches):
         for batch in batches:
-            for key, text in zip(batch["key"], batch["text"]):
-                found = leaves(text, leaf)
-                yield pd.DataFrame([(key, n, len(found), part) for n, part in enumerate(found)], columns=["key", "node", "parts", "text"])
+            for values in zip(*batch.columns):
+                yield [v.as_py() for v in values]
+
+    def cut(batches):
+        for key, text in rows(batches):
+            found = leaves(text, leaf)
+            columns = [pa.array([key] * len(found), pa.string()), *[pa.array(c, pa.int64()) for c in (range(len(found)), [len(found)] * len(found))]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string())], names=["key", "node", "parts", "text"])
 
     def encode(batches):
+        release()
         encoder = Encoder.load(path)
-        for batch in batches:
-            for key, node, parts, text in zip(batch["key"], batch["node"], batch["parts"], batch["text"]):
-                yield pd.DataFrame([(key, node, parts, packed(text, *encoder.spans(text)))], columns=["key", "node", "parts", "packed"])
+        for key, node, parts, text in rows(batches):
+            yield _node(key, node, parts, packed(text, *encoder.spans(text)))
+        encoder.forget()
 
-    def join(pair: pd.DataFrame) -> pd.DataFrame:
-        pair = pair.sort_values("node")
-        found = join_encodings(Encoder.load(path), *(unpacked(value) for value in pair["packed"]))
-        first = pair.iloc[0]
-        return pd.DataFrame([(first["key"], first["node"] // 2, first["parts"] // 2, packed(*found))], columns=list(pair.columns))
+    def join(pair: pa.Table) -> pa.Table:
+        first, *others = pair.sort_by("node").to_pylist()
+        found = join_encodings(Encoder.load(path), *(unpacked(node["packed"]) for node in (first, *others)))
+        return pa.Table.from_batches([_node(first["key"], first["node"] // 2, first["parts"] // 2, packed(*found))])
 
     def finish(batches):
-        for batch in batches:
-            encoder = Encoder.load(path)
-            for key, value in zip(batch["key"], batch["packed"]):
-                ids = unpacked(value)[1]
-                found = _row(ids.astype("<u4").tobytes(), encoder.decode(ids), whole)
-                yield pd.DataFrame([(key, *found)], columns=["key", *RESULT[: 5 if whole else 3]])
-
-    parts = texts.mapInPandas(cut, "key string, node bigint, parts bigint, text string").repartition("key", "node")
-    nodes = materialise(parts.mapInPandas(encode, _NODE), "leaves")
+        release()
+        encoder = Encoder.load(path)
+        for key, value in rows(batches):
+            ids = unpacked(value)[1]
+            columns = result_columns([(ids.astype("<u4").tobytes(), encoder.decode(ids))], results)
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.string()), *columns], names=["key", *results])
+        encoder.forget()
+
+    parts = texts.select("key", "text").mapInArrow(cut, "key string, node bigint, parts bigint, text string").repartition("key", "node")
+    nodes = materialise(parts.mapInArrow(encode, _NODE), "leaves")
     done = nodes.where("parts = 1")
     most = nodes.agg(F.max("parts")).first()[0] or 1
     while most > 1:
         open_ = nodes.where("parts > 1")
-        nodes = open_.groupBy("key", F.shiftright("node", 1).alias("pair")).applyInPandas(lambda pair: join(pair), _NODE)
+        # Without type hints, Spark takes a function of one argument as one from table to table.
+        nodes = open_.groupBy("key", F.shiftright("node", 1).alias("pair")).applyInArrow(lambda pair: join(pair), _NODE)
         nodes, most = materialise(nodes, "joined"), most // 2
         done = done.union(nodes.where("parts = 1"))
-    out = T.StructType([T.StructField("key", T.StringType()), *(_WHOLE if whole else _DIGEST).fields])
-    return materialise(done.select("key", "packed").mapInPandas(finish, out), "encoded")
+    out = T.StructType([T.StructField("key", T.StringType()), *_struct(results).fields])
+    return materialise(done.select("key", "packed").mapInArrow(finish, out), "encoded")
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text", whole: bool = False, leaf: int = LEAF) -> DataFrame:
-    """``docs`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``, and with ``whole`` also ``ids`` and
-    ``decoded``. ``path`` is a tokenizer file at the same place on every machine."""
-    kept = [c for c in docs.columns if c not in RESULT[: 5 if whole else 3]]
+def encode_documents(docs: DataFrame, path: str, text: str = "text", whole: bool = False, leaf: int = LEAF, decoded: bool = True) -> DataFrame:
+    """``docs`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``, and with ``whole`` also ``ids`` and, unless ``decoded``
+    is off, the ``decoded`` text itself. ``path`` is a tokenizer file at the same place on every machine."""
+    results = RESULT[: 3 if not whole else 5 if decoded else 4]
+    kept = [c for c in docs.columns if c not in results]
     long_ = F.coalesce(F.length(text) > leaf, F.lit(False))
-    short = docs.where(~long_).select(*kept, _short(path, whole)(F.col(text)).alias("__e")).select(*kept, "__e.*")
+    short = docs.where(~long_).select(*kept, _short(path, results)(F.col(text)).alias("__e")).select(*kept, "__e.*")
     rows = docs.where(long_).withColumn("__key", F.sha2(text, 256))
-    found = encode_long(rows.select(F.col("__key").alias("key"), F.col(text).alias("text")).dropDuplicates(["key"]), path, leaf, whole)
-    return short.union(rows.join(found.withColumnRenamed("key", "__key"), "__key").select(*kept, *RESULT[: 5 if whole else 3]))
+    found = encode_long(rows.select(F.col("__key").alias("key"), F.col(text).alias("text")).dropDuplicates(["key"]), path, leaf, results)
+    return short.union(rows.join(found.withColumnRenamed("key", "__key"), "__key").select(*kept, *results))

@@ -35,6 +35,26 @@ def test_encoding_equals_the_library(docs, rows):
     assert got == sorted([(d, *plain.encoded(tokenizer, t)) for d, t in texts(rows)], key=repr)
 
 
+def test_whole_encoding_hands_on_what_is_asked_for(docs, rows):
+    tokenizer = Tokenizer.from_file(PATH)
+    want = sorted([(d, tokenizer.encode(t or "", add_special_tokens=False).ids) for d, t in texts(rows)], key=repr)
+    got = bpe_tree.encode_documents(docs, PATH, whole=True, leaf=97, decoded=False)
+    assert "decoded" not in got.columns and collected(got, "doc_id", "ids") == want
+    got = bpe_tree.encode_documents(docs, PATH, whole=True, leaf=97)
+    assert collected(got, "doc_id", "ids", "decoded") == sorted([(d, ids, tokenizer.decode(ids, skip_special_tokens=False)) for d, ids in want], key=repr)
+
+
+def test_workers_forget_words_when_a_task_ends(docs):
+    assert len(collected(bpe_tree.encode_documents(docs, PATH, whole=True), "doc_id", "ids"))
+
+    def held(batches):
+        encoder = bpe_tree.Encoder.load(PATH)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(encoder.words) + len(encoder.runs)] * batch.num_rows, pa.int64())], names=["held"])
+
+    assert {r.held for r in docs.select("doc_id").mapInArrow(held, "held bigint").collect()} == {0}
+
+
 def test_joins_of_parts_without_blanks():
     encoder, draw = bpe_tree.Encoder.load(PATH), random.Random(4)
     letters = ["a", "th", "é", "'s", "'", "!!", "1", "日", " ", "\n", "é", "<|endoftext|>", "ABC", "İ", "가", "😀", "'ll"]
