@@ -5,15 +5,17 @@ The unit of work is a table of queries; a single query is a table of one row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from copy import copy
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from pagelode.functions import scoring
 from pagelode.operators.joins import keep_matching, spread_join
-from pagelode.plans import query_terms as qt
+from pagelode.plans import query_batches, query_terms as qt
 from pagelode.session import discard, materialise
 from pagelode.sources.index_store import SearchIndex
 
@@ -22,6 +24,8 @@ MAX_RESULTS = 1000
 #: lies on disk meanwhile does not grow with queries times documents.
 PAIRS_AT_ONCE = 4_000_000
 KEY = ["query_id", "doc_id"]
+#: Decimals of a printed score; totals are compared by them.
+PRINTED_DIGITS = 8
 
 
 class AnalysedQueries:
@@ -43,18 +47,35 @@ class AnalysedQueries:
         """``query_id, n``: at least the (query, document) pairs matched in titles, from the terms' frequencies alone."""
         return self.terms.where("field = 0").groupBy("query_id").agg(F.sum("df").alias("n"))
 
-    def batches(self) -> list["AnalysedQueries"]:
-        """The queries dealt by a hash to batches of about ``PAIRS_AT_ONCE`` pairs each."""
-        n = -(-(self.pairs_bound().agg(F.sum("n")).first()[0] or 1) // PAIRS_AT_ONCE)
+    def n_batches(self) -> int:
+        """How many batches of about ``PAIRS_AT_ONCE`` pairs the queries make."""
+        return -(-(self.pairs_bound().agg(F.sum("n")).first()[0] or 1) // PAIRS_AT_ONCE)
+
+    def batches(self, n: int | None = None) -> list["AnalysedQueries"]:
+        """The queries dealt by a hash to ``n`` batches (``n_batches``)."""
+        n = n or self.n_batches()
         if n == 1:
             return [self]
-        out = []
-        for i in range(n):
-            part = copy(self)
-            mine = F.pmod(F.xxhash64("query_id"), F.lit(n)) == i
-            part.lists, part.terms, part.freq = (t.where(mine) for t in (self.lists, self.terms, self.freq))
-            out.append(part)
-        return out
+        return [self.part(lambda t: t.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i)) for i in range(n)]
+
+    def part(self, of: Callable[[DataFrame], DataFrame]) -> "AnalysedQueries":
+        """Some of the queries: those that ``of`` leaves in each table."""
+        part = copy(self)
+        part.lists, part.terms, part.freq = (of(t) for t in (self.lists, self.terms, self.freq))
+        return part
+
+    def whole_ids(self) -> bool:
+        """Are query and document ids whole numbers?"""
+        ids = (self.lists.schema["query_id"], self.index.postings.schema["doc_id"])
+        return all(isinstance(i.dataType, (IntegerType, LongType)) for i in ids)
+
+    def by_rows(self) -> tuple["AnalysedQueries", "AnalysedQueries | None"]:
+        """The queries with one row in ``lists``, and the others, if any: an id may have been given with and without a category."""
+        several = self.lists.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("query_id")
+        several = materialise(several, "several")
+        if several.isEmpty():
+            return self, None
+        return tuple(self.part(lambda t: t.join(several, "query_id", how)) for how in ("left_anti", "left_semi"))
 
 
 def term_scores(matches: DataFrame, fulltext: bool = False) -> DataFrame:
@@ -227,7 +248,7 @@ def top_results(hits: DataFrame, limit: int = MAX_RESULTS) -> DataFrame:
     """First ``limit`` results per query by ``total``, numbered from 1 in ``rank_no``. Totals
     are compared as printed (8 decimals), then by document id. Spark keeps at most ``limit`` rows
     per query and map task before the exchange, so one query with very many hits is no hot spot."""
-    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("total", 8)), F.asc("doc_id"))
+    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("total", PRINTED_DIGITS)), F.asc("doc_id"))
     return hits.withColumn("rank_no", F.row_number().over(order)).filter(F.col("rank_no") <= limit)
 
 
@@ -239,12 +260,17 @@ def ranked_results(hits: DataFrame, index: SearchIndex, with_rank: bool = False,
 
 def _search(index: SearchIndex, queries: DataFrame, fulltext: bool, with_rank: bool, limit: int) -> DataFrame:
     """Results by batches of queries. Where there are several, each one's results are written before the next starts; its shuffle files
-    and hits go then."""
-    batches = AnalysedQueries(index, queries, fulltext).batches()
-    if len(batches) == 1:
-        return ranked_results(_hits(batches[0]), index, with_rank, limit)
-    written = []
-    for batch in batches:
+    and hits go then. Those of the ranked method without link ranks go through blocks of documents, where pairs do not become rows."""
+    analysed = AnalysedQueries(index, queries, fulltext)
+    n = analysed.n_batches()
+    if n == 1:
+        return ranked_results(_hits(analysed), index, with_rank, limit)
+    written, others = [], analysed
+    if not fulltext and not with_rank and analysed.whole_ids():
+        simple, others = analysed.by_rows()
+        written.append(query_batches.search(simple, limit, PRINTED_DIGITS))
+        n = others.n_batches() if others else 0
+    for batch in others.batches(n) if n else []:
         hits = materialise(_hits(batch), "hits")
         written.append(materialise(ranked_results(hits, index, with_rank, limit), "results"))
         discard(hits)

@@ -72,9 +72,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of the writes inside are deleted as each write ends: nothing reads them once its rows lie in a table. Until
     then they stay, for stages that lost executors repeat. Other queries of the session keep the setting they had."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false", "true"):
+        yield
+
+
+@contextmanager
+def unions_apart(spark: SparkSession) -> Iterator[None]:
+    """Parts of a union that are planned inside keep tasks of their own. Otherwise parts of one partition each become one task."""
+    with _setting(spark, "spark.sql.unionOutputPartitioning", "true", "false"):
+        yield
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, default: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, default)
+    spark.conf.set(name, value)
     try:
         yield
     finally:

@@ -1,13 +1,16 @@
+import random
 from collections import defaultdict
 
 import brute
+import numpy as np
 import pytest
 from corpus import CORPUS
 from pyspark.sql import functions as F
 
+from pagelode.functions import tiles
 from pagelode.operators import postings as ps
 from pagelode.operators.joins import one_of
-from pagelode.plans import pages as pg, ranked
+from pagelode.plans import pages as pg, query_batches, ranked
 from pagelode.session import fresh_path
 from pagelode.sources import index_store, tables
 
@@ -230,3 +233,50 @@ def test_batches_of_queries_give_the_same_results(spark, corpus, monkeypatch):
     monkeypatch.setattr(ranked, "PAIRS_AT_ONCE", 1)
     assert len(ranked.AnalysedQueries(index, asked).batches()) > 1
     assert rows() == whole and len({r[0] for r in whole}) > 2
+
+
+def many_queries(spark):
+    """A corpus of few words, so that scores tie and words stand in all orders, and queries of them, some with a category."""
+    rng = random.Random(7)
+    words = ["red", "river", "gum", "tree", "blue", "stone", "the", "falls"]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(rng.randint(1, n)))
+    docs = [(i * 7 - 300, some(4), some(20), rng.sample(words, 2)) for i in range(60)]
+    asked = [(i - 5, some(4) + (f" category:{some(2)}" if i % 4 == 0 else "")) for i in range(24)]
+    corpus = spark.createDataFrame(docs, "doc_id bigint, title string, content string, categories array<string>")
+    ranks = spark.createDataFrame([(d[0], d[0] / 1000) for d in docs[::2]], "id bigint, rank double")
+    return corpus, ranks, spark.createDataFrame(asked, "query_id bigint, query string")
+
+
+def test_many_queries_go_through_blocks_and_keep_every_column(spark, monkeypatch, tmp_path):
+    corpus, ranks, asked = many_queries(spark)
+    index = index_store.publish_index(corpus, str(tmp_path / "index"), 4, ranks=ranks)
+    columns = ["query_id", "rank_no", "doc_id", "title_score", "content_score", "category_score", "text_score", "rank", "total"]
+    plain = lambda v: round(v, 9) if isinstance(v, float) else v
+    rows = lambda limit: sorted((tuple(map(plain, r)) for r in ranked.search(index, asked, limit=limit).select(columns).collect()), key=str)
+    whole, first = rows(1000), rows(5)
+    monkeypatch.setattr(ranked, "PAIRS_AT_ONCE", 100)
+    monkeypatch.setattr(query_batches, "BLOCK_POSTINGS", 200)
+    # Pairs of queries and documents do not become rows.
+    monkeypatch.setattr(ranked, "_hits", lambda analysed: pytest.fail("searched by a join"))
+    assert rows(1000) == whole and rows(5) == first
+    monkeypatch.setattr(query_batches, "KEPT_RESULTS", 50)
+    monkeypatch.setattr(query_batches, "TERMS_AT_ONCE", 1)
+    assert rows(5) == first and len(first) < len(whole)
+
+
+def test_many_queries_with_an_id_given_with_and_without_category(spark, monkeypatch):
+    corpus, _, _ = many_queries(spark)
+    index = index_store.build_index(corpus)
+    asked = spark.createDataFrame([(1, "red"), (2, "river"), (2, "blue category:red"), (None, "gum")], "query_id bigint, query string")
+    rows = lambda: sorted((r.query_id, r.rank_no, r.doc_id, round(r.total, 9)) for r in ranked.search(index, asked).collect())
+    whole = rows()
+    monkeypatch.setattr(ranked, "PAIRS_AT_ONCE", 40)
+    assert rows() == whole and {r[0] for r in whole} >= {1}
+
+
+def test_results_are_cut_by_printed_total_and_id():
+    total = np.array([1.0, 1.000000004, 1.00000001, 0.999999996, 0.5, 0.123456785, -0.123456785, -0.1])
+    printed = tiles.printed(total, 8)
+    assert printed.tolist() == [1e8, 1e8, 100000001, 1e8, 5e7, 12345679, -12345679, -1e7]
+    kept, last = tiles.best(printed, np.array([9, 2, 7, 1, 0, 3, 4, 5]), 3)
+    assert sorted(kept.tolist()) == [1, 2, 3] and last == 1e8
