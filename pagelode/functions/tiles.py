@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from decimal import ROUND_HALF_UP, Decimal
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -179,18 +180,18 @@ class Block:
         mask[left] = True
         return mask
 
-    def values(self, field: int, boosts: tuple, query: "Query", docs: np.ndarray, sums: np.ndarray, matched: np.ndarray) -> np.ndarray:
-        """The score of one field: sums times the factor for how the terms stand together, times the field's weight."""
-        exact, ordered, all_terms, partial, weight = boosts
-        keys, distinct = query.sequence[field], query.distinct[field]
+    def factors(self, field: int, boosts: tuple, query: "Query", docs: np.ndarray, matched: np.ndarray) -> np.ndarray:
+        """The factor of one field for how the terms stand together."""
+        exact, ordered, all_terms, partial, _ = boosts
+        keys = query.sequence[field]
         factor = np.full(len(docs), partial)
-        full = np.flatnonzero(matched >= distinct)
+        full = (matched >= query.distinct[field]).nonzero()[0]
         if len(full):
             own = docs[full]
             factor[full] = np.where(
                 self.in_order(keys, own), np.where(self.lengths[field][own] == len(keys), exact, ordered), all_terms
             )
-        return sums * factor * weight
+        return factor
 
 
 class Query:
@@ -236,27 +237,38 @@ def best(order: np.ndarray, ids: np.ndarray, limit: int) -> tuple[np.ndarray, fl
     return np.concatenate([above, level]), float(cut)
 
 
+def most(sums: np.ndarray, matched: np.ndarray, distinct: int, boosts: tuple) -> np.ndarray:
+    """No less than the score of a field, before positions are looked at."""
+    *factors, partial, weight = boosts
+    highest = np.maximum(sums * max(factors), sums * min(factors))
+    return np.where(matched >= distinct, highest, sums * partial) * weight
+
+
 def search_block(block: Block, query: Query, boosts: list[tuple], limit: int, digits: int) -> None:
-    """Add the query's hits in a block to what it has found, cut to the best where they are many."""
-    titles, contents = block.sums(query.terms[0]), block.sums(query.terms[1])
-    if titles is None or contents is None:
-        return
-    found = (titles[1] > 0) & (contents[1] > 0)
-    categories = None
-    if query.has_category:
-        categories = block.sums(query.terms[2])
-        if categories is None:
+    """Add the query's hits in a block to what it has found, cut to the best where they are many. Once ``limit`` hits are known, those
+    that cannot come before the last of them are left out before positions are looked at."""
+    fields = [0, 1, 2] if query.has_category else [0, 1]
+    found = []
+    for field in fields:
+        sums = block.sums(query.terms[field])
+        if sums is None:
             return
-        found &= categories[1] > 0
-    docs = np.flatnonzero(found)
+        found.append(sums)
+    docs = reduce(np.logical_and, [matched > 0 for _, matched in found]).nonzero()[0]
+    found = [(sums[docs], matched[docs]) for sums, matched in found]
+    if query.floor is not None:
+        highest = sum(most(sums, matched, query.distinct[f], boosts[f]) for f, (sums, matched) in zip(fields, found))
+        kept = (highest >= query.floor).nonzero()[0]
+        docs, found = docs[kept], [(sums[kept], matched[kept]) for sums, matched in found]
     if not len(docs):
         return
-    value = lambda field, sums: block.values(field, boosts[field], query, docs, sums[0][docs], sums[1][docs])
-    title, content = value(0, titles), value(1, contents)
-    category = value(2, categories) if categories else np.full(len(docs), np.nan)
-    rows = np.stack([block.doc_id[docs].view(np.float64), title, content, category, block.rank[docs]])
+    rows = np.full((5, len(docs)), np.nan)
+    rows[0] = block.doc_id[docs].view(np.float64)
+    for f, (sums, matched) in zip(fields, found):
+        rows[1 + f] = sums * block.factors(f, boosts[f], query, docs, matched) * boosts[f][-1]
+    rows[4] = block.rank[docs]
     if query.floor is not None:
-        rows = rows[:, printed(total_of(rows), digits) >= query.floor]
+        rows = rows[:, total_of(rows) >= query.floor]
     query.found.append(rows)
     query.n += rows.shape[1]
     if query.n > limit + limit // 4:
@@ -265,7 +277,9 @@ def search_block(block: Block, query: Query, boosts: list[tuple], limit: int, di
 
 def cut_down(query: Query, limit: int, digits: int) -> None:
     whole = np.concatenate(query.found, axis=1)
-    kept, query.floor = best(printed(total_of(whole), digits), whole[0].view(np.int64), limit)
+    kept, last = best(printed(total_of(whole), digits), whole[0].view(np.int64), limit)
+    # Anything less is printed as less; what is kept beyond that goes in the next cut.
+    query.floor = (last - 1) / 10.0**digits
     query.found, query.n = [whole[:, kept]], len(kept)
 
 
