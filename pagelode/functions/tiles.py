@@ -22,7 +22,7 @@ PACK_ROWS, PACK_BYTES = 400_000, 32 << 20
 #: Queries whose results are given back in one batch.
 OUT_QUERIES = 64
 
-PIECE = "block int, key binary, doc binary, part binary, len binary, n_pos binary, pos binary, rank binary"
+PIECE = "block int, key binary, doc binary, code binary, parts binary, len binary, n_pos binary, pos binary, rank binary"
 BLOCK = "block int, key binary, n binary, doc binary, code binary, parts binary, n_pos binary, pos binary, doc_id binary, len binary, rank binary"
 
 
@@ -75,11 +75,13 @@ def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, to in zip(cuts, np.append(cuts[1:], len(block))):
             own = order[at:to]
             keys = key[own]
+            parts, code = np.unique(part[own], return_inverse=True)
             row = {
                 "block": int(block[at]),
-                "key": narrow(keys),
+                "key": keys.tobytes(),
                 "doc": doc[own].tobytes(),
-                "part": narrow(part[own]),
+                "code": narrow(code),
+                "parts": narrow(parts),
                 "len": narrow(length[own]),
                 "n_pos": narrow(n_pos[own]),
                 "pos": narrow(positions[ranges(offsets[own].astype(np.int64), n_pos[own])]),
@@ -102,9 +104,11 @@ def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def one_block(table: pa.Table) -> pa.Table:
     """The pieces of a block as one row, its postings ordered by key and document."""
     joined = lambda name: np.concatenate([wide(v.as_buffer()) for v in table[name]])
-    key, part, length, rank = (joined(n) for n in ("key", "part", "len", "rank"))
-    key, n_pos = key.astype(np.int64), joined("n_pos").astype(np.int64)
-    doc_id, doc = np.unique(np.concatenate([np.frombuffer(v.as_buffer(), np.int64) for v in table["doc"]]), return_inverse=True)
+    ids = lambda name: np.concatenate([np.frombuffer(v.as_buffer(), np.int64) for v in table[name]])
+    key, length, rank, n_pos = ids("key"), *(joined(n) for n in ("len", "rank", "n_pos"))
+    part = np.concatenate([wide(p.as_buffer())[wide(c.as_buffer())] for p, c in zip(table["parts"], table["code"])])
+    n_pos = n_pos.astype(np.int64)
+    doc_id, doc = np.unique(ids("doc"), return_inverse=True)
     field = key & ((1 << FIELD_BITS) - 1)
     ranks = np.full(len(doc_id), np.nan)
     ranks[doc[field == 0]] = rank
@@ -116,9 +120,8 @@ def one_block(table: pa.Table) -> pa.Table:
     keys, n = np.unique(key, return_counts=True)
     parts, code = np.unique(part, return_inverse=True)
     row = {"block": table["block"][0].as_py(), "rank": narrow(ranks), "parts": narrow(parts)}
-    whole = {"key": keys, "n": n, "doc": doc[order], "code": code[order], "n_pos": n_pos[order], "pos": pos, "doc_id": doc_id.view(np.uint64)}
-    row |= {name: narrow(values) if name != "doc_id" else doc_id.tobytes() for name, values in whole.items()}
-    row["len"] = narrow(lengths.ravel())
+    row |= {"key": keys.tobytes(), "doc_id": doc_id.tobytes(), "n": narrow(n), "len": narrow(lengths.ravel())}
+    row |= {"doc": narrow(doc[order]), "code": narrow(code[order]), "n_pos": narrow(n_pos[order]), "pos": narrow(pos)}
     return pa.Table.from_batches([_rows([row], _binary_schema(BLOCK))])
 
 
@@ -133,7 +136,7 @@ class Block:
         self.n_pos, self.pos = read("n_pos"), read("pos")
         self.pos_start = np.cumsum(self.n_pos, dtype=np.int64) - self.n_pos
         self.lengths, self.rank = read("len").reshape(-1, self.size), read("rank")
-        keys, ends = read("key").astype(np.int64), np.cumsum(read("n"), dtype=np.int64)
+        keys, ends = np.frombuffer(batch["key"][at].as_buffer(), np.int64), np.cumsum(read("n"), dtype=np.int64)
         slot = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
         known = keys[slot] == asked
         self.last = np.where(known, ends[slot], 0).tolist()
@@ -153,7 +156,9 @@ class Block:
         a, b = self.first[key], self.last[key]
         own = self.doc[a:b]
         at = np.searchsorted(own, docs)
-        n = np.searchsorted(own, docs, "right") - at  # one, or more where a document came several times
+        n = np.searchsorted(own, docs, "right") - at
+        if (n > 1).any():
+            raise ValueError(f"document {self.doc_id[docs[n > 1][0]]} came several times")
         postings = a + ranges(at, n)
         counts = self.n_pos[postings].astype(np.int64)
         return np.repeat(np.repeat(np.arange(len(docs)), n), counts), self.pos[ranges(self.pos_start[postings], counts)].astype(np.int64)
